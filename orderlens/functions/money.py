@@ -1,9 +1,14 @@
-"""Exact money arithmetic.
+"""Exact money arithmetic and exactly rounded averages.
 
 Sums of doubles depend on the order rows arrive in, so the same data can give
 different last digits on different partitionings (and a different value after
-rounding to cents). Money is summed as DECIMAL(18,4): exact and the same on
-any cluster layout. Averages divide the exact sum, as a double, by the count.
+rounding). Measures with at most four decimals (money, scores) are summed as
+DECIMAL(18,4), integer measures as longs: exact on any cluster layout.
+
+Published averages and ratios are rounded to 2 or 4 places half away from
+zero. Rounding the double quotient would round the binary approximation
+(556.675 may become 556.67), so ``round_div`` rounds the exact rational
+sum/count with integer arithmetic instead.
 """
 
 from __future__ import annotations
@@ -12,10 +17,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,4)"
+MONEY_SCALE = 4
+_INT = "decimal(38,0)"
+
+
+def _c(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
 
 def money(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast(MONEY)
+    return _c(c).cast(MONEY)
 
 
 def money_sum(c: Column | str) -> Column:
@@ -28,17 +39,43 @@ def to_cents(exact: Column) -> Column:
     return F.round(exact, 2).cast("double")
 
 
-def exact_avg(c: Column | str) -> Column:
-    """Average of a money column: exact sum / count of non-null values."""
-    return F.try_divide(money_sum(c).cast("double"), F.count(c))
+def ratio(num: Column, den: Column) -> Column:
+    """num / den as a double; null when den is 0 (ANSI-safe). For ordering."""
+    return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-def plain_avg(c: Column | str) -> Column:
-    """sum / count over non-null values, spelled out so every engine agrees."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.try_divide(F.sum(col).cast("double"), F.count(col))
+def exact_avg(c: Column | str) -> Column:
+    """Unrounded average of a money column (exact sum / count), for ordering."""
+    return ratio(money_sum(c), F.count(_c(c)))
 
 
-def ratio(num: Column, den: Column) -> Column:
-    """num / den as a double; null when den is 0 (ANSI-safe)."""
-    return F.try_divide(num.cast("double"), den.cast("double"))
+def plain_avg(c: Column | str) -> Column:
+    """Unrounded sum / count over non-null values, for ordering."""
+    col = _c(c)
+    return ratio(F.sum(col), F.count(col))
+
+
+def round_div(num: Column, den: Column, digits: int, num_scale: int = 0) -> Column:
+    """num / den rounded to ``digits`` places, half away from zero, exactly.
+
+    ``num`` is an integer or a decimal with ``num_scale`` places, ``den`` a
+    positive count. Computed as sign(n) * floor((2|n| + d) / 2d) / 10^digits
+    on DECIMAL(38,0) integers; null when den is 0 or num is null.
+    """
+    n = (num * F.lit(10**num_scale)).cast(_INT)
+    d = den.cast(_INT)
+    if digits >= num_scale:
+        n = n * F.lit(10 ** (digits - num_scale))
+    else:
+        d = d * F.lit(10 ** (num_scale - digits))
+    a = F.abs(n) * 2 + d
+    b = d * 2
+    q = (a - a % b) / b  # exact integer quotient
+    value = F.signum(n) * q.cast("double") / F.lit(float(10**digits))
+    return F.when(den > 0, value)
+
+
+def avg_rounded(c: Column | str, digits: int = 2) -> Column:
+    """Exactly rounded average of a measure with at most four decimals."""
+    col = _c(c)
+    return round_div(F.sum(col.cast(MONEY)), F.count(col), digits, MONEY_SCALE)

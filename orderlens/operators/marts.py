@@ -24,17 +24,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions.derive import delivery_status
-from orderlens.functions.money import MONEY, exact_avg, money_sum, plain_avg, ratio, to_cents
+from orderlens.functions.money import MONEY, MONEY_SCALE, money_sum, ratio, round_div, to_cents
 
 TOP_N = 10
 
 
-def _r(c: str | Column, digits: int) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, digits)
-
-
-def _by_metric(m: DataFrame, metric: str, key: str, top: int | None = None) -> DataFrame:
-    ordered = m.orderBy(F.col(metric).desc_nulls_last(), F.col(key).asc_nulls_last())
+def _by_metric(m: DataFrame, metric: str | Column, key: str, top: int | None = None) -> DataFrame:
+    metric = F.col(metric) if isinstance(metric, str) else metric
+    ordered = m.orderBy(metric.desc_nulls_last(), F.col(key).asc_nulls_last())
     return ordered.limit(top) if top else ordered
 
 
@@ -46,23 +43,39 @@ def _by_key(m: DataFrame, key: str) -> DataFrame:
 # Dimension measures
 # --------------------------------------------------------------------------
 
+def avg_parts(c: str, prefix: str, scale: int = MONEY_SCALE) -> list[Column]:
+    """Exact sum and non-null count of a measure (sum as DECIMAL(18,4) or long)."""
+    col = F.col(c)
+    total = F.sum(col.cast(MONEY)) if scale else F.sum(col).cast("long")
+    return [total.alias(prefix + "_sum"), F.count(col).alias(prefix + "_n")]
+
+
+def _avg_exact(prefix: str) -> Column:
+    """Unrounded average from its parts, used for ordering only."""
+    return ratio(F.col(prefix + "_sum"), F.col(prefix + "_n"))
+
+
+def _avg_out(prefix: str, digits: int = 2, scale: int = MONEY_SCALE) -> Column:
+    return round_div(F.col(prefix + "_sum"), F.col(prefix + "_n"), digits, scale)
+
+
 def state_measures(facts: DataFrame) -> DataFrame:
     return facts.groupBy("customer_state").agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.sum("is_late_delivery").cast("long").alias("late_rows"),
         F.countDistinct("order_id").alias("unique_orders"),
         money_sum("revenue").alias("revenue_exact"),
-        plain_avg("review_score").alias("avg_review_exact"),
-        plain_avg("delivery_delay_days").alias("avg_delay_exact"),
+        *avg_parts("review_score", "score"),
+        *avg_parts("delivery_delay_days", "delay", scale=0),
     )
 
 
 def category_measures(facts: DataFrame) -> DataFrame:
     return facts.groupBy("product_category_name").agg(
         money_sum("revenue").alias("revenue_exact"),
-        exact_avg("price").alias("avg_price_exact"),
-        exact_avg("freight_value").alias("avg_freight_exact"),
-        plain_avg("review_score").alias("avg_review_exact"),
+        *avg_parts("price", "price"),
+        *avg_parts("freight_value", "freight"),
+        *avg_parts("review_score", "score"),
     )
 
 
@@ -70,7 +83,7 @@ def payment_measures(facts: DataFrame) -> DataFrame:
     return facts.groupBy("payment_type").agg(
         F.countDistinct("order_id").alias("order_count"),
         money_sum("revenue").alias("revenue_exact"),
-        exact_avg("payment_value").alias("avg_payment_exact"),
+        *avg_parts("payment_value", "payment"),
     )
 
 
@@ -80,7 +93,7 @@ def date_measures(facts: DataFrame) -> DataFrame:
         .groupBy("purchase_date")
         .agg(
             F.countDistinct("order_id").alias("order_count"),
-            plain_avg("delivery_delay_days").alias("avg_delay_exact"),
+            *avg_parts("delivery_delay_days", "delay", scale=0),
         )
     )
 
@@ -88,7 +101,7 @@ def date_measures(facts: DataFrame) -> DataFrame:
 def score_measures(facts: DataFrame) -> DataFrame:
     return facts.groupBy("review_score").agg(
         F.count(F.lit(1)).alias("count"),
-        plain_avg("delivery_delay_days").alias("avg_delay_exact"),
+        *avg_parts("delivery_delay_days", "delay", scale=0),
     )
 
 
@@ -109,14 +122,16 @@ def _m(measures: DataFrame | None, build, facts: DataFrame) -> DataFrame:
 # Headline figures (1-row outputs, zeros on empty input)
 # --------------------------------------------------------------------------
 
-def kpi_columns(revenue_exact: Column, orders: Column, avg_score: Column, late_rate: Column) -> list[Column]:
-    revenue = F.coalesce(revenue_exact, F.lit(0).cast(MONEY))
+def kpi_columns() -> list[Column]:
+    """KPI row from rev (exact), orders, score_sum/score_n, late_sum/late_n."""
+    revenue = F.coalesce(F.col("rev"), F.lit(0).cast(MONEY))
+    orders = F.coalesce(F.col("orders"), F.lit(0)).cast("long")
     return [
         to_cents(revenue).alias("total_revenue"),
-        F.coalesce(orders, F.lit(0)).cast("long").alias("total_orders"),
-        F.coalesce(_r(ratio(revenue, orders), 2), F.lit(0.0)).alias("avg_order_value"),
-        F.coalesce(_r(avg_score, 2), F.lit(0.0)).alias("avg_review_score"),
-        F.coalesce(_r(late_rate, 4), F.lit(0.0)).alias("late_delivery_rate"),
+        orders.alias("total_orders"),
+        F.coalesce(round_div(revenue, orders, 2, MONEY_SCALE), F.lit(0.0)).alias("avg_order_value"),
+        F.coalesce(_avg_out("score"), F.lit(0.0)).alias("avg_review_score"),
+        F.coalesce(_avg_out("late", 4, 0), F.lit(0.0)).alias("late_delivery_rate"),
     ]
 
 
@@ -125,16 +140,16 @@ def kpi_summary(facts: DataFrame) -> DataFrame:
     agg = facts.agg(
         money_sum("revenue").alias("rev"),
         F.countDistinct("order_id").alias("orders"),
-        plain_avg("review_score").alias("score"),
-        plain_avg("is_late_delivery").alias("late"),
+        *avg_parts("review_score", "score"),
+        *avg_parts("is_late_delivery", "late", scale=0),
     )
-    return agg.select(*kpi_columns(F.col("rev"), F.col("orders"), F.col("score"), F.col("late")))
+    return agg.select(*kpi_columns())
 
 
 def average_payment_value(facts: DataFrame) -> DataFrame:
     """A3: mean payment value over non-null values, 0.0 when there are none."""
-    return facts.agg(
-        F.coalesce(_r(exact_avg("payment_value"), 2), F.lit(0.0)).alias("average_payment_value")
+    return facts.agg(*avg_parts("payment_value", "payment")).select(
+        F.coalesce(_avg_out("payment"), F.lit(0.0)).alias("average_payment_value")
     )
 
 
@@ -151,7 +166,7 @@ def orders_per_day(facts: DataFrame, measures: DataFrame | None = None) -> DataF
 def delay_trend_over_time(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
     """A25"""
     m = _m(measures, date_measures, facts)
-    return _by_key(m, "purchase_date").select("purchase_date", _r("avg_delay_exact", 2).alias("avg_delay_days"))
+    return _by_key(m, "purchase_date").select("purchase_date", _avg_out("delay", 2, 0).alias("avg_delay_days"))
 
 
 # --------------------------------------------------------------------------
@@ -192,10 +207,10 @@ def avg_order_value_by_state(facts: DataFrame) -> DataFrame:
         .agg(money_sum("revenue").alias("order_revenue"))
     )
     m = per_order.groupBy("customer_state").agg(
-        ratio(F.sum("order_revenue"), F.count(F.lit(1))).alias("aov_exact")
+        F.sum("order_revenue").alias("aov_sum"), F.count(F.lit(1)).alias("aov_n")
     )
-    return _by_metric(m, "aov_exact", "customer_state").select(
-        "customer_state", _r("aov_exact", 2).alias("avg_order_value")
+    return _by_metric(m, _avg_exact("aov"), "customer_state").select(
+        "customer_state", _avg_out("aov").alias("avg_order_value")
     )
 
 
@@ -210,30 +225,28 @@ def top_cities_by_revenue(facts: DataFrame, top_n: int = TOP_N) -> DataFrame:
 def review_score_by_state(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
     """A20"""
     m = _m(measures, state_measures, facts)
-    return _by_metric(m, "avg_review_exact", "customer_state").select(
-        "customer_state", _r("avg_review_exact", 2).alias("avg_review_score")
+    return _by_metric(m, _avg_exact("score"), "customer_state").select(
+        "customer_state", _avg_out("score").alias("avg_review_score")
     )
 
 
 def late_delivery_by_state(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
     """Rows, late rows, distinct orders and late rows / rows per state."""
-    m = _m(measures, state_measures, facts).withColumn(
-        "rate_exact", ratio(F.col("late_rows"), F.col("total_rows"))
-    )
-    return _by_metric(m, "rate_exact", "customer_state").select(
+    m = _m(measures, state_measures, facts)
+    return _by_metric(m, ratio(F.col("late_rows"), F.col("total_rows")), "customer_state").select(
         "customer_state",
         "total_rows",
         "late_rows",
         "unique_orders",
-        _r("rate_exact", 4).alias("late_delivery_rate"),
+        round_div(F.col("late_rows"), F.col("total_rows"), 4).alias("late_delivery_rate"),
     )
 
 
 def average_delay_by_state(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
     """A24"""
     m = _m(measures, state_measures, facts)
-    return _by_metric(m, "avg_delay_exact", "customer_state").select(
-        "customer_state", _r("avg_delay_exact", 2).alias("avg_delay_days")
+    return _by_metric(m, _avg_exact("delay"), "customer_state").select(
+        "customer_state", _avg_out("delay", 2, 0).alias("avg_delay_days")
     )
 
 
@@ -268,18 +281,18 @@ def top_sellers(facts: DataFrame, top_n: int = TOP_N) -> DataFrame:
 def freight_vs_price_by_category(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
     """A13"""
     m = _m(measures, category_measures, facts)
-    return _by_metric(m, "avg_price_exact", "product_category_name").select(
+    return _by_metric(m, _avg_exact("price"), "product_category_name").select(
         "product_category_name",
-        _r("avg_price_exact", 2).alias("avg_price"),
-        _r("avg_freight_exact", 2).alias("avg_freight"),
+        _avg_out("price").alias("avg_price"),
+        _avg_out("freight").alias("avg_freight"),
     )
 
 
 def review_score_by_category(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
     """A21"""
     m = _m(measures, category_measures, facts)
-    return _by_metric(m, "avg_review_exact", "product_category_name").select(
-        "product_category_name", _r("avg_review_exact", 2).alias("avg_review_score")
+    return _by_metric(m, _avg_exact("score"), "product_category_name").select(
+        "product_category_name", _avg_out("score").alias("avg_review_score")
     )
 
 
@@ -309,8 +322,8 @@ def installments_distribution(facts: DataFrame) -> DataFrame:
 def avg_payment_by_type(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
     """Null when a type has no payment value."""
     m = _m(measures, payment_measures, facts)
-    return _by_metric(m, "avg_payment_exact", "payment_type").select(
-        "payment_type", _r("avg_payment_exact", 2).alias("avg_payment_value")
+    return _by_metric(m, _avg_exact("payment"), "payment_type").select(
+        "payment_type", _avg_out("payment").alias("avg_payment_value")
     )
 
 
@@ -338,7 +351,7 @@ def on_time_vs_late_delivery(facts: DataFrame) -> DataFrame:
 def delay_vs_review_score(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
     """A26"""
     m = _m(measures, score_measures, facts)
-    return _by_key(m, "review_score").select("review_score", _r("avg_delay_exact", 2).alias("avg_delay_days"))
+    return _by_key(m, "review_score").select("review_score", _avg_out("delay", 2, 0).alias("avg_delay_days"))
 
 
 # --------------------------------------------------------------------------
@@ -391,7 +404,7 @@ def decision_support(
         is_sent = F.col("tag") == "sentiment"
         part = F.sum(F.when(is_sent & (F.col("key") == label), F.col("cnt")))
         total = F.sum(F.when(is_sent, F.col("cnt")))
-        return F.coalesce(_r(ratio(F.coalesce(part, F.lit(0)), total), 4), F.lit(0.0))
+        return F.coalesce(round_div(F.coalesce(part, F.lit(0)), total, 4), F.lit(0.0))
 
     return stacked.agg(
         leader("state_revenue", "neg_dec").alias("best_state_by_revenue"),

@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens import schema as S
-from orderlens.functions.money import money_sum, plain_avg
-from orderlens.operators.marts import kpi_columns
+from orderlens.functions.money import money_sum
+from orderlens.operators.marts import avg_parts, kpi_columns
 
 # Ordering of the representative row: latest purchase, latest review answer,
 # then ids and the delivery date. Every order-level output is a function of
@@ -62,7 +62,7 @@ def kpi_summary_order_level(facts: DataFrame) -> DataFrame:
     agg = orders.agg(
         F.sum("order_revenue_exact").alias("rev"),
         F.count(F.lit(1)).alias("orders"),
-        plain_avg("review_score").alias("score"),
-        plain_avg("is_late_delivery").alias("late"),
+        *avg_parts("review_score", "score"),
+        *avg_parts("is_late_delivery", "late", scale=0),
     )
-    return agg.select(*kpi_columns(F.col("rev"), F.col("orders"), F.col("score"), F.col("late")))
+    return agg.select(*kpi_columns())

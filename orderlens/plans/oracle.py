@@ -8,6 +8,9 @@ each query appends its own SELECT. Column names match the Spark outputs.
 
 from __future__ import annotations
 
+from orderlens import schema as S
+from orderlens.operators.orders import ORDER_KEYS
+
 ENRICHED_CTE = """
 WITH
 o AS (
@@ -101,11 +104,30 @@ def _cents(expr: str) -> str:
 
 
 def _avg(col: str) -> str:
+    """Unrounded average (ordering only)."""
     return f"CAST(sum({col}) AS DOUBLE) / count({col})"
 
 
-def _mavg(col: str) -> str:
-    return f"CAST(sum(CAST({col} AS DECIMAL(18,4))) AS DOUBLE) / count({col})"
+def _round_div(num: str, den: str, digits: int, scale: int = 0) -> str:
+    """Exact half-away-from-zero rounding of num/den (same rule as Spark side)."""
+    n = f"CAST(({num}) * {10**scale} AS HUGEINT)"
+    d = f"CAST(({den}) AS HUGEINT)"
+    if digits >= scale:
+        n = f"({n} * {10 ** (digits - scale)})"
+    else:
+        d = f"({d} * {10 ** (scale - digits)})"
+    return (f"(CASE WHEN ({den}) > 0 THEN sign({n}) * CAST((2 * abs({n}) + {d}) // (2 * {d}) AS DOUBLE)"
+            f" / {float(10 ** digits)} END)")
+
+
+def _mavg(col: str, digits: int = 2) -> str:
+    """Exactly rounded average of a measure with up to four decimals."""
+    return _round_div(f"sum(CAST({col} AS DECIMAL(18,4)))", f"count({col})", digits, 4)
+
+
+def _iavg(col: str, digits: int = 2) -> str:
+    """Exactly rounded average of an integer measure."""
+    return _round_div(f"sum({col})", f"count({col})", digits, 0)
 
 
 def _q(body: str) -> str:
@@ -120,25 +142,151 @@ def _revenue_by(key: str, top: int | None = None) -> str:
     )
 
 
-KPI_SELECT = """
+KPI_SELECT = f"""
 SELECT CAST(round(coalesce(rev, 0), 2) AS DOUBLE) AS total_revenue,
        CAST(coalesce(orders, 0) AS BIGINT) AS total_orders,
-       coalesce(round(CAST(coalesce(rev, 0) AS DOUBLE) / nullif(orders, 0), 2), 0.0) AS avg_order_value,
-       coalesce(round(score, 2), 0.0) AS avg_review_score,
-       coalesce(round(late, 4), 0.0) AS late_delivery_rate
+       coalesce({_round_div('coalesce(rev, 0)', 'coalesce(orders, 0)', 2, 4)}, 0.0) AS avg_order_value,
+       coalesce({_round_div('score_sum', 'score_n', 2, 4)}, 0.0) AS avg_review_score,
+       coalesce({_round_div('late_sum', 'late_n', 4, 0)}, 0.0) AS late_delivery_rate
 """
+KPI_PARTS = ("sum(CAST(review_score AS DECIMAL(18,4))) AS score_sum, count(review_score) AS score_n, "
+             "sum(is_late_delivery) AS late_sum, count(is_late_delivery) AS late_n")
 
 STATE_MEASURES = f"""
 , sm AS (
   SELECT customer_state, count(*) AS total_rows, CAST(sum(is_late_delivery) AS BIGINT) AS late_rows,
          count(DISTINCT order_id) AS unique_orders, {REV} AS revenue_exact,
-         {_avg('review_score')} AS avg_review_exact, {_avg('delivery_delay_days')} AS avg_delay_exact
+         {_avg('review_score')} AS avg_review_exact, {_mavg('review_score')} AS avg_review_score,
+         {_avg('delivery_delay_days')} AS avg_delay_exact, {_iavg('delivery_delay_days')} AS avg_delay_days
   FROM facts GROUP BY customer_state)
 """
 
 
+def _desc(cols: list[str]) -> str:
+    return ", ".join(f"{c} DESC NULLS LAST" for c in cols)
+
+
+def _order_level_sql() -> str:
+    values = [c for c in S.ENRICHED_COLUMNS + S.DERIVED_COLUMNS if c != "order_id"]
+    ordered = ORDER_KEYS + [c for c in values if c not in ORDER_KEYS]
+    return _q(
+        f"""
+, ranked AS (
+  SELECT order_id, {", ".join(ordered)},
+         CAST(round(sum(CAST(revenue AS DECIMAL(18,4))) OVER (PARTITION BY order_id), 2) AS DOUBLE) AS order_revenue,
+         row_number() OVER (PARTITION BY order_id ORDER BY {_desc(ordered)}) AS rn
+  FROM facts)
+SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1"""
+    )
+
+
+def _kpi_order_level_sql() -> str:
+    ordered = ORDER_KEYS + ["review_score", "is_late_delivery"]
+    return _q(
+        f"""
+, ol AS (
+  SELECT * FROM (
+    SELECT order_id, review_score, is_late_delivery,
+           sum(CAST(revenue AS DECIMAL(18,4))) OVER (PARTITION BY order_id) AS orev,
+           row_number() OVER (PARTITION BY order_id ORDER BY {_desc(ordered)}) AS rn
+    FROM facts WHERE order_id IS NOT NULL) WHERE rn = 1),
+agg AS (
+  SELECT sum(orev) AS rev, count(*) AS orders, {KPI_PARTS} FROM ol)
+{KPI_SELECT} FROM agg"""
+    )
+
+
 def oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["enriched_orders"] = _q("SELECT * EXCLUDE (price, freight_value), price, freight_value FROM enriched")
+    q["enriched_orders"] = _q("SELECT * FROM enriched")
+    q["order_level"] = _order_level_sql()
+    q["kpi_summary"] = _q(
+        f"""
+, agg AS (
+  SELECT {REV} AS rev, count(DISTINCT order_id) AS orders, {KPI_PARTS} FROM facts)
+{KPI_SELECT} FROM agg"""
+    )
+    q["kpi_summary_order_level"] = _kpi_order_level_sql()
+    q["average_payment_value"] = _q(
+        f"SELECT coalesce({_mavg('payment_value')}, 0.0) AS average_payment_value FROM facts"
+    )
+    q["orders_per_day"] = _q(
+        "SELECT purchase_date, count(DISTINCT order_id) AS order_count FROM facts "
+        "WHERE purchase_date IS NOT NULL GROUP BY 1"
+    )
+    q["order_status_breakdown"] = _q(
+        "SELECT order_status, count(DISTINCT order_id) AS order_count FROM facts GROUP BY 1"
+    )
     q["revenue_by_state"] = _revenue_by("customer_state")
+    q["orders_by_state"] = _q(STATE_MEASURES + "SELECT customer_state, unique_orders AS order_count FROM sm")
+    q["avg_order_value_by_state"] = _q(
+        f"""
+SELECT customer_state, {_round_div('sum(orev)', 'count(*)', 2, 4)} AS avg_order_value
+FROM (SELECT customer_state, order_id, {REV} AS orev FROM facts WHERE order_id IS NOT NULL GROUP BY 1, 2)
+GROUP BY 1"""
+    )
+    q["top_cities_by_revenue"] = _revenue_by("customer_city", 10)
+    q["revenue_by_category"] = _revenue_by("product_category_name")
+    q["top_products"] = _revenue_by("product_id", 10)
+    q["top_sellers"] = _revenue_by("seller_id", 10)
+    q["freight_vs_price_by_category"] = _q(
+        f"SELECT product_category_name, {_mavg('price')} AS avg_price, "
+        f"{_mavg('freight_value')} AS avg_freight FROM facts GROUP BY 1"
+    )
+    q["orders_by_payment_type"] = _q(
+        "SELECT payment_type, count(DISTINCT order_id) AS order_count FROM facts GROUP BY 1"
+    )
+    q["revenue_by_payment_type"] = _revenue_by("payment_type")
+    q["installments_distribution"] = _q(
+        "SELECT payment_installments, count(*) AS count FROM facts GROUP BY 1"
+    )
+    q["avg_payment_by_type"] = _q(
+        f"SELECT payment_type, {_mavg('payment_value')} AS avg_payment_value FROM facts GROUP BY 1"
+    )
+    q["review_distribution"] = _q("SELECT review_sentiment, count(*) AS count FROM facts GROUP BY 1")
+    q["review_score_distribution"] = _q("SELECT review_score, count(*) AS count FROM facts GROUP BY 1")
+    q["review_score_by_state"] = _q(
+        STATE_MEASURES + "SELECT customer_state, avg_review_score FROM sm"
+    )
+    q["review_score_by_category"] = _q(
+        f"SELECT product_category_name, {_mavg('review_score')} AS avg_review_score "
+        "FROM facts GROUP BY 1"
+    )
+    q["late_delivery_by_state"] = _q(
+        STATE_MEASURES
+        + "SELECT customer_state, total_rows, late_rows, unique_orders, "
+        f"{_round_div('late_rows', 'total_rows', 4)} AS late_delivery_rate FROM sm"
+    )
+    q["on_time_vs_late_delivery"] = _q(
+        "SELECT CASE WHEN is_late_delivery = 1 THEN 'late' ELSE 'on_time' END AS delivery_status, "
+        "count(*) AS count FROM facts GROUP BY 1"
+    )
+    q["average_delay_by_state"] = _q(
+        STATE_MEASURES + "SELECT customer_state, avg_delay_days FROM sm"
+    )
+    q["delay_trend_over_time"] = _q(
+        f"SELECT purchase_date, {_iavg('delivery_delay_days')} AS avg_delay_days FROM facts "
+        "WHERE purchase_date IS NOT NULL GROUP BY 1"
+    )
+    q["delay_vs_review_score"] = _q(
+        f"SELECT review_score, {_iavg('delivery_delay_days')} AS avg_delay_days FROM facts GROUP BY 1"
+    )
+    q["decision_support"] = _q(
+        STATE_MEASURES
+        + f"""
+, cm AS (SELECT product_category_name, {REV} AS rev FROM facts GROUP BY 1),
+pm AS (SELECT payment_type, count(DISTINCT order_id) AS n FROM facts GROUP BY 1),
+sd AS (SELECT review_sentiment, count(*) AS n FROM facts GROUP BY 1)
+SELECT
+  (SELECT customer_state FROM sm ORDER BY revenue_exact DESC, customer_state LIMIT 1) AS best_state_by_revenue,
+  (SELECT product_category_name FROM cm ORDER BY rev DESC, product_category_name LIMIT 1)
+    AS top_category_by_revenue,
+  (SELECT payment_type FROM pm ORDER BY n DESC, payment_type LIMIT 1) AS top_payment_type,
+  (SELECT customer_state FROM sm ORDER BY CAST(late_rows AS DOUBLE) / total_rows DESC, customer_state LIMIT 1)
+    AS worst_state_by_late_rate,
+  coalesce((SELECT {_round_div("coalesce(sum(n) FILTER (WHERE review_sentiment = 'positive'), 0)", 'sum(n)', 4)}
+            FROM sd), 0.0) AS positive_review_ratio,
+  coalesce((SELECT {_round_div("coalesce(sum(n) FILTER (WHERE review_sentiment = 'negative'), 0)", 'sum(n)', 4)}
+            FROM sd), 0.0) AS negative_review_ratio"""
+    )
     return q

@@ -40,7 +40,7 @@ def get_spark(
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     if master and master.startswith("local"):
-        builder = builder.config("spark.ui.enabled", "false")
+        builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     spark = builder.getOrCreate()
     for key, value in DEFAULT_CONF.items():
         spark.conf.set(key, value)
