@@ -10,7 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.operators import marts, orders
+import datetime as dt
+
+from orderlens.operators import filters, insights, marts, orders, trends
 from orderlens.plans.facts import enriched, facts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,9 +58,51 @@ OUTPUTS = [
 ]
 
 
+# Parameters of the registered view-filter queries (dashboard selections).
+RANGE_START, RANGE_END = dt.date(1996, 1, 1), dt.date(1998, 12, 31)
+SELECTED_STATE = "NATION_7"
+
+
+def _daily(f):
+    return marts.orders_per_day(f)
+
+
+def derived_queries() -> dict[str, Query]:
+    q: dict[str, Query] = {}
+    q["orders_trend_forecast"] = _on_facts(
+        lambda f: trends.linear_trend_forecast(_daily(f), "purchase_date", "order_count", periods=30, scale=0)
+    )
+    q["orders_moving_average"] = _on_facts(
+        lambda f: trends.moving_average(_daily(f), "purchase_date", "order_count", window=7)
+    )
+    q["orders_trend_summary"] = _on_facts(
+        lambda f: trends.trend_summary(_daily(f), "purchase_date", "order_count", scale=0)
+    )
+    q["revenue_concentration"] = _on_facts(
+        lambda f: trends.concentration_index(marts.revenue_by_state(f), "revenue")
+    )
+    q["freight_price_correlation"] = _on_facts(
+        lambda f: trends.correlation(marts.freight_vs_price_by_category(f), "avg_price", "avg_freight", 2)
+    )
+    q["date_bounds"] = _on_facts(lambda f: filters.date_bounds(_daily(f)))
+    q["daily_orders_in_range"] = _on_facts(lambda f: filters.date_range(_daily(f), RANGE_START, RANGE_END))
+    q["state_late_delivery_selected"] = _on_facts(
+        lambda f: filters.equals_or_all(marts.late_delivery_by_state(f), "customer_state", SELECTED_STATE)
+    )
+    q["category_price_ranking"] = _on_facts(
+        lambda f: filters.project_sorted(
+            marts.freight_vs_price_by_category(f), ["product_category_name", "avg_price"], "avg_price"
+        )
+    )
+    for name, fn in insights.BLOCKS.items():
+        q["insight_" + name] = _on_facts(fn)
+    return q
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {"enriched_orders": enriched}
     q["order_level"] = _on_facts(lambda f: orders.order_level(f).drop("order_revenue_exact"))
     for fn in OUTPUTS:
         q[fn.__name__] = _on_facts(fn)
+    q.update(derived_queries())
     return q

@@ -290,3 +290,347 @@ SELECT
             FROM sd), 0.0) AS negative_review_ratio"""
     )
     return q
+
+
+# --------------------------------------------------------------------------
+# Trends, filters and insight blocks
+# --------------------------------------------------------------------------
+
+DAILY = """
+, daily AS (SELECT purchase_date, count(DISTINCT order_id) AS order_count FROM facts
+            WHERE purchase_date IS NOT NULL GROUP BY 1)
+"""
+
+
+def _scaled(y: str, s: int) -> str:
+    return f"CAST(round(CAST({y} AS DECIMAL(38,6)) * {10**s}) AS HUGEINT)"
+
+
+def _fit_parts(x: str, y: str, s: int) -> str:
+    xi = f"(CASE WHEN {y} IS NOT NULL THEN CAST({x} AS HUGEINT) END)"
+    yi = _scaled(y, s)
+    return (f"count(*) AS _n, count({y}) AS _k, sum({xi}) AS _sx, sum({yi}) AS _sy, "
+            f"sum({xi} * {xi}) AS _sxx, sum({xi} * {yi}) AS _sxy, sum({yi} * {yi}) AS _syy")
+
+
+def _growth_parts(order: str, y: str) -> str:
+    return (f"CAST(arg_min_null({y}, {order}) FILTER (WHERE {y} IS NOT NULL) AS DOUBLE) AS _first, "
+            f"CAST(arg_max_null({y}, {order}) FILTER (WHERE {y} IS NOT NULL) AS DOUBLE) AS _last, "
+            f"count({y}) AS _gk")
+
+
+def _slope(s: int) -> str:
+    num = "(_k * _sxy - _sx * _sy)"
+    den = "(_k * _sxx - _sx * _sx)"
+    return (f"(CASE WHEN _k >= 2 AND {den} <> 0 THEN CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) "
+            f"/ {float(10**s)} ELSE 0.0 END)")
+
+
+def _intercept(s: int) -> str:
+    return (f"(CASE WHEN _k >= 2 THEN CAST(_sy AS DOUBLE) / {float(10**s)} / CAST(_k AS DOUBLE) "
+            f"- {_slope(s)} * (CAST(_sx AS DOUBLE) / CAST(_k AS DOUBLE)) ELSE 0.0 END)")
+
+
+def _std(s: int) -> str:
+    return (f"(CASE WHEN _k >= 2 THEN sqrt(CAST(_k * _syy - _sy * _sy AS DOUBLE) / CAST(_k * (_k - 1) AS DOUBLE))"
+            f" / {float(10**s)} END)")
+
+
+def _trend(s: int) -> str:
+    std = _std(s)
+    norm = f"({_slope(s)} / {std})"
+    return (f"(CASE WHEN _n < 3 OR {std} IS NULL OR {std} = 0 THEN 'stable' WHEN {norm} > 0.05 THEN 'increasing' "
+            f"WHEN {norm} < -0.05 THEN 'decreasing' ELSE 'stable' END)")
+
+
+GROWTH = ("(CASE WHEN _gk >= 2 AND _first <> 0 AND _last <> 0 THEN (_last - _first) / abs(_first) "
+          "ELSE 0.0 END)")
+
+
+def _corr_parts(x: str, y: str, s: int) -> str:
+    both = f"{x} IS NOT NULL AND {y} IS NOT NULL"
+    xi = f"(CASE WHEN {both} THEN {_scaled(x, s)} END)"
+    yi = f"(CASE WHEN {both} THEN {_scaled(y, s)} END)"
+    return (f"count(*) AS _cn, count({xi}) AS _ck, sum({xi}) AS _cx, sum({yi}) AS _cy, sum({xi} * {xi}) AS _cxx, "
+            f"sum({yi} * {yi}) AS _cyy, sum({xi} * {yi}) AS _cxy")
+
+
+_VX = "(_ck * _cxx - _cx * _cx)"
+_VY = "(_ck * _cyy - _cy * _cy)"
+CORR = (f"(CASE WHEN _cn <= 2 THEN 0.0 WHEN {_VX} > 0 AND {_VY} > 0 THEN "
+        f"CAST(_ck * _cxy - _cx * _cy AS DOUBLE) / sqrt(CAST({_VX} AS DOUBLE) * CAST({_VY} AS DOUBLE)) END)")
+
+
+def _band(r: str) -> str:
+    return f"(CASE WHEN {r} > 0.5 THEN 'strong positive' WHEN {r} > 0.2 THEN 'moderate' ELSE 'weak' END)"
+
+
+def _ord(metric: str, key: str) -> str:
+    return f"struct_pack(f := ({metric}) IS NULL, m := -({metric}), k := {key})"
+
+
+def _first(value: str, metric: str, key: str) -> str:
+    return f"arg_min_null({value}, {_ord(metric, key)})"
+
+
+def _last(value: str, metric: str, key: str) -> str:
+    return f"arg_max_null({value}, {_ord(metric, key)})"
+
+
+def _dsum(v: str, s: int = 4) -> str:
+    return f"CAST(sum(CAST({v} AS DECIMAL(38,{s}))) AS DOUBLE)"
+
+
+def _share(part: str, total: str) -> str:
+    return f"(CASE WHEN ({total}) > 0 THEN CAST({part} AS DOUBLE) / CAST({total} AS DOUBLE) ELSE 0.0 END)"
+
+
+def _mean(v: str) -> str:
+    return f"coalesce({_dsum(v)} / count({v}), 0.0)"
+
+
+def _lift(top: str, mean: str) -> str:
+    return f"(CASE WHEN {mean} <> 0 THEN ({top} - {mean}) / {mean} END)"
+
+
+def _cents_sql(x: str) -> str:
+    return f"CAST(round({x}, 2) AS DOUBLE)"
+
+
+CATEGORY_MEASURES = f"""
+, cm AS (
+  SELECT product_category_name, {REV} AS revenue_exact,
+         sum(CAST(price AS DECIMAL(18,4))) AS price_sum, count(price) AS price_n,
+         sum(CAST(freight_value AS DECIMAL(18,4))) AS freight_sum, count(freight_value) AS freight_n,
+         sum(CAST(review_score AS DECIMAL(18,4))) AS score_sum, count(review_score) AS score_n
+  FROM facts GROUP BY 1)
+"""
+PAYMENT_MEASURES = """
+, pm AS (
+  SELECT payment_type, count(DISTINCT order_id) AS order_count,
+         sum(CAST(payment_value AS DECIMAL(18,4))) AS payment_sum, count(payment_value) AS payment_n
+  FROM facts GROUP BY 1)
+"""
+STATE_SCORE = """
+, ss AS (
+  SELECT customer_state, sum(CAST(review_score AS DECIMAL(18,4))) AS score_sum, count(review_score) AS score_n
+  FROM facts GROUP BY 1)
+"""
+
+
+def _top_share(table: str, key: str, exact: str, value: str, label: str, conc: bool) -> str:
+    out = f"top_{label}, top_value, {_share('top_value', '_total')} AS top_share"
+    if conc:
+        out += ", CASE WHEN coalesce(_total, 0.0) = 0 THEN 0.0 ELSE _max / _total END AS concentration_index"
+    return f"""
+, blk AS (
+  SELECT {_first(key, exact, key)} AS top_{label}, {_first(value, exact, key)} AS top_value,
+         {_dsum(value)} AS _total, CAST(max({value}) AS DOUBLE) AS _max
+  FROM {table})
+SELECT {out} FROM blk"""
+
+
+def _ratio(num: str, den: str) -> str:
+    return f"(CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE))"
+
+
+def derived_oracle() -> dict[str, str]:
+    q: dict[str, str] = {}
+    pos = DAILY + ", pos AS (SELECT *, row_number() OVER (ORDER BY purchase_date) - 1 AS position FROM daily)\n"
+    q["orders_trend_forecast"] = _q(
+        pos
+        + f"""
+, fit AS (SELECT _n, _k, {_slope(0)} AS slope, {_intercept(0)} AS intercept
+          FROM (SELECT {_fit_parts('position', 'order_count', 0)} FROM pos))
+SELECT CAST(p AS BIGINT) AS position, slope * p + intercept AS forecast, slope
+FROM fit, range(_n, _n + 30) t(p) WHERE _k >= 2"""
+    )
+    q["orders_moving_average"] = _q(
+        DAILY
+        + "SELECT purchase_date, order_count, avg(order_count) OVER (ORDER BY purchase_date "
+        "ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS moving_average FROM daily"
+    )
+    q["orders_trend_summary"] = _q(
+        pos
+        + f"""
+SELECT {_slope(0)} AS slope, {GROWTH} AS growth_rate, {_trend(0)} AS trend
+FROM (SELECT {_fit_parts('position', 'order_count', 0)}, {_growth_parts('position', 'order_count')} FROM pos)"""
+    )
+    rbs = f", rbs AS (SELECT customer_state, {_cents_sql(REV)} AS revenue FROM facts GROUP BY 1)\n"
+    q["revenue_concentration"] = _q(
+        rbs
+        + f"""
+SELECT CASE WHEN coalesce(_sum, 0.0) = 0 THEN 0.0 ELSE _max / _sum END AS concentration_index
+FROM (SELECT CAST(max(revenue) AS DOUBLE) AS _max, {_dsum('revenue')} AS _sum FROM rbs)"""
+    )
+    fvp = (f", fvp AS (SELECT product_category_name, {_mavg('price')} AS avg_price, "
+           f"{_mavg('freight_value')} AS avg_freight FROM facts GROUP BY 1)\n")
+    q["freight_price_correlation"] = _q(
+        fvp + f"SELECT {CORR} AS correlation, {_band(CORR)} AS correlation_band "
+        f"FROM (SELECT {_corr_parts('avg_price', 'avg_freight', 2)} FROM fvp)"
+    )
+    q["date_bounds"] = _q(
+        DAILY
+        + """
+SELECT least(coalesce(lo, DATE '2016-01-01'), coalesce(hi, current_date)) AS date_start,
+       greatest(coalesce(lo, DATE '2016-01-01'), coalesce(hi, current_date)) AS date_end
+FROM (SELECT min(purchase_date) AS lo, max(purchase_date) AS hi FROM daily)"""
+    )
+    q["daily_orders_in_range"] = _q(
+        DAILY + "SELECT * FROM daily WHERE purchase_date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'"
+    )
+    q["state_late_delivery_selected"] = _q(
+        STATE_MEASURES
+        + "SELECT customer_state, total_rows, late_rows, unique_orders, "
+        f"{_round_div('late_rows', 'total_rows', 4)} AS late_delivery_rate FROM sm WHERE customer_state = 'NATION_7'"
+    )
+    q["category_price_ranking"] = _q(fvp + "SELECT product_category_name, avg_price FROM fvp")
+
+    # insight blocks
+    base = oracle_queries()
+    q["insight_kpi_summary"] = base["kpi_summary"]
+    q["insight_orders_per_day"] = _q(
+        pos
+        + f"""
+SELECT {_trend(0)} AS trend, {GROWTH} AS growth_rate,
+       coalesce(CAST(_total AS DOUBLE) / _k, 0.0) AS avg_daily_orders,
+       CAST(coalesce(_peak, 0) AS BIGINT) AS peak_daily_orders
+FROM (SELECT {_fit_parts('position', 'order_count', 0)}, {_growth_parts('position', 'order_count')},
+             sum(order_count) AS _total, max(order_count) AS _peak FROM pos)"""
+    )
+    part = "coalesce(sum(order_count) FILTER (WHERE order_status = '{}'), 0)"
+    q["insight_order_status"] = _q(
+        ", t AS (SELECT order_status, count(DISTINCT order_id) AS order_count FROM facts GROUP BY 1)\n"
+        f"SELECT CAST(coalesce(sum(order_count), 0) AS BIGINT) AS total_orders, "
+        f"{_share(part.format('delivered'), 'sum(order_count)')} AS delivered_share, "
+        f"{_share(part.format('canceled'), 'sum(order_count)')} AS canceled_share FROM t"
+    )
+    q["insight_revenue_by_state"] = _q(
+        STATE_MEASURES
+        + _top_share("sm", "customer_state", "revenue_exact", _cents_sql("revenue_exact"), "state", True)
+    )
+    q["insight_orders_by_state"] = _q(
+        STATE_MEASURES + _top_share("sm", "customer_state", "unique_orders", "unique_orders", "state", False)
+    )
+    aov_pub = _round_div("aov_sum", "aov_n", 2, 4)
+    aov_ex = _ratio("aov_sum", "aov_n")
+    q["insight_avg_order_value_by_state"] = _q(
+        f"""
+, am AS (SELECT customer_state, sum(orev) AS aov_sum, count(*) AS aov_n
+         FROM (SELECT customer_state, order_id, {REV} AS orev FROM facts WHERE order_id IS NOT NULL GROUP BY 1, 2)
+         GROUP BY 1),
+blk AS (SELECT {_first('customer_state', aov_ex, 'customer_state')} AS top_state,
+               {_first(aov_pub, aov_ex, 'customer_state')} AS top_value, {_mean(aov_pub)} AS mean_value FROM am)
+SELECT top_state, top_value, mean_value, {_lift('top_value', 'mean_value')} AS lift FROM blk"""
+    )
+    q["insight_top_cities"] = _q(
+        f"""
+, tc AS (SELECT customer_city, {REV} AS revenue_exact FROM facts GROUP BY 1
+         ORDER BY revenue_exact DESC, customer_city LIMIT 10)"""
+        + _top_share("tc", "customer_city", "revenue_exact", _cents_sql("revenue_exact"), "city", False)
+    )
+    q["insight_revenue_by_category"] = _q(
+        CATEGORY_MEASURES
+        + _top_share("cm", "product_category_name", "revenue_exact", _cents_sql("revenue_exact"), "category", True)
+    )
+
+    def best_worst(table: str, key: str, label: str) -> str:
+        ex, pub = _ratio("score_sum", "score_n"), _round_div("score_sum", "score_n", 2, 4)
+        return (f"SELECT {_first(key, ex, key)} AS best_{label}, {_first(pub, ex, key)} AS best_score, "
+                f"{_last(key, ex, key)} AS worst_{label}, {_last(pub, ex, key)} AS worst_score, "
+                f"{_mean(pub)} AS mean_score FROM {table}")
+
+    q["insight_review_score_by_category"] = _q(
+        CATEGORY_MEASURES + best_worst("cm", "product_category_name", "category")
+    )
+    q["insight_freight_vs_price"] = _q(
+        CATEGORY_MEASURES
+        + f"""
+, f AS (SELECT product_category_name, {_ratio('price_sum', 'price_n')} AS price_exact,
+               {_round_div('price_sum', 'price_n', 2, 4)} AS avg_price,
+               {_round_div('freight_sum', 'freight_n', 2, 4)} AS avg_freight FROM cm),
+a AS (SELECT {_corr_parts('avg_price', 'avg_freight', 2)},
+             {_first('product_category_name', 'price_exact', 'product_category_name')} AS high_price_category,
+             max(avg_price) AS high_price,
+             arg_min_null(product_category_name, struct_pack(a := avg_freight IS NULL, b := -avg_freight,
+                          c := price_exact IS NULL, d := -price_exact, k := product_category_name))
+               AS high_freight_category,
+             max(avg_freight) AS high_freight FROM f)
+SELECT {CORR} AS correlation, {_band(CORR)} AS correlation_band, high_price_category, high_price,
+       high_freight_category, high_freight FROM a"""
+    )
+    cnt = "coalesce(sum(order_count) FILTER (WHERE payment_type = '{}'), 0)"
+    q["insight_payment_orders"] = _q(
+        PAYMENT_MEASURES
+        + f"""
+, a AS (SELECT coalesce(sum(order_count), 0) AS total, {cnt.format('credit_card')} AS cc,
+               {cnt.format('boleto')} AS bo FROM pm)
+SELECT CAST(total AS BIGINT) AS total_orders, CAST(cc AS BIGINT) AS credit_card_orders,
+       CAST(bo AS BIGINT) AS boleto_orders, {_share('cc', 'total')} AS credit_card_share,
+       {_share('total - cc - bo', 'total')} AS other_share FROM a"""
+    )
+    q["insight_installments"] = _q(
+        f"""
+, t AS (SELECT payment_installments AS inst, count(*) AS cnt FROM facts GROUP BY 1),
+a AS (SELECT arg_min_null(inst, struct_pack(a := -cnt, b := inst IS NULL, c := inst)) AS _mode,
+             max(cnt) AS _mode_count, sum(cnt) AS _total,
+             coalesce(sum(cnt) FILTER (WHERE inst > 1), 0) AS _multi FROM t)
+SELECT coalesce(CAST(_mode AS BIGINT), 1) AS mode_installments, CAST(coalesce(_mode_count, 0) AS BIGINT) AS mode_count,
+       {_share('_mode_count', '_total')} AS mode_share, {_share('_multi', '_total')} AS multi_installment_share
+FROM a"""
+    )
+    pex, ppub = _ratio("payment_sum", "payment_n"), _round_div("payment_sum", "payment_n", 2, 4)
+    q["insight_avg_payment_by_type"] = _q(
+        PAYMENT_MEASURES
+        + f"""
+, blk AS (SELECT {_first('payment_type', pex, 'payment_type')} AS top_type,
+                 {_first(ppub, pex, 'payment_type')} AS top_value, {_mean(ppub)} AS mean_value FROM pm)
+SELECT top_type, top_value, mean_value, {_lift('top_value', 'mean_value')} AS lift FROM blk"""
+    )
+    dpart = "coalesce(sum(n) FILTER (WHERE delivery_status = '{}'), 0)"
+    q["insight_on_time_vs_late"] = _q(
+        """
+, t AS (SELECT CASE WHEN is_late_delivery = 1 THEN 'late' ELSE 'on_time' END AS delivery_status, count(*) AS n
+        FROM facts GROUP BY 1)"""
+        + f"\nSELECT {_share(dpart.format('on_time'), 'sum(n)')} AS on_time_share, "
+        f"{_share(dpart.format('late'), 'sum(n)')} AS late_share FROM t"
+    )
+    lex, lpub = _ratio("late_rows", "total_rows"), _round_div("late_rows", "total_rows", 4)
+    q["insight_late_delivery_by_state"] = _q(
+        STATE_MEASURES
+        + f"""
+, blk AS (SELECT {_first('customer_state', lex, 'customer_state')} AS worst_state,
+                 {_first(lpub, lex, 'customer_state')} AS worst_rate, {_mean(lpub)} AS mean_rate FROM sm)
+SELECT worst_state, worst_rate, mean_rate, {_lift('worst_rate', 'mean_rate')} AS lift FROM blk"""
+    )
+    q["insight_delay_trend"] = _q(
+        f"""
+, dt AS (SELECT purchase_date, {_iavg('delivery_delay_days')} AS avg_delay_days FROM facts
+         WHERE purchase_date IS NOT NULL GROUP BY 1),
+pos AS (SELECT *, row_number() OVER (ORDER BY purchase_date) - 1 AS position FROM dt),
+a AS (SELECT {_fit_parts('position', 'avg_delay_days', 2)}, {_growth_parts('position', 'avg_delay_days')} FROM pos)
+SELECT {_trend(2)} AS trend, coalesce(_first, 0.0) AS earliest, coalesce(_last, 0.0) AS latest,
+       coalesce(_first, 0.0) - coalesce(_last, 0.0) AS improvement FROM a"""
+    )
+    spart = "coalesce(sum(n) FILTER (WHERE review_score = {}), 0)"
+    q["insight_review_distribution"] = _q(
+        ", t AS (SELECT review_score, count(*) AS n FROM facts GROUP BY 1)\n"
+        f"SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS total_rows, "
+        f"{_share(spart.format('5.0'), 'sum(n)')} AS five_star_share, "
+        f"{_share(spart.format('1.0'), 'sum(n)')} AS one_star_share FROM t"
+    )
+    q["insight_review_score_by_state"] = _q(
+        STATE_SCORE
+        + ", bw AS (" + best_worst("ss", "customer_state", "state") + ")\n"
+        "SELECT best_state, best_score, worst_state, worst_score, best_score - worst_score AS score_gap, mean_score "
+        "FROM bw"
+    )
+    q["insight_delay_vs_review"] = _q(
+        f"""
+, t AS (SELECT review_score, {_iavg('delivery_delay_days')} AS avg_delay_days FROM facts GROUP BY 1),
+a AS (SELECT {_corr_parts('review_score', 'avg_delay_days', 2)},
+             arg_min_null(review_score, struct_pack(a := avg_delay_days IS NULL, b := -avg_delay_days,
+                          c := review_score IS NULL, d := review_score)) AS _worst FROM t)
+SELECT {CORR} AS correlation, coalesce(_worst, 1.0) AS worst_score FROM a"""
+    )
+    return q
