@@ -12,8 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 import datetime as dt
 
-from orderlens.operators import filters, insights, marts, orders, trends
+from orderlens.operators import contracts, filters, insights, marts, orders, trends
 from orderlens.plans.facts import enriched, facts
+from orderlens.plans.refresh import refresh
+from orderlens.plans.stream_job import ingest_roundtrip, run_folder
+from orderlens.sources.testdata import load_testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +61,13 @@ OUTPUTS = [
 ]
 
 
+def contract_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refresh, export every table, then check the exported folder (Q1-Q3)."""
+    out_dir = run_folder(spark, "outputs")
+    refresh(spark, load_testdata(spark, sf_dir), out_dir=out_dir)
+    return contracts.contract_report(spark, out_dir).drop("last_modified")
+
+
 # Parameters of the registered view-filter queries (dashboard selections).
 RANGE_START, RANGE_END = dt.date(1996, 1, 1), dt.date(1998, 12, 31)
 SELECTED_STATE = "NATION_7"
@@ -94,6 +104,8 @@ def derived_queries() -> dict[str, Query]:
             marts.freight_vs_price_by_category(f), ["product_category_name", "avg_price"], "avg_price"
         )
     )
+    q["stream_ingest_roundtrip"] = ingest_roundtrip
+    q["contract_report"] = contract_roundtrip
     for name, fn in insights.BLOCKS.items():
         q["insight_" + name] = _on_facts(fn)
     return q

@@ -486,8 +486,18 @@ FROM (SELECT min(purchase_date) AS lo, max(purchase_date) AS hi FROM daily)"""
     )
     q["category_price_ranking"] = _q(fvp + "SELECT product_category_name, avg_price FROM fvp")
 
-    # insight blocks
     base = oracle_queries()
+    # the stream round trip must reproduce the batch result exactly
+    q["stream_ingest_roundtrip"] = base["late_delivery_by_state"]
+    # contract report: every expected table exported with its row count
+    parts = []
+    for name in S.EXPECTED_OUTPUTS:
+        parts.append(f"SELECT '{name}' AS \"table\", (SELECT count(*) FROM ({base[name]})) AS n")
+    q["contract_report"] = (
+        "SELECT \"table\", true AS \"exists\", CAST(n AS BIGINT) AS row_count, "
+        "CASE WHEN n = 0 THEN 'warning' ELSE 'ok' END AS status FROM (" + " UNION ALL ".join(parts) + ")"
+    )
+    # insight blocks
     q["insight_kpi_summary"] = base["kpi_summary"]
     q["insight_orders_per_day"] = _q(
         pos
