@@ -21,27 +21,43 @@ from orderlens.sources.sinks import CSV_OPTIONS
 
 
 def file_stats(spark: SparkSession, out_dir: str) -> DataFrame:
-    """(table, files, data_rows, last_modified) for every exported table."""
-    one_col = T.StructType([T.StructField("_c0", T.StringType())])
+    """(table, files, bytes, data_rows, last_modified) for every exported table.
+
+    File listing (existence, size, modification time) comes from the
+    ``binaryFile`` source reading metadata only; data rows from one CSV scan
+    over all tables grouped by the file's folder.
+    """
     empty = spark.createDataFrame(
-        [], "table string, files long, data_rows long, last_modified timestamp"
+        [], "table string, files long, bytes long, data_rows long, last_modified timestamp"
     )
+    base = out_dir.rstrip("/")
     try:
-        rows = (
-            spark.read.schema(one_col)
-            .options(**CSV_OPTIONS)
-            .option("multiLine", "true")
-            .csv(f"{out_dir.rstrip('/')}/*/*.csv")
-            .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("mtime"))
+        listing = (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", "*.csv")
+            .load(f"{base}/*")
+            .select("path", "length", "modificationTime")
         )
     except AnalysisException:
         return empty
     table = F.element_at(F.split(F.col("path"), "/"), -2)
-    per_file = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.max("mtime").alias("mtime"))
-    return per_file.groupBy(table.alias("table")).agg(
+    files = listing.groupBy(table.alias("table")).agg(
         F.count(F.lit(1)).alias("files"),
-        F.sum("n").alias("data_rows"),
-        F.max("mtime").alias("last_modified"),
+        F.sum("length").alias("bytes"),
+        F.max("modificationTime").alias("last_modified"),
+    )
+    one_col = T.StructType([T.StructField("_c0", T.StringType())])
+    rows = (
+        spark.read.schema(one_col)
+        .options(**CSV_OPTIONS)
+        .option("multiLine", "true")
+        .csv(f"{base}/*/*.csv")
+        .select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("table"))
+        .groupBy("table")
+        .agg(F.count(F.lit(1)).alias("data_rows"))
+    )
+    return files.join(rows, "table", "left").select(
+        "table", "files", "bytes", F.coalesce("data_rows", F.lit(0)).alias("data_rows"), "last_modified"
     )
 
 

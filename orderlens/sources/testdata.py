@@ -48,7 +48,12 @@ def load_testdata(spark: SparkSession, sf_dir: str) -> SourceTables:
         F.col("l_suppkey").cast("string").alias("seller_id"),
         _null(_TS).alias("shipping_limit_date"),
         F.col("l_extendedprice").alias("price"),
-        F.round(F.col("l_extendedprice") * F.col("l_tax"), 4).alias("freight_value"),
+        # price and tax carry two decimals, so the product is exact in
+        # DECIMAL(., 4): equal to round(price * tax, 4) without a per-row
+        # BigDecimal round of a double
+        (F.col("l_extendedprice").cast("decimal(15,2)") * F.col("l_tax").cast("decimal(4,2)"))
+        .cast("double")
+        .alias("freight_value"),
         # carried to the finalize step: delivery depends on the order status
         F.col("l_shipdate").cast(_TS).alias("_item_shipped_at"),
     )
