@@ -5,18 +5,26 @@ product_id, LEFT JOIN customers ON customer_id, LEFT JOIN payments ON
 order_id, LEFT JOIN reviews ON order_id. The grain is order x item x payment
 x review: payments and reviews multiply rows.
 
-Plan shape. The two N:1 dimension joins are moved below the order join:
-items LEFT JOIN products and orders LEFT JOIN customers are evaluated first
-(left joins are associative here because the later predicates reject nulls of
-their own left side). Then every remaining join is on order_id, so each input
-is hash-partitioned on order_id exactly once and the three order joins run as
-one co-partitioned chain with no re-shuffle of the fanned-out rows. Aggregates
-grouped by (anything, order_id) downstream need no further exchange either.
+Plan shape (same result, rearranged for scale):
+
+* The N:1 dimension joins run first, on the smaller inputs:
+  items LEFT JOIN products, orders LEFT JOIN customers (left joins are
+  associative here because every later predicate rejects nulls of its own
+  left side).
+* The order side (orders + customers, payments, reviews: a few rows per
+  order) is joined on order_id as one co-partitioned chain.
+* Items stream on the LEFT of an INNER join with the order side. A hot order
+  holding a large share of all items is then on a side AQE may split
+  (a skewed partition of the non-preserved side of an outer join cannot be
+  split). Items without an order are dropped, as the orders-preserving left
+  join of the reference drops them.
+* Orders without items are added back with a LEFT ANTI join against the
+  distinct item order_ids (deduplicated map-side, so a hot order costs one
+  row per task).
 
 No broadcast hints: the planner broadcasts a side only when its statistics are
-under spark.sql.autoBroadcastJoinThreshold, and AQE re-plans at runtime from
-actual shuffle sizes; everything larger stays a sort-merge join, and AQE
-splits skewed partitions (a hot order, customer or product).
+under spark.sql.autoBroadcastJoinThreshold, and AQE re-plans from actual
+shuffle sizes; larger sides stay sort-merge joins.
 """
 
 from __future__ import annotations
@@ -30,12 +38,15 @@ from orderlens.sources.tables import SourceTables
 
 def enrich(t: SourceTables) -> DataFrame:
     items = t.items.join(t.products, "product_id", "left")
-    orders = t.orders.join(t.customers, "customer_id", "left")
-    joined = (
-        orders.join(items, "order_id", "left")
+    order_side = (
+        t.orders.join(t.customers, "customer_id", "left")
         .join(t.payments, "order_id", "left")
         .join(t.reviews, "order_id", "left")
     )
+    with_items = items.join(order_side, "order_id", "inner")
+    item_orders = t.items.select("order_id").distinct()
+    without_items = order_side.join(item_orders, "order_id", "left_anti")
+    joined = with_items.unionByName(without_items, allowMissingColumns=True)
     joined = t.finalize(joined)
     present = set(joined.columns)
     return joined.select(*[F.col(c) if c in present else F.lit(None).alias(c) for c in S.ENRICHED_COLUMNS])
