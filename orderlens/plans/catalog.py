@@ -15,7 +15,7 @@ import datetime as dt
 from orderlens.operators import contracts, filters, insights, marts, orders, trends
 from orderlens.plans.facts import enriched, facts
 from orderlens.plans.refresh import refresh
-from orderlens.plans.stream_job import ingest_roundtrip, run_folder
+from orderlens.plans.stream_job import csv_snapshot_roundtrip, ingest_roundtrip, landing_csv_roundtrip, run_folder
 from orderlens.sources.testdata import load_testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,8 @@ def derived_queries() -> dict[str, Query]:
         )
     )
     q["stream_ingest_roundtrip"] = ingest_roundtrip
+    q["snapshot_csv_roundtrip"] = csv_snapshot_roundtrip
+    q["landing_csv_roundtrip"] = landing_csv_roundtrip
     q["contract_report"] = contract_roundtrip
     for name, fn in insights.BLOCKS.items():
         q["insight_" + name] = _on_facts(fn)

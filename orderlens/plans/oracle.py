@@ -489,6 +489,8 @@ FROM (SELECT min(purchase_date) AS lo, max(purchase_date) AS hi FROM daily)"""
     base = oracle_queries()
     # the stream round trip must reproduce the batch result exactly
     q["stream_ingest_roundtrip"] = base["late_delivery_by_state"]
+    q["snapshot_csv_roundtrip"] = base["avg_payment_by_type"]
+    q["landing_csv_roundtrip"] = base["revenue_by_category"]
     # contract report: every expected table exported with its row count
     parts = []
     for name in S.EXPECTED_OUTPUTS:

@@ -13,7 +13,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.operators import marts
-from orderlens.plans.facts import enriched, facts_from_raw
+from orderlens.plans.facts import enriched, facts_from_raw, facts_from_tables
+from orderlens.sources.tables import read_csv_tables, read_snapshot, write_csv_tables
+from orderlens.sources.testdata import load_testdata
 from orderlens.session import checkpoint_dir
 from orderlens.streaming import publish, read_stream, run_append
 
@@ -30,3 +32,21 @@ def ingest_roundtrip(spark: SparkSession, sf_dir: str, aggregate=marts.late_deli
     query.awaitTermination()
     snapshot = spark.read.parquet(sink)
     return aggregate(facts_from_raw(snapshot))
+
+
+def csv_snapshot_roundtrip(spark: SparkSession, sf_dir: str, aggregate=marts.avg_payment_by_type) -> DataFrame:
+    """Stream the messages into a CSV snapshot (the reference's landing file),
+    read it back with the snapshot scan (S8) and aggregate."""
+    base = run_folder(spark, "snapshot")
+    landing, sink, chk = f"{base}/landing", f"{base}/snapshot", f"{base}/checkpoint"
+    publish(enriched(spark, sf_dir), fmt="text", path=landing)
+    run_append(read_stream(spark, fmt="text", path=landing), sink, chk, fmt="csv").awaitTermination()
+    return aggregate(facts_from_raw(read_snapshot(spark, sink)))
+
+
+def landing_csv_roundtrip(spark: SparkSession, sf_dir: str, aggregate=marts.revenue_by_category) -> DataFrame:
+    """Land the six source tables as CSV, scan them back (S1) and aggregate."""
+    landing = run_folder(spark, "landing")
+    write_csv_tables(load_testdata(spark, sf_dir), landing)
+    tables = read_csv_tables(spark, landing)
+    return aggregate(facts_from_tables(tables))

@@ -66,6 +66,38 @@ def read_csv_tables(spark: SparkSession, landing_dir: str) -> SourceTables:
     return SourceTables(**frames)
 
 
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The raw enriched snapshot (CSV written by the stream sink).
+
+    Header, no inference (the fixed 36 string columns), quoted fields may
+    span lines, malformed rows kept (PERMISSIVE) and typed later.
+    """
+    return (
+        spark.read.schema(S.RAW_SCHEMA)
+        .option("header", True)
+        .option("multiLine", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("mode", "PERMISSIVE")
+        .csv(path)
+    )
+
+
+def write_csv_tables(tables: SourceTables, landing_dir: str) -> None:
+    """Land the six tables as CSV folders under the landing file names."""
+    for name, (file_name, columns) in CSV_FILES.items():
+        df = getattr(tables, name)
+        present = [c for c in columns if c in df.columns]
+        (
+            df.select(*present)
+            .write.mode("overwrite")
+            .option("header", True)
+            .option("escape", '"')
+            .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
+            .csv(f"{landing_dir.rstrip('/')}/{file_name}")
+        )
+
+
 def read_translation(spark: SparkSession, path: str) -> DataFrame:
     """Category -> English name lookup (the file starts with a BOM)."""
     df = (
@@ -77,3 +109,13 @@ def read_translation(spark: SparkSession, path: str) -> DataFrame:
         F.regexp_replace("product_category_name", "^\uFEFF", "").alias("product_category_name"),
         "product_category_name_english",
     )
+
+
+def translate_categories(df: DataFrame, translation: DataFrame) -> DataFrame:
+    """Add ``product_category_name_english`` (left join on the category).
+
+    The lookup is joined without a hint: the planner broadcasts it only while
+    its size is under the broadcast threshold.
+    """
+    lookup = translation.dropDuplicates(["product_category_name"])
+    return df.join(lookup, "product_category_name", "left")
