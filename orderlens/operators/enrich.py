@@ -22,6 +22,10 @@ Plan shape (same result, rearranged for scale):
   distinct item order_ids (deduplicated map-side, so a hot order costs one
   row per task).
 
+Every join goes through ``skew.skew_join``: keys estimated to hold more rows
+than one task should process are salted (see ``operators/skew.py``); with no
+such key the join is the plain one.
+
 No broadcast hints: the planner broadcasts a side only when its statistics are
 under spark.sql.autoBroadcastJoinThreshold, and AQE re-plans from actual
 shuffle sizes; larger sides stay sort-merge joins.
@@ -33,17 +37,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens import schema as S
+from orderlens.operators.skew import DEFAULT_POLICY, SkewPolicy, hot_keys, skew_join
 from orderlens.sources.tables import SourceTables
 
 
-def enrich(t: SourceTables) -> DataFrame:
-    items = t.items.join(t.products, "product_id", "left")
-    order_side = (
-        t.orders.join(t.customers, "customer_id", "left")
-        .join(t.payments, "order_id", "left")
-        .join(t.reviews, "order_id", "left")
-    )
-    with_items = items.join(order_side, "order_id", "inner")
+def enrich(t: SourceTables, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+    def hot(df: DataFrame, key: str) -> list[tuple]:
+        return hot_keys(df, key, policy)
+
+    items = skew_join(t.items, t.products, "product_id", "left", hot(t.items, "product_id"), "left")
+    orders = skew_join(t.orders, t.customers, "customer_id", "left", hot(t.orders, "customer_id"), "left")
+    order_side = skew_join(orders, t.payments, "order_id", "left", hot(t.payments, "order_id"), "right")
+    order_side = skew_join(order_side, t.reviews, "order_id", "left", hot(t.reviews, "order_id"), "right")
+    with_items = skew_join(items, order_side, "order_id", "inner", hot(t.items, "order_id"), "left")
     item_orders = t.items.select("order_id").distinct()
     without_items = order_side.join(item_orders, "order_id", "left_anti")
     joined = with_items.unionByName(without_items, allowMissingColumns=True)

@@ -13,6 +13,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -109,12 +112,25 @@ def all_outputs(facts: DataFrame, shared: bool = True) -> tuple[dict[str, DataFr
     return tables, cached
 
 
+def run_concurrently(outputs: dict[str, DataFrame], action: Callable[[str, DataFrame], None], threads: int = 8):
+    """Run one action per output as concurrent Spark jobs of this application.
+
+    The outputs are small, independent aggregations over the same facts; with
+    several jobs in flight the cluster stays busy while each job's final,
+    single-partition stages run.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        for f in [pool.submit(action, name, df) for name, df in outputs.items()]:
+            f.result()
+
+
 def refresh(
     spark: SparkSession,
     tables: SourceTables,
     out_dir: str | None = None,
     mode: str = "parquet",
     shared: bool = True,
+    threads: int = 8,
 ) -> dict[str, DataFrame]:
     """Run the whole refresh; export to ``out_dir`` when given.
 
@@ -124,7 +140,7 @@ def refresh(
     outputs, cached = all_outputs(facts, shared)
     if out_dir:
         try:
-            export_tables(outputs, out_dir)
+            run_concurrently(outputs, lambda name, df: export_tables({name: df}, out_dir), threads)
         finally:
             for df in cached:
                 df.unpersist()

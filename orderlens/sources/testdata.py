@@ -26,7 +26,22 @@ def _days(ts: Column, n: int) -> Column:
     return ts + F.make_interval(days=F.lit(n))
 
 
+_LOADED: dict[tuple, SourceTables] = {}
+
+
 def load_testdata(spark: SparkSession, sf_dir: str) -> SourceTables:
+    """The six tables over ``sf_dir``; built once per session and directory.
+
+    The frames are lazy plans over immutable files, so reusing them only
+    saves file listing, footer reads and analysis; nothing is cached.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _LOADED:
+        _LOADED[key] = _build(spark, sf_dir)
+    return _LOADED[key]
+
+
+def _build(spark: SparkSession, sf_dir: str) -> SourceTables:
     orders_raw = _read(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
     purchase = F.col("o_orderdate").cast(_TS)

@@ -13,7 +13,7 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_spark("orderlens-tests", master="local[*]", shuffle_partitions=8)
+    s = get_spark("orderlens-tests", master="local[*]", shuffle_partitions=8, extra={"spark.driver.memory": "6g"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
