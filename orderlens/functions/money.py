@@ -44,17 +44,6 @@ def ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-def exact_avg(c: Column | str) -> Column:
-    """Unrounded average of a money column (exact sum / count), for ordering."""
-    return ratio(money_sum(c), F.count(_c(c)))
-
-
-def plain_avg(c: Column | str) -> Column:
-    """Unrounded sum / count over non-null values, for ordering."""
-    col = _c(c)
-    return ratio(F.sum(col), F.count(col))
-
-
 def round_div(num: Column, den: Column, digits: int, num_scale: int = 0) -> Column:
     """num / den rounded to ``digits`` places, half away from zero, exactly.
 
@@ -74,8 +63,3 @@ def round_div(num: Column, den: Column, digits: int, num_scale: int = 0) -> Colu
     value = F.signum(n) * q.cast("double") / F.lit(float(10**digits))
     return F.when(den > 0, value)
 
-
-def avg_rounded(c: Column | str, digits: int = 2) -> Column:
-    """Exactly rounded average of a measure with at most four decimals."""
-    col = _c(c)
-    return round_div(F.sum(col.cast(MONEY)), F.count(col), digits, MONEY_SCALE)

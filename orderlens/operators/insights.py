@@ -122,7 +122,7 @@ def orders_by_state(facts: DataFrame) -> DataFrame:
 def avg_order_value_by_state(facts: DataFrame) -> DataFrame:
     """Leading state, mean of the state values, lift of the leader."""
     m = marts.aov_measures(facts)
-    exact, pub, key = marts._avg_exact("aov"), marts._avg_out("aov"), F.col("customer_state")
+    exact, pub, key = marts.avg_exact("aov"), marts.avg_out("aov"), F.col("customer_state")
     agg = m.agg(
         first_by(key, exact, key).alias("top_state"),
         first_by(pub, exact, key).alias("top_value"),
@@ -133,7 +133,7 @@ def avg_order_value_by_state(facts: DataFrame) -> DataFrame:
 
 def top_cities(facts: DataFrame) -> DataFrame:
     """Leading city and its share of the top-10 total."""
-    top = marts._revenue_by(facts, "customer_city").orderBy(
+    top = marts.revenue_by(facts, "customer_city").orderBy(
         F.col("revenue_exact").desc_nulls_last(), F.col("customer_city").asc_nulls_last()
     ).limit(marts.TOP_N)
     return _top_share_block(top, "customer_city", "revenue_exact", to_cents(F.col("revenue_exact")), "city", False)
@@ -161,16 +161,16 @@ def _best_worst(m: DataFrame, key: str, exact: Column, published: Column, label:
 def review_score_by_category(facts: DataFrame) -> DataFrame:
     """Best and worst category by average score, unweighted mean."""
     m = marts.category_measures(facts)
-    return _best_worst(m, "product_category_name", marts._avg_exact("score"), marts._avg_out("score"), "category")
+    return _best_worst(m, "product_category_name", marts.avg_exact("score"), marts.avg_out("score"), "category")
 
 
 def freight_vs_price(facts: DataFrame) -> DataFrame:
     """Correlation of average price and freight across categories, leaders."""
     m = marts.category_measures(facts).select(
         "product_category_name",
-        marts._avg_exact("price").alias("price_exact"),
-        marts._avg_out("price").alias("avg_price"),
-        marts._avg_out("freight").alias("avg_freight"),
+        marts.avg_exact("price").alias("price_exact"),
+        marts.avg_out("price").alias("avg_price"),
+        marts.avg_out("freight").alias("avg_freight"),
     )
     key = F.col("product_category_name")
     agg = m.agg(
@@ -234,7 +234,7 @@ def installments(facts: DataFrame) -> DataFrame:
 def avg_payment_by_type(facts: DataFrame) -> DataFrame:
     """Leading type by average payment, mean over types, lift."""
     m = marts.payment_measures(facts)
-    exact, pub, key = marts._avg_exact("payment"), marts._avg_out("payment"), F.col("payment_type")
+    exact, pub, key = marts.avg_exact("payment"), marts.avg_out("payment"), F.col("payment_type")
     agg = m.agg(
         first_by(key, exact, key).alias("top_type"),
         first_by(pub, exact, key).alias("top_value"),
@@ -294,7 +294,7 @@ def review_distribution(facts: DataFrame) -> DataFrame:
 def review_score_by_state(facts: DataFrame) -> DataFrame:
     """Best and worst state by average score, gap, unweighted mean."""
     m = marts.state_measures(facts)
-    agg = _best_worst(m, "customer_state", marts._avg_exact("score"), marts._avg_out("score"), "state")
+    agg = _best_worst(m, "customer_state", marts.avg_exact("score"), marts.avg_out("score"), "state")
     return agg.select(
         "best_state",
         "best_score",

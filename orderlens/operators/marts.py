@@ -10,8 +10,9 @@ An output is a projection of its dimension's measures, so:
   output of that dimension projects the same small result.
 
 Distinct-order counts are ``countDistinct(order_id)``; Spark plans them as a
-(key, order_id) partial aggregation whose distribution is already satisfied by
-the order_id partitioning of the joins, so no extra exchange of facts happens.
+(key, order_id) partial aggregation: each task first reduces its rows to one
+per (key, order), so only that narrow result is exchanged, spread by order_id
+(a hot key value does not concentrate in one task).
 
 Money is summed exactly (see ``functions.money``); sorting uses the exact
 value with the group key as tie-break, rounding happens in the final
@@ -50,12 +51,12 @@ def avg_parts(c: str, prefix: str, scale: int = MONEY_SCALE) -> list[Column]:
     return [total.alias(prefix + "_sum"), F.count(col).alias(prefix + "_n")]
 
 
-def _avg_exact(prefix: str) -> Column:
+def avg_exact(prefix: str) -> Column:
     """Unrounded average from its parts, used for ordering only."""
     return ratio(F.col(prefix + "_sum"), F.col(prefix + "_n"))
 
 
-def _avg_out(prefix: str, digits: int = 2, scale: int = MONEY_SCALE) -> Column:
+def avg_out(prefix: str, digits: int = 2, scale: int = MONEY_SCALE) -> Column:
     return round_div(F.col(prefix + "_sum"), F.col(prefix + "_n"), digits, scale)
 
 
@@ -105,7 +106,7 @@ def score_measures(facts: DataFrame) -> DataFrame:
     )
 
 
-def _revenue_by(facts: DataFrame, key: str) -> DataFrame:
+def revenue_by(facts: DataFrame, key: str) -> DataFrame:
     return facts.groupBy(key).agg(money_sum("revenue").alias("revenue_exact"))
 
 
@@ -130,8 +131,8 @@ def kpi_columns() -> list[Column]:
         to_cents(revenue).alias("total_revenue"),
         orders.alias("total_orders"),
         F.coalesce(round_div(revenue, orders, 2, MONEY_SCALE), F.lit(0.0)).alias("avg_order_value"),
-        F.coalesce(_avg_out("score"), F.lit(0.0)).alias("avg_review_score"),
-        F.coalesce(_avg_out("late", 4, 0), F.lit(0.0)).alias("late_delivery_rate"),
+        F.coalesce(avg_out("score"), F.lit(0.0)).alias("avg_review_score"),
+        F.coalesce(avg_out("late", 4, 0), F.lit(0.0)).alias("late_delivery_rate"),
     ]
 
 
@@ -149,7 +150,7 @@ def kpi_summary(facts: DataFrame) -> DataFrame:
 def average_payment_value(facts: DataFrame) -> DataFrame:
     """A3: mean payment value over non-null values, 0.0 when there are none."""
     return facts.agg(*avg_parts("payment_value", "payment")).select(
-        F.coalesce(_avg_out("payment"), F.lit(0.0)).alias("average_payment_value")
+        F.coalesce(avg_out("payment"), F.lit(0.0)).alias("average_payment_value")
     )
 
 
@@ -166,7 +167,7 @@ def orders_per_day(facts: DataFrame, measures: DataFrame | None = None) -> DataF
 def delay_trend_over_time(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
     """A25"""
     m = _m(measures, date_measures, facts)
-    return _by_key(m, "purchase_date").select("purchase_date", _avg_out("delay", 2, 0).alias("avg_delay_days"))
+    return _by_key(m, "purchase_date").select("purchase_date", avg_out("delay", 2, 0).alias("avg_delay_days"))
 
 
 # --------------------------------------------------------------------------
@@ -218,14 +219,14 @@ def aov_measures(facts: DataFrame) -> DataFrame:
 def avg_order_value_by_state(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
     """Revenue per (state, order), then the mean per state."""
     m = _m(measures, aov_measures, facts)
-    return _by_metric(m, _avg_exact("aov"), "customer_state").select(
-        "customer_state", _avg_out("aov").alias("avg_order_value")
+    return _by_metric(m, avg_exact("aov"), "customer_state").select(
+        "customer_state", avg_out("aov").alias("avg_order_value")
     )
 
 
 def top_cities_by_revenue(facts: DataFrame, top_n: int = TOP_N) -> DataFrame:
     """A9"""
-    m = _revenue_by(facts, "customer_city")
+    m = revenue_by(facts, "customer_city")
     return _by_metric(m, "revenue_exact", "customer_city", top_n).select(
         "customer_city", to_cents(F.col("revenue_exact")).alias("revenue")
     )
@@ -234,8 +235,8 @@ def top_cities_by_revenue(facts: DataFrame, top_n: int = TOP_N) -> DataFrame:
 def review_score_by_state(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
     """A20"""
     m = _m(measures, state_measures, facts)
-    return _by_metric(m, _avg_exact("score"), "customer_state").select(
-        "customer_state", _avg_out("score").alias("avg_review_score")
+    return _by_metric(m, avg_exact("score"), "customer_state").select(
+        "customer_state", avg_out("score").alias("avg_review_score")
     )
 
 
@@ -254,8 +255,8 @@ def late_delivery_by_state(facts: DataFrame, measures: DataFrame | None = None)
 def average_delay_by_state(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
     """A24"""
     m = _m(measures, state_measures, facts)
-    return _by_metric(m, _avg_exact("delay"), "customer_state").select(
-        "customer_state", _avg_out("delay", 2, 0).alias("avg_delay_days")
+    return _by_metric(m, avg_exact("delay"), "customer_state").select(
+        "customer_state", avg_out("delay", 2, 0).alias("avg_delay_days")
     )
 
 
@@ -273,7 +274,7 @@ def revenue_by_category(facts: DataFrame, measures: DataFrame | None = None) ->
 
 def top_products(facts: DataFrame, top_n: int = TOP_N) -> DataFrame:
     """A11 (item-less orders form the "unknown" product)."""
-    m = _revenue_by(facts, "product_id")
+    m = revenue_by(facts, "product_id")
     return _by_metric(m, "revenue_exact", "product_id", top_n).select(
         "product_id", to_cents(F.col("revenue_exact")).alias("revenue")
     )
@@ -281,7 +282,7 @@ def top_products(facts: DataFrame, top_n: int = TOP_N) -> DataFrame:
 
 def top_sellers(facts: DataFrame, top_n: int = TOP_N) -> DataFrame:
     """A12"""
-    m = _revenue_by(facts, "seller_id")
+    m = revenue_by(facts, "seller_id")
     return _by_metric(m, "revenue_exact", "seller_id", top_n).select(
         "seller_id", to_cents(F.col("revenue_exact")).alias("revenue")
     )
@@ -290,18 +291,18 @@ def top_sellers(facts: DataFrame, top_n: int = TOP_N) -> DataFrame:
 def freight_vs_price_by_category(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
     """A13"""
     m = _m(measures, category_measures, facts)
-    return _by_metric(m, _avg_exact("price"), "product_category_name").select(
+    return _by_metric(m, avg_exact("price"), "product_category_name").select(
         "product_category_name",
-        _avg_out("price").alias("avg_price"),
-        _avg_out("freight").alias("avg_freight"),
+        avg_out("price").alias("avg_price"),
+        avg_out("freight").alias("avg_freight"),
     )
 
 
 def review_score_by_category(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
     """A21"""
     m = _m(measures, category_measures, facts)
-    return _by_metric(m, _avg_exact("score"), "product_category_name").select(
-        "product_category_name", _avg_out("score").alias("avg_review_score")
+    return _by_metric(m, avg_exact("score"), "product_category_name").select(
+        "product_category_name", avg_out("score").alias("avg_review_score")
     )
 
 
@@ -331,8 +332,8 @@ def installments_distribution(facts: DataFrame) -> DataFrame:
 def avg_payment_by_type(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
     """Null when a type has no payment value."""
     m = _m(measures, payment_measures, facts)
-    return _by_metric(m, _avg_exact("payment"), "payment_type").select(
-        "payment_type", _avg_out("payment").alias("avg_payment_value")
+    return _by_metric(m, avg_exact("payment"), "payment_type").select(
+        "payment_type", avg_out("payment").alias("avg_payment_value")
     )
 
 
@@ -360,7 +361,7 @@ def on_time_vs_late_delivery(facts: DataFrame) -> DataFrame:
 def delay_vs_review_score(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
     """A26"""
     m = _m(measures, score_measures, facts)
-    return _by_key(m, "review_score").select("review_score", _avg_out("delay", 2, 0).alias("avg_delay_days"))
+    return _by_key(m, "review_score").select("review_score", avg_out("delay", 2, 0).alias("avg_delay_days"))
 
 
 # --------------------------------------------------------------------------
