@@ -23,16 +23,23 @@ def read_stream(
     path: str | None = None,
     topic: str | None = None,
     options: dict | None = None,
+    max_per_trigger: int | None = None,
 ) -> DataFrame:
     """S3: a streaming frame with a ``value`` column.
 
     ``fmt="kafka"`` subscribes to ``topic`` from the earliest offsets (extra
     ``options`` such as ``kafka.bootstrap.servers`` pass through);
-    ``fmt="text"`` watches ``path`` for JSON-lines files.
+    ``fmt="text"`` watches ``path`` for JSON-lines files. ``max_per_trigger``
+    bounds each micro-batch (offsets for Kafka, files otherwise), so a large
+    backlog drains in several committed batches instead of one.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
         reader = reader.option("subscribe", topic).option("startingOffsets", "earliest")
+        if max_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", str(max_per_trigger))
+    elif max_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_per_trigger))
     reader = reader.options(**(options or {}))
     return reader.load(path) if path else reader.load()
 

@@ -70,3 +70,12 @@ def enriched_basic(spark):
     from orderlens.operators.enrich import enrich
 
     return clean(enrich(basic(spark)))
+
+
+def test_bounded_micro_batches(spark, tmp_path):
+    landing, sink, chk = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "chk")
+    publish(enriched(spark, SF_SMALL).repartition(4), fmt="text", path=landing)
+    q = run_append(read_stream(spark, fmt="text", path=landing, max_per_trigger=1), sink, chk)
+    q.awaitTermination()
+    assert len(q.recentProgress) >= 4  # one file per committed batch
+    assert spark.read.parquet(sink).count() == enriched(spark, SF_SMALL).count()
