@@ -1,10 +1,9 @@
 """Trend, forecast, growth, smoothing, concentration, correlation.
 
 These run on *aggregated* series (one row per day or per group), never on raw
-rows. Windows over a series (position index, moving average) accept
-``partition_cols`` so several series are processed in parallel; an
-unpartitioned series is bounded by its number of periods (days), not by data
-volume.
+rows. The position index and the moving average accept ``partition_cols`` so
+several series are processed in parallel, and a single series is numbered
+and smoothed without a global window (see ``with_position``).
 
 Fits use exact integer sums: the value is scaled to an integer by
 ``10**scale`` (0 for counts, 2 for published money and averages, 4 for
@@ -42,10 +41,39 @@ def scaled(c: Column | str, scale: int) -> Column:
 # W3 / W2
 # --------------------------------------------------------------------------
 
-def with_position(series: DataFrame, order_col: str, partition_cols: Sequence[str] = (), name: str = "position"):
-    """0-based position of each row in ``order_col`` order (per partition)."""
-    w = Window.partitionBy(*partition_cols).orderBy(F.col(order_col).asc_nulls_last())
-    return series.withColumn(name, F.row_number().over(w) - 1)
+def with_position(
+    series: DataFrame,
+    order_col: str,
+    partition_cols: Sequence[str] = (),
+    name: str = "position",
+    bucket: Column | None = None,
+) -> DataFrame:
+    """0-based position of each row in ``order_col`` order.
+
+    With ``partition_cols`` each series is numbered by its own window. A
+    single series is numbered without moving it into one task: rows are
+    grouped into ordered buckets (calendar months of a date or timestamp
+    column by default), numbered inside each bucket in parallel, and shifted
+    by the number of rows in all earlier buckets. The bucket-size table has
+    one row per bucket, so its broadcast is bounded by the number of buckets.
+    """
+    order = F.col(order_col).asc_nulls_last()
+    if partition_cols:
+        return series.withColumn(name, F.row_number().over(Window.partitionBy(*partition_cols).orderBy(order)) - 1)
+    if bucket is None:
+        dtype = series.schema[order_col].dataType.simpleString()
+        if not dtype.startswith(("date", "timestamp")):
+            return series.withColumn(name, F.row_number().over(Window.orderBy(order)) - 1)
+        bucket = F.trunc(F.col(order_col), "month")
+    b = series.withColumn("_bucket", bucket)
+    sizes = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy(F.col("_bucket").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    local = Window.partitionBy("_bucket").orderBy(order)
+    numbered = b.withColumn("_rn", F.row_number().over(local))
+    return numbered.join(F.broadcast(offsets), numbered["_bucket"].eqNullSafe(offsets["_bucket"])).select(
+        *[numbered[c] for c in series.columns], (F.col("_offset") + F.col("_rn") - 1).alias(name)
+    )
 
 
 def moving_average(
@@ -56,13 +84,21 @@ def moving_average(
     partition_cols: Sequence[str] = (),
     name: str = "moving_average",
 ) -> DataFrame:
-    """Trailing mean of the last ``window`` rows, at least one value."""
-    w = (
-        Window.partitionBy(*partition_cols)
-        .orderBy(F.col(order_col).asc_nulls_last())
-        .rowsBetween(-(window - 1), Window.currentRow)
+    """Trailing mean of the last ``window`` rows, at least one value.
+
+    Each row contributes its value to the ``window`` positions it covers
+    (itself and the next ``window - 1``); the mean per covered position is an
+    equi-join plus aggregation, so no task holds the whole series.
+    """
+    keys = list(partition_cols)
+    pos = with_position(series, order_col, partition_cols, "_pos")
+    contrib = pos.select(
+        *keys,
+        F.explode(F.sequence(F.col("_pos"), F.col("_pos") + F.lit(window - 1))).alias("_pos"),
+        F.col(value_col).alias("_v"),
     )
-    return series.withColumn(name, F.avg(value_col).over(w))
+    means = contrib.groupBy(*keys, "_pos").agg(F.avg("_v").alias(name))
+    return pos.join(means, keys + ["_pos"], "left").select(*series.columns, name)
 
 
 # --------------------------------------------------------------------------

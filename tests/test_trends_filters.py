@@ -71,3 +71,25 @@ def test_filters(spark):
     assert filters.equals_or_all(kv, "k", "All").count() == 2
     assert filters.equals_or_all(kv, "k", "b").count() == 1
     assert [r.k for r in filters.project_sorted(kv, ["k", "v"], "v").collect()] == ["b", "a"]
+
+
+def test_bucketed_positions_match_a_global_numbering(spark):
+    s = series(spark, [float(i % 7) for i in range(100)]).where("d <> date'2020-02-10'")
+    got = [(r.d, r.position) for r in T.with_position(s, "d").orderBy("d").collect()]
+    assert [p for _, p in got] == list(range(99))
+    ma = {r.d: r.moving_average for r in T.moving_average(s, "d", "y", window=3).collect()}
+    ys = [r.y for r in s.orderBy("d").collect()]
+    ds = [r.d for r in s.orderBy("d").collect()]
+    for i, d in enumerate(ds):
+        window = ys[max(0, i - 2): i + 1]
+        assert ma[d] == pytest.approx(sum(window) / len(window))
+
+
+def test_partitioned_series(spark):
+    rows = [(k, dt.date(2020, 1, 1) + dt.timedelta(days=i), float(i if k == "up" else -i))
+            for k in ("up", "down") for i in range(5)]
+    df = spark.createDataFrame(rows, "k string, d date, y double")
+    got = {r.k: r.trend for r in T.trend_summary(df, "d", "y", scale=0, partition_cols=["k"]).collect()}
+    assert got == {"up": "increasing", "down": "decreasing"}
+    f = T.linear_trend_forecast(df, "d", "y", periods=1, scale=0, partition_cols=["k"]).collect()
+    assert {(r.k, r.position, r.forecast) for r in f} == {("up", 5, 5.0), ("down", 5, -5.0)}
