@@ -11,20 +11,15 @@ Plan shape (same result, rearranged for scale):
   items LEFT JOIN products, orders LEFT JOIN customers (left joins are
   associative here because every later predicate rejects nulls of its own
   left side).
-* The order side (orders + customers, payments, reviews: a few rows per
-  order) is joined on order_id as one co-partitioned chain.
-* Items stream on the LEFT of an INNER join with the order side. A hot order
-  holding a large share of all items is then on a side AQE may split
-  (a skewed partition of the non-preserved side of an outer join cannot be
-  split). Items without an order are dropped, as the orders-preserving left
-  join of the reference drops them.
-* Orders without items are added back with a LEFT ANTI join against the
-  distinct item order_ids (deduplicated map-side, so a hot order costs one
-  row per task).
-
-Every join goes through ``skew.skew_join``: keys estimated to hold more rows
-than one task should process are salted (see ``operators/skew.py``); with no
-such key the join is the plain one.
+* Everything else joins on order_id: the order side (orders + customers,
+  payments, reviews) and then the items, as one co-partitioned chain. Each
+  input is hash-partitioned on order_id once, the fanned-out rows are never
+  re-shuffled, and aggregations grouped by (anything, order_id) downstream
+  need no further exchange.
+* Every join goes through ``skew.skew_join``: keys estimated to hold more rows
+  than one task should process are salted (see ``operators/skew.py``); with no
+  such key the join is the plain one. (AQE alone cannot split a hot key inside
+  a chain of joins, nor on the non-preserved side of an outer join.)
 
 No broadcast hints: the planner broadcasts a side only when its statistics are
 under spark.sql.autoBroadcastJoinThreshold, and AQE re-plans from actual
@@ -47,12 +42,9 @@ def enrich(t: SourceTables, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
 
     items = skew_join(t.items, t.products, "product_id", "left", hot(t.items, "product_id"), "left")
     orders = skew_join(t.orders, t.customers, "customer_id", "left", hot(t.orders, "customer_id"), "left")
-    order_side = skew_join(orders, t.payments, "order_id", "left", hot(t.payments, "order_id"), "right")
-    order_side = skew_join(order_side, t.reviews, "order_id", "left", hot(t.reviews, "order_id"), "right")
-    with_items = skew_join(items, order_side, "order_id", "inner", hot(t.items, "order_id"), "left")
-    item_orders = t.items.select("order_id").distinct()
-    without_items = order_side.join(item_orders, "order_id", "left_anti")
-    joined = with_items.unionByName(without_items, allowMissingColumns=True)
+    joined = skew_join(orders, t.payments, "order_id", "left", hot(t.payments, "order_id"), "right")
+    joined = skew_join(joined, t.reviews, "order_id", "left", hot(t.reviews, "order_id"), "right")
+    joined = skew_join(joined, items, "order_id", "left", hot(t.items, "order_id"), "right")
     joined = t.finalize(joined)
     present = set(joined.columns)
     return joined.select(*[F.col(c) if c in present else F.lit(None).alias(c) for c in S.ENRICHED_COLUMNS])

@@ -78,10 +78,9 @@ def skew_join(
 ) -> DataFrame:
     """``left.join(right, key, how)`` with the hot keys salted.
 
-    ``hot_side`` names the side that holds the hot keys ("left" or "right").
-    ``how`` is "inner" or "left". With ``hot_side="right"`` and a left join,
-    every hot key has right rows (the keys were sampled from it), so the inner
-    join of the hot part is the left join.
+    ``hot_side`` names the side that holds the hot keys ("left" or "right");
+    ``how`` is "inner" or "left". ``hot`` must come from ``hot_keys`` of that
+    side, so with ``hot_side="right"`` every hot key has right rows.
     """
     if not hot:
         return left.join(right, key, how)
@@ -101,6 +100,10 @@ def skew_join(
         l_hot, r_hot = salted(left), replicated(right)
     else:
         l_hot, r_hot = replicated(left), salted(right)
-    hot_part = l_hot.drop("_salts").join(r_hot.drop("_salts"), [key, "_salt"], how).drop("_salt")
+    # Hot keys on the right all have right rows (they were sampled from it), so
+    # the left join equals the inner join for them; a left join here would add
+    # a null row for every replica whose salt drew no right row.
+    hot_how = "inner" if hot_side == "right" else how
+    hot_part = l_hot.drop("_salts").join(r_hot.drop("_salts"), [key, "_salt"], hot_how).drop("_salt")
     cold_part = left.join(hot_df, key, "left_anti").join(right.join(hot_df, key, "left_anti"), key, how)
     return cold_part.unionByName(hot_part)

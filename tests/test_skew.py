@@ -12,6 +12,7 @@ from orderlens.plans.refresh import all_outputs
 from orderlens.sources.testdata import load_testdata
 
 TINY = SkewPolicy(rows_per_task=2, sample_fraction=1.0, max_keys=300)
+ONE = SkewPolicy(rows_per_task=1, sample_fraction=1.0, max_keys=300)  # every repeated key is hot
 OFF = SkewPolicy(enabled=False)
 
 
@@ -27,11 +28,11 @@ def test_hot_keys_bounded_and_sized(spark):
     assert hot_keys(t.items, "order_id") == []  # nothing is hot at the default threshold
 
 
-@pytest.mark.parametrize("source", ["basic", "sf"])
-def test_salted_enrichment_is_exact(spark, source):
+@pytest.mark.parametrize("source,policy", [("basic", TINY), ("sf", TINY), ("sf", ONE)])
+def test_salted_enrichment_is_exact(spark, source, policy):
     t = basic(spark) if source == "basic" else load_testdata(spark, SF_SMALL)
     plain = facts_from_tables(t, OFF)
-    salted = facts_from_tables(t, TINY)
+    salted = facts_from_tables(t, policy)
     assert plain.count() == salted.count()
     a, _ = all_outputs(plain, shared=False)
     b, _ = all_outputs(salted, shared=False)
