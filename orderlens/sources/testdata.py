@@ -35,6 +35,8 @@ def load_testdata(spark: SparkSession, sf_dir: str) -> SourceTables:
     The frames are lazy plans over immutable files, so reusing them only
     saves file listing, footer reads and analysis; nothing is cached.
     """
+    # the model's timestamps are UTC wall-clock times (the reference pins UTC)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _LOADED:
         _LOADED[key] = _build(spark, sf_dir)
