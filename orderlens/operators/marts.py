@@ -368,6 +368,14 @@ def delay_vs_review_score(facts: DataFrame, measures: DataFrame | None = None) -
 # A28 decision support
 # --------------------------------------------------------------------------
 
+_SETS = {
+    "state": ["customer_state"],
+    "category": ["product_category_name"],
+    "payment": ["payment_type", "order_id"],
+    "sentiment": ["review_sentiment"],
+}
+
+
 def decision_support(
     facts: DataFrame,
     state: DataFrame | None = None,
@@ -378,49 +386,92 @@ def decision_support(
     """Leaders of four published tables plus the positive/negative row shares.
 
     The leaders are the first rows of the published orderings (metric desc,
-    key asc). All candidates are stacked into one narrow frame and reduced by
-    a single global aggregation with ``min_by`` over (-metric, key), so the
-    result is one row without joining 1-row frames.
+    key asc), picked with ``min_by`` over (-metric, key) in one global
+    aggregation over a narrow (set, key, measures) frame: one row, no sort,
+    no join of 1-row frames.
+
+    With precomputed (cached) measures the frame stacks them; otherwise it
+    comes from a single pass over the facts (``_decision_sets``), so the
+    joins behind the facts run once.
     """
-    state = _m(state, state_measures, facts)
-    category = _m(category, category_measures, facts)
-    payment = _m(payment, payment_measures, facts)
-    sentiments = sentiments if sentiments is not None else _count_by(facts, "review_sentiment", "review_sentiment")
-
-    def cand(df: DataFrame, tag: str, key: str, dec: Column | None, dbl: Column | None, cnt: Column | None):
-        return df.select(
-            F.lit(tag).alias("tag"),
-            F.col(key).cast("string").alias("key"),
-            (dec if dec is not None else F.lit(None)).cast("decimal(38,4)").alias("neg_dec"),
-            (dbl if dbl is not None else F.lit(None)).cast("double").alias("neg_dbl"),
-            (cnt if cnt is not None else F.lit(None)).cast("long").alias("cnt"),
-        )
+    if state is None or category is None or payment is None or sentiments is None:
+        stacked = _decision_sets(facts)
+    else:
+        stacked = _decision_stack(state, category, payment, sentiments)
+    return _decision_row(stacked)
+
+
+_STACK_SCHEMA = [("rev", "decimal(38,4)"), ("rows", "long"), ("late", "long"), ("orders", "long")]
 
-    stacked = (
-        cand(state, "state_revenue", "customer_state", -F.col("revenue_exact"), None, None)
-        .unionByName(cand(category, "category_revenue", "product_category_name", -F.col("revenue_exact"), None, None))
-        .unionByName(cand(payment, "payment_orders", "payment_type", None, -F.col("order_count"), None))
-        .unionByName(
-            cand(state, "state_late", "customer_state", None, -ratio(F.col("late_rows"), F.col("total_rows")), None)
+
+def _stacked(df: DataFrame, tag: str, key: str, **measures: Column) -> DataFrame:
+    return df.select(
+        F.lit(tag).alias("tag"),
+        F.col(key).cast("string").alias("key"),
+        *[(measures.get(n, F.lit(None))).cast(t).alias(n) for n, t in _STACK_SCHEMA],
+    )
+
+
+def _decision_stack(state: DataFrame, category: DataFrame, payment: DataFrame, sentiments: DataFrame) -> DataFrame:
+    return (
+        _stacked(state, "state", "customer_state", rev=F.col("revenue_exact"), rows=F.col("total_rows"),
+                 late=F.col("late_rows"))
+        .unionByName(_stacked(category, "category", "product_category_name", rev=F.col("revenue_exact")))
+        .unionByName(_stacked(payment, "payment", "payment_type", orders=F.col("order_count")))
+        .unionByName(_stacked(sentiments, "sentiment", "review_sentiment", rows=F.col("count")))
+    )
+
+
+def _decision_sets(facts: DataFrame) -> DataFrame:
+    """(tag, key, measures) from one grouping-sets aggregation of the facts.
+
+    Sets: (state), (category), (payment type, order), (sentiment). The keys
+    include order_id, so the order_id partitioning of the joins satisfies the
+    first aggregation; the second one, over (set, key), counts distinct
+    orders per payment type and passes the other sets through.
+    """
+    cols = ["customer_state", "product_category_name", "payment_type", "order_id", "review_sentiment"]
+    sets = facts.groupingSets([list(v) for v in _SETS.values()], *cols).agg(
+        money_sum("revenue").alias("rev"),
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("is_late_delivery").cast("long").alias("late"),
+        *[F.grouping(c).alias("g_" + c) for c in cols],
+    )
+    tag, key = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for name, keys in _SETS.items():
+        hit = F.lit(True)
+        for k in keys:
+            hit = hit & (F.col("g_" + k) == 0)
+        tag = F.when(hit, F.lit(name)).otherwise(tag)
+        key = F.when(hit, F.col(keys[0]).cast("string")).otherwise(key)
+    return (
+        sets.select(tag.alias("tag"), key.alias("key"), "rev", "rows", "late", "order_id")
+        .groupBy("tag", "key")
+        .agg(
+            F.sum("rev").cast("decimal(38,4)").alias("rev"),
+            F.sum("rows").cast("long").alias("rows"),
+            F.sum("late").cast("long").alias("late"),
+            F.count("order_id").alias("orders"),
         )
-        .unionByName(cand(sentiments, "sentiment", "review_sentiment", None, None, F.col("count")))
     )
 
-    def leader(tag: str, measure: str) -> Column:
+
+def _decision_row(stacked: DataFrame) -> DataFrame:
+    def leader(tag: str, metric: Column) -> Column:
         hit = F.col("tag") == tag
-        return F.min_by(F.when(hit, F.col("key")), F.when(hit, F.struct(F.col(measure), F.col("key"))))
+        return F.min_by(F.when(hit, F.col("key")), F.when(hit, F.struct(-metric, F.col("key"))))
 
     def share(label: str) -> Column:
         is_sent = F.col("tag") == "sentiment"
-        part = F.sum(F.when(is_sent & (F.col("key") == label), F.col("cnt")))
-        total = F.sum(F.when(is_sent, F.col("cnt")))
+        part = F.sum(F.when(is_sent & (F.col("key") == label), F.col("rows")))
+        total = F.sum(F.when(is_sent, F.col("rows")))
         return F.coalesce(round_div(F.coalesce(part, F.lit(0)), total, 4), F.lit(0.0))
 
     return stacked.agg(
-        leader("state_revenue", "neg_dec").alias("best_state_by_revenue"),
-        leader("category_revenue", "neg_dec").alias("top_category_by_revenue"),
-        leader("payment_orders", "neg_dbl").alias("top_payment_type"),
-        leader("state_late", "neg_dbl").alias("worst_state_by_late_rate"),
+        leader("state", F.col("rev")).alias("best_state_by_revenue"),
+        leader("category", F.col("rev")).alias("top_category_by_revenue"),
+        leader("payment", F.col("orders").cast("double")).alias("top_payment_type"),
+        leader("state", ratio(F.col("late"), F.col("rows"))).alias("worst_state_by_late_rate"),
         share("positive").alias("positive_review_ratio"),
         share("negative").alias("negative_review_ratio"),
     )
