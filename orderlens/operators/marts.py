@@ -341,9 +341,13 @@ def avg_payment_by_type(facts: DataFrame, measures: DataFrame | None = None) ->
 # Satisfaction and delivery
 # --------------------------------------------------------------------------
 
-def review_distribution(facts: DataFrame) -> DataFrame:
+def sentiment_measures(facts: DataFrame) -> DataFrame:
+    return _count_by(facts, "review_sentiment", "review_sentiment")
+
+
+def review_distribution(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
     """Rows per sentiment bucket."""
-    return _by_metric(_count_by(facts, "review_sentiment", "review_sentiment"), "count", "review_sentiment")
+    return _by_metric(_m(measures, sentiment_measures, facts), "count", "review_sentiment")
 
 
 def review_score_distribution(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:

@@ -79,6 +79,7 @@ def all_outputs(facts: DataFrame, shared: bool = True) -> tuple[dict[str, DataFr
 
     state, cat, pay = m(marts.state_measures), m(marts.category_measures), m(marts.payment_measures)
     day, score, aov = m(marts.date_measures), m(marts.score_measures), m(marts.aov_measures)
+    sentiment = m(marts.sentiment_measures)
     f = facts
     tables = {
         "kpi_summary": marts.kpi_summary(f),
@@ -98,7 +99,7 @@ def all_outputs(facts: DataFrame, shared: bool = True) -> tuple[dict[str, DataFr
         "revenue_by_payment_type": marts.revenue_by_payment_type(f, pay),
         "installments_distribution": marts.installments_distribution(f),
         "avg_payment_by_type": marts.avg_payment_by_type(f, pay),
-        "review_distribution": marts.review_distribution(f),
+        "review_distribution": marts.review_distribution(f, sentiment),
         "review_score_distribution": marts.review_score_distribution(f, score),
         "review_score_by_state": marts.review_score_by_state(f, state),
         "review_score_by_category": marts.review_score_by_category(f, cat),
@@ -107,7 +108,7 @@ def all_outputs(facts: DataFrame, shared: bool = True) -> tuple[dict[str, DataFr
         "average_delay_by_state": marts.average_delay_by_state(f, state),
         "delay_trend_over_time": marts.delay_trend_over_time(f, day),
         "delay_vs_review_score": marts.delay_vs_review_score(f, score),
-        "decision_support": marts.decision_support(f, state, cat, pay),
+        "decision_support": marts.decision_support(f, state, cat, pay, sentiment),
     }
     return tables, cached
 
