@@ -137,7 +137,19 @@ def refresh(
 
     Returns the published tables (lazy frames over the materialised facts).
     """
-    facts = materialise(spark, facts_from_tables(tables), mode)
+    return refresh_facts(spark, facts_from_tables(tables), out_dir, mode, shared, threads)
+
+
+def refresh_facts(
+    spark: SparkSession,
+    facts: DataFrame,
+    out_dir: str | None = None,
+    mode: str = "parquet",
+    shared: bool = True,
+    threads: int = 8,
+) -> dict[str, DataFrame]:
+    """The refresh from an already-built facts frame (e.g. a stream snapshot)."""
+    facts = materialise(spark, facts, mode)
     outputs, cached = all_outputs(facts, shared)
     if out_dir:
         try:
