@@ -44,20 +44,22 @@ CSV_FILES = {
 }
 
 
-def read_csv_tables(spark: SparkSession, landing_dir: str) -> SourceTables:
+def read_csv_tables(spark: SparkSession, landing_dir: str, multiline: bool = True) -> SourceTables:
     """Scan the six landing CSVs with explicit all-string schemas.
 
     No inference pass; typing happens once, after the joins, in the cleaning
     step, so that the batch and the stream path share it. Quoted fields may
-    hold newlines, hence ``multiLine`` (such files do not split; land Parquet
-    for large volumes).
+    hold newlines (review comments), hence ``multiline`` by default; a
+    multi-line CSV file is read by one task, so large landings without
+    embedded newlines should pass ``multiline=False`` (files then split) or
+    be landed as Parquet.
     """
     frames = {}
     for name, (file_name, columns) in CSV_FILES.items():
         frames[name] = (
             spark.read.schema(_strings(*columns))
             .option("header", True)
-            .option("multiLine", True)
+            .option("multiLine", multiline)
             .option("quote", '"')
             .option("escape", '"')
             .option("mode", "PERMISSIVE")

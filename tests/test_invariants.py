@@ -11,7 +11,9 @@ from orderlens.plans.facts import facts
 
 @pytest.fixture(scope="module")
 def f(spark):
-    return facts(spark, SF_SMALL).cache()
+    cached = facts(spark, SF_SMALL).cache()
+    yield cached
+    cached.unpersist()  # the cache manager matches plans; do not leak into later plan tests
 
 
 def total(df, col):
