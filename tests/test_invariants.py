@@ -57,3 +57,12 @@ def test_decision_support_matches_leaders(f):
     assert ds.top_category_by_revenue == marts.revenue_by_category(f).first().product_category_name
     assert ds.top_payment_type == marts.orders_by_payment_type(f).first().payment_type
     assert ds.worst_state_by_late_rate == marts.late_delivery_by_state(f).first().customer_state
+
+
+def test_order_value_at_least_row_average(f):
+    from pyspark.sql import functions as F
+
+    aov = {r.customer_state: r.avg_order_value for r in marts.avg_order_value_by_state(f).collect()}
+    per_row = {r.customer_state: r.a for r in f.groupBy("customer_state").agg(F.avg("revenue").alias("a")).collect()}
+    assert aov.keys() == per_row.keys()
+    assert all(aov[s] + 0.005 >= per_row[s] for s in aov)
