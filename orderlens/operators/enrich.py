@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens import schema as S
-from orderlens.operators.skew import DEFAULT_POLICY, SkewPolicy, hot_keys, skew_join
+from orderlens.operators.skew import DEFAULT_POLICY, SkewPolicy, hot_keys, hot_keys_many, skew_join
 from orderlens.sources.tables import SourceTables
 
 
@@ -40,11 +40,12 @@ def enrich(t: SourceTables, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     def hot(df: DataFrame, key: str) -> list[tuple]:
         return hot_keys(df, key, policy)
 
-    items = skew_join(t.items, t.products, "product_id", "left", hot(t.items, "product_id"), "left")
+    item_hot = hot_keys_many(t.items, ["product_id", "order_id"], policy)  # one sampled scan for both
+    items = skew_join(t.items, t.products, "product_id", "left", item_hot["product_id"], "left")
     orders = skew_join(t.orders, t.customers, "customer_id", "left", hot(t.orders, "customer_id"), "left")
     joined = skew_join(orders, t.payments, "order_id", "left", hot(t.payments, "order_id"), "right")
     joined = skew_join(joined, t.reviews, "order_id", "left", hot(t.reviews, "order_id"), "right")
-    joined = skew_join(joined, items, "order_id", "left", hot(t.items, "order_id"), "right")
+    joined = skew_join(joined, items, "order_id", "left", item_hot["order_id"], "right")
     joined = t.finalize(joined)
     present = set(joined.columns)
     return joined.select(*[F.col(c) if c in present else F.lit(None).alias(c) for c in S.ENRICHED_COLUMNS])

@@ -45,25 +45,38 @@ _CACHE: dict[tuple, list[tuple]] = {}
 
 def hot_keys(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_POLICY) -> list[tuple]:
     """[(key value, salts)] of the keys with more than ``rows_per_task`` rows."""
+    return hot_keys_many(df, [key], policy)[key]
+
+
+def hot_keys_many(df: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT_POLICY) -> dict[str, list[tuple]]:
+    """Hot keys of several columns of one input from a single sampled scan.
+
+    One aggregation with a grouping set per column; each column keeps at most
+    ``max_keys`` entries, the largest first. Only candidates above the
+    threshold reach the driver, so the collected rows are bounded by
+    ``sampled rows / (rows_per_task * sample_fraction)`` per column.
+    """
     if not policy.enabled:
-        return []
-    cache_key = (df.select(key).semanticHash(), key, policy)
+        return {k: [] for k in keys}
+    cache_key = (df.select(*keys).semanticHash(), tuple(keys), policy)
     if cache_key in _CACHE:
         return _CACHE[cache_key]
-    sample = df.select(key).where(F.col(key).isNotNull())
+    sample = df.select(*keys)
     if policy.sample_fraction < 1.0:
         sample = sample.sample(fraction=policy.sample_fraction, seed=policy.seed)
     estimate = F.col("n") / F.lit(policy.sample_fraction)
     found = (
-        sample.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"))
+        sample.groupingSets([[k] for k in keys], *keys)
+        .agg(F.count(F.lit(1)).alias("n"), *[F.grouping(k).alias("g_" + k) for k in keys])
         .where(estimate > policy.rows_per_task)
-        .orderBy(F.col("n").desc(), F.col(key))
-        .limit(policy.max_keys)
-        .select(key, F.ceil(estimate / policy.rows_per_task).cast("int").alias("salts"))
+        .select(*keys, *["g_" + k for k in keys], "n", F.ceil(estimate / policy.rows_per_task).cast("int").alias("salts"))
         .collect()
     )
-    result = [(r[0], r[1]) for r in found]
+    result: dict[str, list[tuple]] = {}
+    for k in keys:
+        rows = [r for r in found if r["g_" + k] == 0 and r[k] is not None]
+        rows.sort(key=lambda r: (-r["n"], r[k]))
+        result[k] = [(r[k], r["salts"]) for r in rows[: policy.max_keys]]
     _CACHE[cache_key] = result
     return result
 
