@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.llm import curriculum, minhash
+from orderlens.llm import curriculum, fingerprint, html_extract, langid, minhash, quality_crf, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,18 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.with_next(_read(spark, sf_dir, "documents"))
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(_read(spark, sf_dir, "documents"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_crf.predict(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -23,8 +35,21 @@ def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.mix(_read(spark, sf_dir, "documents"))
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_read(spark, sf_dir, "pages"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predict(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_fingerprint": op1_fingerprint,
+        "op2_language": op2_language,
+        "op3_quality": op3_quality,
         "op4_minhash": op4_minhash,
         "op6_curriculum_mix": op6_curriculum_mix,
+        "op7_html": op7_html,
+        "op8_toxicity": op8_toxicity,
     }
