@@ -9,10 +9,9 @@ values (two minima, two maxima) give the candidates: two sets of similarity
 
 Scale. Texts are read once for signatures; texts with equal sets become one
 node before any pairing, so a group of copies costs one row. In a band bucket
-every node is compared with one centre; what is still in another component
-afterwards is compared with the rest of its bucket, an oversized unresolved
-bucket being split by a second shared band first (a true pair shares a second
-one but for 8e-6). No step lists all pairs of a group. Candidates whose
+every node is compared with one centre, then what is in another component with
+pivots of the largest one, and what is still apart with all of its bucket by
+signatures, in blocks. No step lists all pairs of a group. Candidates whose
 estimate is far below the threshold go; the others are confirmed on the full
 sets, computed anew from the whole texts.
 
@@ -41,8 +40,11 @@ PERMUTATIONS = 64
 BANDS = 32
 #: Candidates with a lower estimate can't reach 0.75 (4 standard deviations).
 LEAST_ESTIMATE = 0.60
-#: An unresolved bucket that would list more pairs than this is split by a second band.
-SPLIT_PAIRS = 4096
+#: Rounds of pivots before the full comparison of what is left; they save work and change no result.
+PIVOT_ROUNDS = 3
+#: Rows of a block of a bucket, and bits that mark the ids whose texts are fetched.
+BLOCK = 4096
+BITS = 1 << 24
 
 _rng = np.random.Generator(np.random.PCG64(75))
 _FACTOR = _rng.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -163,7 +165,104 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, width: int) ->
 
     a = texts.select(F.col("_key").alias("a"), F.col("_text").alias("_ta"))
     b = texts.select(F.col("_key").alias("b"), F.col("_text").alias("_tb"))
-    return table(pairs.join(a, "a").join(b, "b").select("a", "b", "_ta", "_tb").mapInArrow(confirm, "a long, b long"), "links")
+    return table(pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").select("a", "b", "_ta", "_tb").mapInArrow(confirm, "a long, b long"), "links")
+
+
+def _texts(docs: DataFrame, near: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """(_key, _text) of the nodes in ``near``.
+
+    Only rows whose id hashes to a marked bit are shuffled; the bits are a table
+    of at most BITS / 64 rows, whatever the number of nodes.
+    """
+
+    def bit(id_):
+        return F.pmod(F.xxhash64(F.coalesce(F.col(id_).cast("string"), F.lit(""))), F.lit(BITS))
+
+    def word(id_):
+        return F.shiftright(bit(id_), 6)
+
+    def mask(id_):
+        return F.expr("shiftleft(1L, cast(_bit & 63 as int))")
+
+    marked = near.withColumn("_bit", bit("_id")).groupBy(word("_id").alias("_word")).agg(F.bit_or(mask("_id")).alias("_marks"))
+    marked = F.broadcast(table(marked, "marks"))  # at most BITS / 64 rows of 16 bytes
+    found = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
+    found = found.withColumns({"_bit": bit("_doc"), "_word": word("_doc")}).join(marked, "_word")
+    found = found.where(F.col("_marks").bitwiseAND(mask("_doc")) != 0).select("_doc", "_text")
+    found = found.join(near.select("_key", "_id").hint("merge"), F.col("_doc").eqNullSafe(F.col("_id")))
+    return table(_own(found, width).dropDuplicates(["_key"]), "texts")
+
+
+def _open(members: DataFrame, root: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components so far: with their component, and whether it is the bucket's largest."""
+    known = members.select("_bucket", "_key").join(root.withColumnRenamed("node", "_key"), "_key", "left")
+    known = table(known.select("_bucket", "_key", F.coalesce("root", "_key").alias("_in")), "known")
+    sizes = known.groupBy("_bucket", "_in").agg(F.count(F.lit(1)).alias("_c"))
+    mixed = sizes.groupBy("_bucket").agg(
+        F.max(F.struct("_c", "_in")).alias("_main"), F.sum("_c").alias("_all"), F.count(F.lit(1)).alias("_k")
+    )
+    mixed = table(mixed.where("_k > 1").select("_bucket", F.col("_main._in").alias("_main"), F.col("_main._c").alias("_most"), "_all"), "mixed")
+    return table(known.join(mixed, "_bucket").withColumn("_home", F.col("_in") == F.col("_main")).drop("_main"), "open")
+
+
+def _in_buckets(open_: DataFrame, near: DataFrame) -> DataFrame:
+    """(a, b) of different components in a bucket, whose signatures agree often enough.
+
+    Each bucket is a grid of blocks of strays (members outside its largest
+    component) and blocks of all members, so a group in memory has at most
+    about 2 * BLOCK rows; a pair leaves it only if it is likely.
+    """
+    rows = open_.join(near.select("_key", "_sig"), "_key").withColumns(
+        {"_sb": F.ceil((F.col("_all") - F.col("_most")) / BLOCK).cast("int"), "_mb": F.ceil(F.col("_all") / BLOCK).cast("int")}
+    )
+    own = F.pmod(F.xxhash64("_key"), F.lit(1 << 20))
+    stray = rows.where("not _home").select(
+        "_bucket", F.lit(True).alias("_stray"), "_key", "_in", "_home", "_sig", (own % F.col("_sb")).cast("int").alias("_s"), F.explode(F.sequence(F.lit(0), F.col("_mb") - 1)).alias("_m")
+    )
+    other = rows.select(
+        "_bucket", F.lit(False).alias("_stray"), "_key", "_in", "_home", "_sig", F.explode(F.sequence(F.lit(0), F.col("_sb") - 1)).alias("_s"), (own % F.col("_mb")).cast("int").alias("_m")
+    )
+    group = F.xxhash64("_bucket", "_s", "_m")
+    both = stray.unionByName(other).select(group.alias("_group"), "_stray", "_key", "_in", "_home", "_sig")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in _and_end(batches):
+            if batch is not None and batch.num_rows == 0:
+                continue
+            if batch is not None:
+                held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+                group = held.column(0).to_numpy()
+                earlier = np.flatnonzero(group != group[-1])
+                done = int(earlier[-1]) + 1 if len(earlier) else 0
+                ready, held = held.slice(0, done), held.slice(done)
+            else:
+                ready, held = held, None
+            if ready is None or ready.num_rows == 0:
+                continue
+            ready = ready.combine_chunks()
+            group, stray = ready.column(0).to_numpy(), ready.column(1).to_numpy()
+            key, comp, home = ready.column(2).to_numpy(), ready.column(3).to_numpy(), ready.column(4).to_numpy()
+            sig = np.frombuffer(b"".join(ready.column(5).to_pylist()), np.uint16).reshape(len(group), -1)
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
+            found_a, found_b = [], []
+            for lo, hi in zip(edges, edges[1:], strict=False):
+                m = lo + np.flatnonzero(~stray[lo:hi])
+                for i in lo + np.flatnonzero(stray[lo:hi]):
+                    near_ = m[(comp[m] != comp[i]) & (home[m] | (key[m] > key[i]))]
+                    near_ = near_[(sig[near_] == sig[i]).mean(axis=1) >= LEAST_ESTIMATE] if len(near_) else near_
+                    found_a.append(np.full(len(near_), key[i]))
+                    found_b.append(key[near_])
+            if found_a:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a), pa.int64()), pa.array(np.concatenate(found_b), pa.int64())], names=["a", "b"])
+
+    both = both.repartition("_group").sortWithinPartitions("_group")
+    return table(both.mapInArrow(compare, "a long, b long").distinct(), "likely")
+
+
+def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
 
 
 def near_duplicates(
@@ -177,46 +276,27 @@ def near_duplicates(
     banded = nodes.select("_key", F.explode(F.array(*[_band(i) for i in range(BANDS)])).alias("_bucket"))
     shared = banded.groupBy("_bucket").agg(F.min("_key").alias("_centre"), F.max("_key").alias("_last"))
     shared = table(shared.where(F.col("_centre") != F.col("_last")).drop("_last"), "buckets")
-    members = table(banded.join(shared, "_bucket"), "members")
-
-    def texts_of(pairs: DataFrame) -> DataFrame:
-        keys = pairs.select(F.col("a").alias("_key")).unionByName(pairs.select(F.col("b").alias("_key"))).distinct()
-        named = table(keys.join(nodes.select("_key", "_id"), "_key"), "named")
-        found = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")).join(
-            named, F.col("_doc").eqNullSafe(F.col("_id"))
-        )
-        return table(_own(found, width).dropDuplicates(["_key"]), "texts")
+    members = table(banded.join(shared.hint("merge"), "_bucket"), "members")
+    near = table(members.select("_key").distinct().join(nodes, "_key"), "near")
+    texts = _texts(docs, near, id_col, text_col, width)
 
-    first = members.where(F.col("_key") != F.col("_centre")).select(F.col("_key").alias("a"), F.col("_centre").alias("b")).distinct()
-    pairs = _likely(first, nodes)
-    links = _confirmed(pairs, texts_of(pairs), percent, width)
-
-    # What the centres left apart: members of a bucket that are in different components so far.
+    pairs = members.where(F.col("_key") != F.col("_centre")).select(F.col("_key").alias("a"), F.col("_centre").alias("b")).distinct()
+    links = _confirmed(_likely(pairs, near), texts, percent, width)
     root = table(connected_components(links), "roots")
-    known = members.join(root.withColumnRenamed("node", "_key"), "_key", "left").withColumn("_in", F.coalesce("root", "_key")).drop("root")
-    known = table(known, "known")
-    sizes = known.groupBy("_bucket", "_in").agg(F.count(F.lit(1)).alias("_c"))
-    mixed = sizes.groupBy("_bucket").agg(
-        F.max_by("_in", F.struct("_c", "_in")).alias("_main"), F.sum("_c").alias("_all"), F.max("_c").alias("_most"), F.count(F.lit(1)).alias("_k")
-    )
-    mixed = table(mixed.where("_k > 1").select("_bucket", "_main", ((F.col("_all") - F.col("_most")) * F.col("_all")).alias("_work")), "mixed")
-    open_ = known.join(mixed, "_bucket")
-    small = open_.where(F.col("_work") <= SPLIT_PAIRS)
-    large = open_.where(F.col("_work") > SPLIT_PAIRS).join(nodes.select("_key", "_sig"), "_key")
-    large = large.withColumn("_second", F.explode(F.array(*[_band(i) for i in range(BANDS)])))
-    large = large.where(F.col("_second") != F.col("_bucket")).withColumn("_bucket", F.xxhash64("_bucket", "_second"))
-    open_ = table(small.unionByName(large.select(small.columns)).drop("_work"), "open")
-    stray = open_.where(F.col("_in") != F.col("_main")).select("_bucket", F.col("_key").alias("a"), F.col("_in").alias("_ia"), "_centre")
-    other = open_.select("_bucket", F.col("_key").alias("b"), F.col("_in").alias("_ib"), (F.col("_in") == F.col("_main")).alias("_home"))
-    rest = stray.join(other, "_bucket").where(
-        (F.col("_ia") != F.col("_ib"))
-        & (F.col("_home") | (F.col("a") < F.col("b")))
-        & (F.col("a") != F.col("_centre"))
-        & (F.col("b") != F.col("_centre"))
-    )
-    pairs = _likely(rest.select("a", "b").distinct(), nodes)
+    # pivots: what a centre left apart meets other members of its bucket's largest component
+    for turn in range(PIVOT_ROUNDS):
+        open_ = _open(members, root)
+        pivot = open_.where("_home").groupBy("_bucket").agg(F.min(F.struct(F.xxhash64("_bucket", "_key", F.lit(turn)).alias("_o"), "_key"))["_key"].alias("b"))
+        pairs = open_.where("not _home").select("_bucket", F.col("_key").alias("a")).join(pivot, "_bucket").select("a", "b").distinct()
+        new = _confirmed(_likely(pairs, near), texts, percent, width)
+        if new.isEmpty():
+            break
+        links = table(links.unionByName(new), "links")
+        root = table(connected_components(links), "roots")
+    # what is still apart is compared with all of its bucket, by signatures and then in full
+    pairs = _in_buckets(_open(members, root), near)
     if not pairs.isEmpty():
-        links = table(links.unionByName(_confirmed(pairs, texts_of(pairs), percent, width)), "links")
+        links = table(links.unionByName(_confirmed(pairs, texts, percent, width)), "links")
         root = table(connected_components(links), "roots")
 
     part = nodes.select("_key", "_id").join(root.withColumnRenamed("node", "_key"), "_key")
@@ -224,7 +304,7 @@ def near_duplicates(
     linked = part.join(least, "root").select("_key", "_least")
     named = nodes.select("_key", "_id").join(linked, "_key", "left").select("_key", F.coalesce("_least", "_id").alias("_least"))
     named = table(named, "classes")
-    full = rows.where(F.col("_key").isNotNull()).drop("_sig").join(named, "_key")
+    full = rows.where(F.col("_key").isNotNull()).drop("_sig").join(named.hint("merge"), "_key")
     out = full.select("_id", "_n", "_least").unionByName(
         rows.where(F.col("_key").isNull()).select("_id", "_n", F.col("_id").alias("_least"))
     )
