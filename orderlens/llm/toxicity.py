@@ -2,10 +2,9 @@
 
 Method. A text's features are the hashes of its distinct words, word pairs and
 skip pairs (one word left out) in 2^20 cells. FTRL-proximal with per-coordinate
-learning rates and L1 keeps few weights. Every training partition runs its own
-learner; the weights are averaged by cell (parameter mixing) and the non-zero
-ones, a table bounded by the number of cells, are broadcast to score whole
-texts in one pass without a shuffle.
+learning rates and L1 keeps few weights. One learner goes over a bounded sample
+of the labelled rows; the non-zero weights, a table bounded by the number of
+cells, are broadcast to score whole texts in one pass without a shuffle.
 
 Results in odd cases. Null or empty text scores by the bias alone. No labels:
 every score is 0.5 and predicted is 1 by the rule score >= 0.5. A text labelled
@@ -28,9 +27,8 @@ from orderlens.llm.split import held_out, sample_by_class
 
 CELLS = 1 << 20
 #: Bound of the training sample: labelled documents of each class.
-SAMPLE_DOCS = 12_000
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 2.0, 1.0
-LEARNERS = 4
+SAMPLE_DOCS = 6_000
+ALPHA, BETA, L1, L2 = 0.3, 1.0, 2.0, 1.0
 PASSES = 3
 _PAIR, _SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _TRIM = np.zeros(256, bool)
@@ -78,14 +76,12 @@ class Ftrl:
 
 
 def train(labelled: DataFrame) -> dict[int, float]:
-    """Non-zero weights by cell, from a bounded sample of (_id, _text, _y) rows: averaged over the learners."""
-    rows = labelled.select("_id", "_y", "_text").withColumn("_learner", F.pmod(F.xxhash64("_id"), F.lit(LEARNERS)).cast("int"))
+    """Non-zero weights by cell, from a bounded sample of (_id, _text, _y) rows."""
+    rows = labelled.select("_id", "_y", "_text")
 
-    def learner(key, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def learner(part: pa.Table) -> pa.Table:
         sets, labels, ids = [], [], []
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+        for batch in part.to_batches(max_chunksize=512):
             values, per = features(batch.column(2))
             sets += [np.append(np.unique(x), CELLS) for x in np.split(values, np.cumsum(per)[:-1])]
             ids += batch.column(0).to_pylist()
@@ -97,16 +93,10 @@ def train(labelled: DataFrame) -> dict[int, float]:
                 model.learn(sets[k], labels[k])
         w = model.weights(np.arange(CELLS + 1))
         used = np.flatnonzero(w)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(w[used])], names=["cell", "w"])
-
-    parts = rows.groupBy("_learner").applyInArrow(lambda key, t: _as_table(learner(key, iter(t.select(["_id", "_y", "_text"]).to_batches()))), "cell long, w double")
-    mixed = parts.groupBy("cell").agg((F.sum("w") / LEARNERS).alias("w"), F.count(F.lit(1)).alias("_k"))
-    # a cell that a single learner uses is chance; at most CELLS + 1 rows reach the driver
-    return {r["cell"]: r["w"] for r in mixed.where(F.col("_k") > 1).collect()}
-
+        return pa.table({"cell": pa.array(used, pa.int64()), "w": pa.array(w[used])})
 
-def _as_table(batches: Iterator[pa.RecordBatch]) -> pa.Table:
-    return pa.Table.from_batches(list(batches))
+    # the sample is bounded, and so are the at most CELLS + 1 weights that reach the driver
+    return {r["cell"]: r["w"] for r in rows.groupBy(F.lit(0)).applyInArrow(learner, "cell long, w double").collect()}
 
 
 def score(docs: DataFrame, weights: dict[int, float], text_col: str = "text") -> DataFrame:
