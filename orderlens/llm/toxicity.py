@@ -96,7 +96,7 @@ def train(labelled: DataFrame) -> dict[int, float]:
         return pa.table({"cell": pa.array(used, pa.int64()), "w": pa.array(w[used])})
 
     # the sample is bounded, and so are the at most CELLS + 1 weights that reach the driver
-    return {r["cell"]: r["w"] for r in rows.groupBy(F.lit(0)).applyInArrow(learner, "cell long, w double").collect()}
+    return {r["cell"]: r["w"] for r in rows.groupBy().applyInArrow(learner, "cell long, w double").collect()}
 
 
 def score(docs: DataFrame, weights: dict[int, float], text_col: str = "text") -> DataFrame:
