@@ -36,10 +36,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             e.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
+        # written, so that the join below has two exchanges and a hub's side can be split
         least = table(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
         large = both.join(least, "u").where(F.col("v") > F.col("u"))
-        large = table(large.select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct(), "large")
-        low = table(large.groupBy("hi").agg(F.min("lo").alias("m")), "low")
+        large = large.select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        low = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(low, "hi").where(F.col("lo") != F.col("m")).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         e = table(small.unionByName(low.withColumnRenamed("m", "lo")).distinct(), "edges")
         after = _state(e)

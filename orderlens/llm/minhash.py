@@ -41,7 +41,7 @@ BANDS = 32
 #: Candidates with a lower estimate can't reach 0.75 (4 standard deviations).
 LEAST_ESTIMATE = 0.60
 #: Rounds of pivots before the full comparison of what is left; they save work and change no result.
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 1
 #: Rows of a block of a bucket, and bits that mark the ids whose texts are fetched.
 BLOCK = 4096
 BITS = 1 << 24
@@ -291,12 +291,12 @@ def near_duplicates(
         new = _confirmed(_likely(pairs, near), texts, percent, width)
         if new.isEmpty():
             break
-        links = table(links.unionByName(new), "links")
+        links = links.unionByName(new)
         root = table(connected_components(links), "roots")
     # what is still apart is compared with all of its bucket, by signatures and then in full
     pairs = _in_buckets(_open(members, root), near)
     if not pairs.isEmpty():
-        links = table(links.unionByName(_confirmed(pairs, texts, percent, width)), "links")
+        links = links.unionByName(_confirmed(pairs, texts, percent, width))
         root = table(connected_components(links), "roots")
 
     part = nodes.select("_key", "_id").join(root.withColumnRenamed("node", "_key"), "_key")
