@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.llm import curriculum, fingerprint, html_extract, langid, minhash, quality_crf, sp_encode, toxicity
+from orderlens.llm import curriculum, fingerprint, html_extract, langid, minhash, quality_crf, sp_encode, token_output, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op9_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.write_and_read(_read(spark, sf_dir, "documents"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_encode.encoded_documents(_read(spark, sf_dir, "documents"))
 
@@ -56,5 +60,6 @@ def queries() -> dict[str, Query]:
         "op6_curriculum_mix": op6_curriculum_mix,
         "op7_html": op7_html,
         "op8_toxicity": op8_toxicity,
+        "op9_token_blocks": op9_token_blocks,
         "op10_sentencepiece": op10_sentencepiece,
     }
