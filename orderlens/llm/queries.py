@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderlens.llm import curriculum, fingerprint, html_extract, langid, minhash, quality_crf, sp_encode, token_output, toxicity
+from orderlens.llm import ann_graph, curriculum, fingerprint, html_extract, langid, minhash, quality_crf, sp_encode, token_output, toxicity
+from orderlens.llm.scratch import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +33,12 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op5_embedding_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "embeddings")
+    found = table(ann_graph.near_vectors(rows), "near-vectors")
+    return found.withColumn("audited_recall", F.lit(ann_graph.audit(rows, found)))
+
+
 def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.mix(_read(spark, sf_dir, "documents"))
 
@@ -57,6 +65,7 @@ def queries() -> dict[str, Query]:
         "op2_language": op2_language,
         "op3_quality": op3_quality,
         "op4_minhash": op4_minhash,
+        "op5_embedding_graph": op5_embedding_graph,
         "op6_curriculum_mix": op6_curriculum_mix,
         "op7_html": op7_html,
         "op8_toxicity": op8_toxicity,
