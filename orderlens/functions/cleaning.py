@@ -24,8 +24,9 @@ def _blank_to_null(c: Column) -> Column:
     return F.when(c.isin(NULL_TOKENS), F.lit(None).cast("string")).otherwise(c)
 
 
-def _nan_to_null(c: Column) -> Column:
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
+def _finite(c: Column) -> Column:
+    """NaN and the infinities are no values."""
+    return F.when(F.abs(c) < float("inf"), c)
 
 
 def parse_timestamp(c: Column, dtype: T.DataType) -> Column:
@@ -42,7 +43,7 @@ def parse_double(c: Column, dtype: T.DataType) -> Column:
         c = _blank_to_null(c)
     if not isinstance(dtype, T.DoubleType):
         c = c.try_cast("double")
-    return _nan_to_null(c)
+    return _finite(c)
 
 
 def parse_int(c: Column, dtype: T.DataType) -> Column:

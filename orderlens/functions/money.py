@@ -2,8 +2,11 @@
 
 Sums of doubles depend on the order rows arrive in, so the same data can give
 different last digits on different partitionings (and a different value after
-rounding). Measures with at most four decimals (money, scores) are summed as
-DECIMAL(18,4), integer measures as longs: exact on any cluster layout.
+rounding). Measures with at most four decimals (money, scores) are rounded
+half away from zero to four decimals and summed as DECIMAL(18,4), integer
+measures as longs: exact on any cluster layout. A value of 10^14 or more in
+size, an infinity or NaN is no amount of money: it counts as null (``is_money``
+tells), and never fails the job; the sums have 24 digits before the point.
 
 Published averages and ratios are rounded to 2 or 4 places half away from
 zero. Rounding the double quotient would round the binary approximation
@@ -18,6 +21,7 @@ from pyspark.sql import functions as F
 
 MONEY = "decimal(18,4)"
 MONEY_SCALE = 4
+MONEY_LIMIT = 1e14
 _INT = "decimal(38,0)"
 
 
@@ -25,8 +29,13 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def is_money(c: Column | str) -> Column:
+    """Whether a double is an amount: not null, finite and below 10^14 in size."""
+    return F.coalesce(F.abs(_c(c)) < MONEY_LIMIT, F.lit(False))
+
+
 def money(c: Column | str) -> Column:
-    return _c(c).cast(MONEY)
+    return F.when(is_money(c), _c(c)).try_cast(MONEY)
 
 
 def money_sum(c: Column | str) -> Column:

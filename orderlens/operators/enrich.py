@@ -16,10 +16,10 @@ Plan shape (same result, rearranged for scale):
   input is hash-partitioned on order_id once, the fanned-out rows are never
   re-shuffled, and aggregations grouped by (anything, order_id) downstream
   need no further exchange.
-* Every join goes through ``skew.skew_join``: keys estimated to hold more rows
-  than one task should process are salted (see ``operators/skew.py``); with no
-  such key the join is the plain one. (AQE alone cannot split a hot key inside
-  a chain of joins, nor on the non-preserved side of an outer join.)
+* Orders with more joined rows than one task should process are cut into parts
+  that run through the whole chain (``operators/skew.py``); where no order is
+  that large the chain is the plain one. Rows without a product or customer are
+  spread around the dimension joins.
 
 No broadcast hints: the planner broadcasts a side only when its statistics are
 under spark.sql.autoBroadcastJoinThreshold, and AQE re-plans from actual
@@ -32,20 +32,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens import schema as S
-from orderlens.operators.skew import DEFAULT_POLICY, SkewPolicy, hot_keys, hot_keys_many, skew_join
+from orderlens.operators.skew import DEFAULT_POLICY, SkewPolicy, any_hot, dimension_join, hot_keys, parted, real_rows
 from orderlens.sources.tables import SourceTables
 
 
 def enrich(t: SourceTables, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    def hot(df: DataFrame, key: str) -> list[tuple]:
-        return hot_keys(df, key, policy)
-
-    item_hot = hot_keys_many(t.items, ["product_id", "order_id"], policy)  # one sampled scan for both
-    items = skew_join(t.items, t.products, "product_id", "left", item_hot["product_id"], "left")
-    orders = skew_join(t.orders, t.customers, "customer_id", "left", hot(t.orders, "customer_id"), "left")
-    joined = skew_join(orders, t.payments, "order_id", "left", hot(t.payments, "order_id"), "right")
-    joined = skew_join(joined, t.reviews, "order_id", "left", hot(t.reviews, "order_id"), "right")
-    joined = skew_join(joined, items, "order_id", "left", item_hot["order_id"], "right")
+    sides = [t.orders, t.payments, t.reviews, t.items]
+    on = ["order_id"]
+    split = policy.enabled and any_hot(sides, "order_id", policy.rows_per_task)
+    if split:
+        hot = hot_keys(sides, "order_id", policy.rows_per_task)
+        sides = [parted(df, i, hot, "order_id", keep_key_of_null=i == 0) for i, df in enumerate(sides)]
+        on = ["order_id", "_part"]
+    orders, payments, reviews, items = sides
+    items = dimension_join(items, t.products, "product_id")
+    orders = dimension_join(orders, t.customers, "customer_id")
+    joined = orders.join(payments, on, "left").join(reviews, on, "left").join(items, on, "left")
+    if split:
+        joined = real_rows(joined, len(sides))
     joined = t.finalize(joined)
     present = set(joined.columns)
     return joined.select(*[F.col(c) if c in present else F.lit(None).alias(c) for c in S.ENRICHED_COLUMNS])

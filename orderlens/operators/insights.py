@@ -213,18 +213,19 @@ def payment_orders(facts: DataFrame) -> DataFrame:
 
 
 def installments(facts: DataFrame) -> DataFrame:
-    """Modal instalment count, its share, share of rows with >1 instalment."""
+    """Modal instalment count (null if rows without one are the most; 1 for no rows), its share, share of rows with >1 instalment."""
     t = marts.installments_distribution(facts)
     inst, cnt = F.col("payment_installments"), F.col("count")
     order = F.struct(-cnt, inst.isNull(), inst)
     agg = t.agg(
-        F.min_by(inst, order).alias("_mode"),
+        # a struct, since min_by alone would pass over a null count of instalments
+        F.min(F.struct(order.alias("_o"), inst.alias("_i")))["_i"].alias("_mode"),
         F.max(cnt).alias("_mode_count"),
         F.sum(cnt).alias("_total"),
         F.coalesce(F.sum(F.when(inst > 1, cnt)), F.lit(0)).alias("_multi"),
     )
     return agg.select(
-        F.coalesce(F.col("_mode").cast("long"), F.lit(1)).alias("mode_installments"),
+        F.when(F.col("_total").isNull(), F.lit(1)).otherwise(F.col("_mode").cast("long")).alias("mode_installments"),
         F.coalesce(F.col("_mode_count"), F.lit(0)).cast("long").alias("mode_count"),
         _share(F.col("_mode_count"), F.col("_total")).alias("mode_share"),
         _share(F.col("_multi"), F.col("_total")).alias("multi_installment_share"),
@@ -268,11 +269,15 @@ def late_delivery_by_state(facts: DataFrame) -> DataFrame:
 
 
 def delay_trend(facts: DataFrame) -> DataFrame:
-    """I16: trend of the daily average delay, first and last value, change."""
+    """I16: trend of the daily average delay and what it means, first and last value, change."""
     series = T.with_position(marts.delay_trend_over_time(facts), "purchase_date")
     agg = series.agg(*T.fit_parts("position", "avg_delay_days", 2), *T.growth_parts("position", "avg_delay_days"))
     return agg.select(
         T.trend_expr(2).alias("trend"),
+        F.when(T.trend_expr(2) == "decreasing", "improving")
+        .when(T.trend_expr(2) == "increasing", "worsening")
+        .otherwise("stable")
+        .alias("label"),
         F.coalesce(F.col("_first"), F.lit(0.0)).alias("earliest"),
         F.coalesce(F.col("_last"), F.lit(0.0)).alias("latest"),
         (F.coalesce(F.col("_first"), F.lit(0.0)) - F.coalesce(F.col("_last"), F.lit(0.0))).alias("improvement"),

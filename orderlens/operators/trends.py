@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlens.session import staged
+
 _INT = "decimal(38,0)"
 
 # Trend thresholds on slope / standard deviation, and the
@@ -46,34 +48,24 @@ def with_position(
     order_col: str,
     partition_cols: Sequence[str] = (),
     name: str = "position",
-    bucket: Column | None = None,
 ) -> DataFrame:
-    """0-based position of each row in ``order_col`` order.
+    """0-based position of each row in ``order_col`` order (nulls last).
 
     With ``partition_cols`` each series is numbered by its own window. A
-    single series is numbered without moving it into one task: rows are
-    grouped into ordered buckets (calendar months of a date or timestamp
-    column by default), numbered inside each bucket in parallel, and shifted
-    by the number of rows in all earlier buckets. The bucket-size table has
-    one row per bucket, so its broadcast is bounded by the number of buckets.
+    single series is range-partitioned and written once to the shared folder,
+    so that its source is read once; the partitions are numbered in parallel
+    and shifted by the rows of all earlier ones. The table of partition sizes
+    has at most one row per shuffle partition, which bounds its broadcast.
     """
     order = F.col(order_col).asc_nulls_last()
     if partition_cols:
         return series.withColumn(name, F.row_number().over(Window.partitionBy(*partition_cols).orderBy(order)) - 1)
-    if bucket is None:
-        dtype = series.schema[order_col].dataType.simpleString()
-        if not dtype.startswith(("date", "timestamp")):
-            return series.withColumn(name, F.row_number().over(Window.orderBy(order)) - 1)
-        bucket = F.trunc(F.col(order_col), "month")
-    b = series.withColumn("_bucket", bucket)
-    sizes = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy(F.col("_bucket").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    local = Window.partitionBy("_bucket").orderBy(order)
-    numbered = b.withColumn("_rn", F.row_number().over(local))
-    return numbered.join(F.broadcast(offsets), numbered["_bucket"].eqNullSafe(offsets["_bucket"])).select(
-        *[numbered[c] for c in series.columns], (F.col("_offset") + F.col("_rn") - 1).alias(name)
-    )
+    b = staged(series.repartitionByRange(order).withColumn("_part", F.spark_partition_id()), "series")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = b.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    numbered = b.withColumn("_rn", F.row_number().over(Window.partitionBy("_part").orderBy(order)))
+    return numbered.join(F.broadcast(offsets), "_part").select(*series.columns, (F.col("_offset") + F.col("_rn") - 1).alias(name))
 
 
 def moving_average(

@@ -10,11 +10,21 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from orderlens.functions.cleaning import clean
 from orderlens.operators import contracts, filters, insights, marts, orders, trends
 from orderlens.plans.facts import enriched, facts
 from orderlens.plans.refresh import refresh
-from orderlens.plans.stream_job import csv_snapshot_roundtrip, ingest_roundtrip, landing_csv_roundtrip, run_folder
+from orderlens.plans.stream_job import (
+    awkward_text_roundtrip,
+    csv_snapshot_roundtrip,
+    ingest_rejects,
+    ingest_roundtrip,
+    landing_csv_roundtrip,
+    run_folder,
+)
+from orderlens.sources.sinks import export_tables, read_table
 from orderlens.sources.testdata import load_testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,15 +71,50 @@ OUTPUTS = [
 
 
 def contract_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Refresh, export every table, then check the exported folder (Q1-Q3)."""
+    """Refresh, export every table, then check the exported folder (Q1-Q4)."""
+    started = dt.datetime.now(dt.timezone.utc).replace(microsecond=0)
     out_dir = run_folder(spark, "outputs")
     refresh(spark, load_testdata(spark, sf_dir), out_dir=out_dir)
-    return contracts.contract_report(spark, out_dir).drop("last_modified")
+    report = contracts.contract_report(spark, out_dir)
+    columns = contracts.column_check(spark, out_dir).select("table", "columns_ok")
+    return report.withColumn("modified_since_start", F.col("last_modified") >= F.lit(started)).drop("last_modified").join(columns, "table", "left")
 
 
 # Parameters of the registered view-filter queries (dashboard selections).
 RANGE_START, RANGE_END = dt.date(1996, 1, 1), dt.date(1998, 12, 31)
 SELECTED_STATE = "NATION_7"
+SELECTED_CATEGORY = "Brand#7"
+
+
+def export_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export two tables as CSV, reload them typed by name, aggregate."""
+    out_dir = run_folder(spark, "reload")
+    f = facts(spark, sf_dir)
+    made = {"revenue_by_state": marts.revenue_by_state(f), "top_products": marts.top_products(f)}
+    export_tables(made, out_dir)
+    total = F.sum(F.col("revenue").cast("decimal(20,2)")).cast("double")
+    parts = [
+        read_table(spark, out_dir, name).agg(F.count(F.lit(1)).alias("n"), total.alias("total")).select(F.lit(name).alias("name"), "n", "total")
+        for name in made
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def null_normalisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NaN, blank, infinite and malformed text in string and numeric fields."""
+    o = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
+    key, n = F.col("o_orderkey"), F.col("o_orderkey") % 6
+    price = F.when(n == 0, "NaN").when(n == 1, "").when(n == 2, "Infinity").when(n == 3, "abc").otherwise(F.col("o_totalprice").cast("string"))
+    kind = F.when(key % 3 == 0, "").when(key % 3 == 1, '"NaN"').otherwise(F.col("o_orderpriority"))
+    raw = o.select(key.cast("string").alias("order_id"), price.alias("price"), kind.alias("payment_type"))
+    c = clean(raw)
+    return c.select(F.col("order_id").cast("long").alias("order_id"), "price", "payment_type", F.col("price").isNull().cast("int").alias("unusable"))
+
+
+def published_order(f: DataFrame) -> DataFrame:
+    """O1: the place of each row in a published (sorted) table."""
+    rows = marts.revenue_by_state(f).coalesce(1)
+    return rows.withColumn("place", F.monotonically_increasing_id() + 1)
 
 
 def _daily(f):
@@ -103,6 +148,20 @@ def derived_queries() -> dict[str, Query]:
             marts.freight_vs_price_by_category(f), ["product_category_name", "avg_price"], "avg_price"
         )
     )
+    q["category_price_selected"] = _on_facts(
+        lambda f: filters.equals_or_all(marts.freight_vs_price_by_category(f), "product_category_name", SELECTED_CATEGORY)
+    )
+    q["payment_selected"] = _on_facts(lambda f: filters.equals_or_all(marts.avg_payment_by_type(f), "payment_type", "voucher"))
+    q["state_review_all"] = _on_facts(
+        lambda f: filters.equals_or_all(marts.review_score_by_state(f), "customer_state", filters.ALL)
+    )
+    q["delay_trend_in_range"] = _on_facts(lambda f: filters.date_range(marts.delay_trend_over_time(f), RANGE_START, RANGE_END))
+    q["category_revenue_head"] = _on_facts(lambda f: marts.revenue_by_category(f).limit(15))
+    q["published_order"] = _on_facts(published_order)
+    q["export_reload"] = export_reload
+    q["null_normalisation"] = null_normalisation
+    q["awkward_text_roundtrip"] = awkward_text_roundtrip
+    q["ingest_rejects"] = ingest_rejects
     q["stream_ingest_roundtrip"] = ingest_roundtrip
     q["snapshot_csv_roundtrip"] = csv_snapshot_roundtrip
     q["landing_csv_roundtrip"] = landing_csv_roundtrip

@@ -9,7 +9,6 @@ each query appends its own SELECT. Column names match the Spark outputs.
 from __future__ import annotations
 
 from orderlens import schema as S
-from orderlens.operators.orders import ORDER_KEYS
 
 ENRICHED_CTE = """
 WITH
@@ -94,9 +93,19 @@ facts AS (
   FROM enriched)
 """
 
-# Money is summed as DECIMAL(18,4), exactly as the Spark side does.
-M = "CAST({} AS DECIMAL(18,4))"
-REV = "sum(CAST(revenue AS DECIMAL(18,4)))"
+# Money: a finite value below 10^14 in size, to four decimals; anything else is no amount.
+M = "TRY_CAST(CASE WHEN abs({0}) < 1e14 THEN {0} END AS DECIMAL(18,4))"
+REV = f"sum({M.format('revenue')})"
+
+# The order of an order's rows: the last by these stands for it.
+ORDER_KEYS = [
+    "order_purchase_timestamp",
+    "review_answer_timestamp",
+    "review_id",
+    "order_item_id",
+    "payment_sequential",
+    "order_delivered_customer_date",
+]
 
 
 def _cents(expr: str) -> str:
@@ -173,7 +182,7 @@ def _order_level_sql() -> str:
         f"""
 , ranked AS (
   SELECT order_id, {", ".join(ordered)},
-         CAST(round(sum(CAST(revenue AS DECIMAL(18,4))) OVER (PARTITION BY order_id), 2) AS DOUBLE) AS order_revenue,
+         CAST(round(sum({M.format('revenue')}) OVER (PARTITION BY order_id), 2) AS DOUBLE) AS order_revenue,
          row_number() OVER (PARTITION BY order_id ORDER BY {_desc(ordered)}) AS rn
   FROM facts)
 SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1"""
@@ -187,7 +196,7 @@ def _kpi_order_level_sql() -> str:
 , ol AS (
   SELECT * FROM (
     SELECT order_id, review_score, is_late_delivery,
-           sum(CAST(revenue AS DECIMAL(18,4))) OVER (PARTITION BY order_id) AS orev,
+           sum({M.format('revenue')}) OVER (PARTITION BY order_id) AS orev,
            row_number() OVER (PARTITION BY order_id ORDER BY {_desc(ordered)}) AS rn
     FROM facts WHERE order_id IS NOT NULL) WHERE rn = 1),
 agg AS (
@@ -491,13 +500,39 @@ FROM (SELECT min(purchase_date) AS lo, max(purchase_date) AS hi FROM daily)"""
     q["stream_ingest_roundtrip"] = base["late_delivery_by_state"]
     q["snapshot_csv_roundtrip"] = base["avg_payment_by_type"]
     q["landing_csv_roundtrip"] = base["revenue_by_category"]
+    q["awkward_text_roundtrip"] = (
+        "SELECT doc_id, text, lang FROM documents UNION ALL SELECT conv_id * 1000 + turn, text, role FROM conversations WHERE text IS NOT NULL"
+    )
+    q["ingest_rejects"] = (
+        "SELECT 'good' AS kind, count(*) AS messages FROM orders WHERE o_orderkey % 5 <> 0 "
+        "UNION ALL SELECT 'rejected', count(*) FROM orders WHERE o_orderkey % 5 = 0"
+    )
+    q["null_normalisation"] = """
+SELECT o_orderkey AS order_id, CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 3 THEN NULL ELSE o_totalprice END AS price,
+       CASE o_orderkey % 3 WHEN 0 THEN 'unknown' WHEN 1 THEN 'unknown' ELSE o_orderpriority END AS payment_type,
+       CASE WHEN o_orderkey % 6 IN (0, 1, 2, 3) THEN 1 ELSE 0 END AS unusable FROM orders"""
+    q["export_reload"] = (
+        "SELECT 'revenue_by_state' AS name, count(*) AS n, CAST(sum(CAST(revenue AS DECIMAL(20,2))) AS DOUBLE) AS total FROM ("
+        + base["revenue_by_state"] + ") UNION ALL SELECT 'top_products', count(*), CAST(sum(CAST(revenue AS DECIMAL(20,2))) AS DOUBLE) FROM ("
+        + base["top_products"] + ")"
+    )
+    q["published_order"] = (
+        f"SELECT customer_state, revenue, row_number() OVER (ORDER BY revenue DESC, customer_state) AS place FROM ({base['revenue_by_state']})"
+    )
+    q["category_price_selected"] = f"SELECT * FROM ({base['freight_vs_price_by_category']}) WHERE product_category_name = 'Brand#7'"
+    q["payment_selected"] = f"SELECT * FROM ({base['avg_payment_by_type']}) WHERE payment_type = 'voucher'"
+    q["state_review_all"] = base["review_score_by_state"]
+    q["delay_trend_in_range"] = (
+        f"SELECT * FROM ({base['delay_trend_over_time']}) WHERE purchase_date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'"
+    )
+    q["category_revenue_head"] = f"SELECT * FROM ({base['revenue_by_category']}) ORDER BY revenue DESC, product_category_name LIMIT 15"
     # contract report: every expected table exported with its row count
     parts = []
     for name in S.EXPECTED_OUTPUTS:
         parts.append(f"SELECT '{name}' AS \"table\", (SELECT count(*) FROM ({base[name]})) AS n")
     q["contract_report"] = (
         "SELECT \"table\", true AS \"exists\", CAST(n AS BIGINT) AS row_count, "
-        "CASE WHEN n = 0 THEN 'warning' ELSE 'ok' END AS status FROM (" + " UNION ALL ".join(parts) + ")"
+        "CASE WHEN n = 0 THEN 'warning' ELSE 'ok' END AS status, true AS modified_since_start, true AS columns_ok FROM (" + " UNION ALL ".join(parts) + ")"
     )
     # insight blocks
     q["insight_kpi_summary"] = base["kpi_summary"]
@@ -587,7 +622,7 @@ SELECT CAST(total AS BIGINT) AS total_orders, CAST(cc AS BIGINT) AS credit_card_
 a AS (SELECT arg_min_null(inst, struct_pack(a := -cnt, b := inst IS NULL, c := inst)) AS _mode,
              max(cnt) AS _mode_count, sum(cnt) AS _total,
              coalesce(sum(cnt) FILTER (WHERE inst > 1), 0) AS _multi FROM t)
-SELECT coalesce(CAST(_mode AS BIGINT), 1) AS mode_installments, CAST(coalesce(_mode_count, 0) AS BIGINT) AS mode_count,
+SELECT CASE WHEN _total IS NULL THEN 1 ELSE CAST(_mode AS BIGINT) END AS mode_installments, CAST(coalesce(_mode_count, 0) AS BIGINT) AS mode_count,
        {_share('_mode_count', '_total')} AS mode_share, {_share('_multi', '_total')} AS multi_installment_share
 FROM a"""
     )
@@ -621,7 +656,9 @@ SELECT worst_state, worst_rate, mean_rate, {_lift('worst_rate', 'mean_rate')} AS
          WHERE purchase_date IS NOT NULL GROUP BY 1),
 pos AS (SELECT *, row_number() OVER (ORDER BY purchase_date) - 1 AS position FROM dt),
 a AS (SELECT {_fit_parts('position', 'avg_delay_days', 2)}, {_growth_parts('position', 'avg_delay_days')} FROM pos)
-SELECT {_trend(2)} AS trend, coalesce(_first, 0.0) AS earliest, coalesce(_last, 0.0) AS latest,
+SELECT {_trend(2)} AS trend,
+       CASE {_trend(2)} WHEN 'decreasing' THEN 'improving' WHEN 'increasing' THEN 'worsening' ELSE 'stable' END AS label,
+       coalesce(_first, 0.0) AS earliest, coalesce(_last, 0.0) AS latest,
        coalesce(_first, 0.0) - coalesce(_last, 0.0) AS improvement FROM a"""
     )
     spart = "coalesce(sum(n) FILTER (WHERE review_score = {}), 0)"

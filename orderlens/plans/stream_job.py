@@ -8,20 +8,15 @@ checkpoint directory (a fresh run folder per call).
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderlens.operators import marts
 from orderlens.plans.facts import enriched, facts_from_raw, facts_from_tables
 from orderlens.sources.tables import read_csv_tables, read_snapshot, write_csv_tables
 from orderlens.sources.testdata import load_testdata
-from orderlens.session import checkpoint_dir
-from orderlens.streaming import publish, read_stream, run_append
-
-
-def run_folder(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+from orderlens.session import run_folder
+from orderlens.streaming import encode, publish, read_stream, run_append, run_rejects
 
 
 def ingest_roundtrip(spark: SparkSession, sf_dir: str, aggregate=marts.late_delivery_by_state) -> DataFrame:
@@ -44,6 +39,39 @@ def csv_snapshot_roundtrip(spark: SparkSession, sf_dir: str, aggregate=marts.avg
     return aggregate(facts_from_raw(read_snapshot(spark, sink)))
 
 
+def awkward_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts (quotes, commas, newlines, outer blanks) as comments through publish, the CSV sink and the snapshot scan."""
+    base = run_folder(spark, "awkward")
+    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").select(
+        F.col("doc_id").alias("order_id"), F.col("text").alias("review_comment_message"), F.col("lang").alias("customer_city")
+    )
+    turns = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet").where(F.col("text").isNotNull()).select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("order_id"), F.col("text").alias("review_comment_message"), F.col("role").alias("customer_city")
+    )
+    publish(docs.unionByName(turns), fmt="text", path=f"{base}/landing")
+    run_append(read_stream(spark, fmt="text", path=f"{base}/landing"), f"{base}/snapshot", f"{base}/checkpoint", fmt="csv").awaitTermination()
+    back = read_snapshot(spark, f"{base}/snapshot")
+    return back.select(
+        F.col("order_id").cast("long").alias("doc_id"), F.col("review_comment_message").alias("text"), F.col("customer_city").alias("lang")
+    )
+
+
+def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth order's message is cut off: good and rejected messages, counted in the two sinks."""
+    base = run_folder(spark, "rejects")
+    orders = load_testdata(spark, sf_dir).orders
+    messages = encode(orders)
+    cut = F.expr("substring(value, 1, length(value) - 1)")
+    broken = messages.select(F.when(F.col("key").cast("long") % 5 == 0, cut).otherwise(F.col("value")).alias("value"))
+    broken.write.text(f"{base}/landing")
+    stream = read_stream(spark, fmt="text", path=f"{base}/landing")
+    run_append(stream, f"{base}/snapshot", f"{base}/checkpoint").awaitTermination()
+    run_rejects(stream, f"{base}/rejected", f"{base}/rejected-checkpoint").awaitTermination()
+    good = spark.read.parquet(f"{base}/snapshot").agg(F.count(F.lit(1)).alias("messages")).select(F.lit("good").alias("kind"), "messages")
+    bad = spark.read.text(f"{base}/rejected").agg(F.count(F.lit(1)).alias("messages")).select(F.lit("rejected").alias("kind"), "messages")
+    return good.unionByName(bad)
+
+
 def landing_csv_roundtrip(spark: SparkSession, sf_dir: str, aggregate=marts.revenue_by_category) -> DataFrame:
     """Land the six source tables as CSV, scan them back (S1) and aggregate."""
     landing = run_folder(spark, "landing")

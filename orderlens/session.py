@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Shuffle partition counts are left to AQE on a
 # cluster (it coalesces small partitions and splits skewed ones at runtime).
@@ -68,3 +69,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="orderlens-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared one."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, so that several readers don't run its plan again."""
+    path = run_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

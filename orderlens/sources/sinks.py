@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlens import schema as S
-
-CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"'}
+from orderlens.sources.csv_format import WRITE, read_options
 
 
 def export_table(df: DataFrame, path: str, fmt: str = "csv", single_file: bool = True) -> None:
@@ -20,7 +21,7 @@ def export_table(df: DataFrame, path: str, fmt: str = "csv", single_file: bool =
     out = df.coalesce(1) if single_file else df
     writer = out.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        writer = writer.options(**CSV_OPTIONS)
+        writer = writer.options(**WRITE)
     writer.save(path)
 
 
@@ -33,15 +34,28 @@ def export_tables(tables: dict[str, DataFrame], out_dir: str, fmt: str = "csv")
 
 
 def read_table(spark: SparkSession, out_dir: str, name: str, fmt: str = "csv") -> DataFrame:
-    """Reload one table with its published schema; missing -> empty frame."""
+    """Reload one table with its published schema; missing -> empty frame.
+
+    Columns are taken by the name in the file's header, whatever their order;
+    one that the file lacks is null, one that is not published is left out.
+    Values are cast with ``try_cast``: what does not parse is null.
+    """
     schema = S.OUTPUT_SCHEMAS[name]
+    path = f"{out_dir.rstrip('/')}/{name}"
     try:
-        reader = spark.read.schema(schema).format(fmt)
         if fmt == "csv":
-            reader = reader.options(**CSV_OPTIONS).option("multiLine", "true").option("mode", "PERMISSIVE")
-        return reader.load(f"{out_dir.rstrip('/')}/{name}")
+            found = spark.read.options(**read_options()).csv(path)
+        else:
+            found = spark.read.format(fmt).load(path)
     except AnalysisException:
         return spark.createDataFrame([], schema)
+    return found.select(*[_typed(found, f).alias(f.name) for f in schema.fields])
+
+
+def _typed(found: DataFrame, field: T.StructField):
+    if field.name not in found.columns:
+        return F.lit(None).cast(field.dataType)
+    return F.col(f"`{field.name}`").try_cast(field.dataType)
 
 
 def read_tables(spark: SparkSession, out_dir: str, names: list[str] | None = None) -> dict[str, DataFrame]:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens import schema as S
+from orderlens.sources.csv_format import WRITE, read_options
 
 
 @dataclass(frozen=True)
@@ -58,29 +59,23 @@ def read_csv_tables(spark: SparkSession, landing_dir: str, multiline: bool = Tru
     for name, (file_name, columns) in CSV_FILES.items():
         frames[name] = (
             spark.read.schema(_strings(*columns))
-            .option("header", True)
-            .option("multiLine", multiline)
-            .option("quote", '"')
-            .option("escape", '"')
-            .option("mode", "PERMISSIVE")
+            .options(**read_options(multiline))
             .csv(f"{landing_dir.rstrip('/')}/{file_name}")
         )
     return SourceTables(**frames)
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+def read_snapshot(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """The raw enriched snapshot (CSV written by the stream sink).
 
     Header, no inference (the fixed 36 string columns), quoted fields may
-    span lines, malformed rows kept (PERMISSIVE) and typed later.
+    span lines, malformed rows kept (PERMISSIVE) and typed later. A snapshot
+    whose fields hold no newline splits into many tasks with ``multiline=False``;
+    a Parquet snapshot (the default of the stream) always does.
     """
     return (
         spark.read.schema(S.RAW_SCHEMA)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
+        .options(**read_options(multiline))
         .csv(path)
     )
 
@@ -93,9 +88,7 @@ def write_csv_tables(tables: SourceTables, landing_dir: str) -> None:
         (
             df.select(*present)
             .write.mode("overwrite")
-            .option("header", True)
-            .option("escape", '"')
-            .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
+            .options(**WRITE)
             .csv(f"{landing_dir.rstrip('/')}/{file_name}")
         )
 

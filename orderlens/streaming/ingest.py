@@ -12,9 +12,14 @@ through the same cleaning step as every other input.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from orderlens.streaming.codec import decode
+from orderlens.sources.csv_format import WRITE
+from orderlens.streaming.codec import decode, rejects
+
+#: Files (offsets for Kafka) of a micro-batch unless the caller says otherwise.
+MAX_FILES, MAX_OFFSETS = 256, 5_000_000
 
 
 def read_stream(
@@ -30,16 +35,15 @@ def read_stream(
     ``fmt="kafka"`` subscribes to ``topic`` from the earliest offsets (extra
     ``options`` such as ``kafka.bootstrap.servers`` pass through);
     ``fmt="text"`` watches ``path`` for JSON-lines files. ``max_per_trigger``
-    bounds each micro-batch (offsets for Kafka, files otherwise), so a large
-    backlog drains in several committed batches instead of one.
+    bounds each micro-batch (offsets for Kafka, files otherwise; MAX_OFFSETS and
+    MAX_FILES by default), so a large backlog drains in several committed batches.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
         reader = reader.option("subscribe", topic).option("startingOffsets", "earliest")
-        if max_per_trigger:
-            reader = reader.option("maxOffsetsPerTrigger", str(max_per_trigger))
-    elif max_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_per_trigger))
+        reader = reader.option("maxOffsetsPerTrigger", str(max_per_trigger or MAX_OFFSETS))
+    else:
+        reader = reader.option("maxFilesPerTrigger", str(max_per_trigger or MAX_FILES))
     reader = reader.options(**(options or {}))
     return reader.load(path) if path else reader.load()
 
@@ -55,18 +59,29 @@ def run_append(
     """S4 + S6: decode each message and append the raw row to ``sink_path``.
 
     ``available_now`` drains what is there and stops (batch-style refresh);
-    otherwise the query runs on a ``processing_time`` trigger.
+    otherwise the query runs on a ``processing_time`` trigger. A message that
+    is not a JSON object never becomes a row; ``run_rejects`` keeps those.
     """
-    writer = (
-        decode(messages)
-        .writeStream.format(fmt)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-    )
+    writer = decode(messages).writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**WRITE)
+    return _triggered(writer, available_now, processing_time).start(sink_path)
+
+
+def run_rejects(
+    messages: DataFrame,
+    reject_path: str,
+    checkpoint: str,
+    available_now: bool = True,
+    processing_time: str | None = None,
+) -> StreamingQuery:
+    """Append the messages that ``run_append`` leaves out, as text; their number is the folder's line count."""
+    quoted = rejects(messages).select(F.to_json(F.struct("value")).alias("value"))  # one line each, newlines escaped
+    writer = quoted.writeStream.format("text").outputMode("append").option("checkpointLocation", checkpoint)
+    return _triggered(writer, available_now, processing_time).start(reject_path)
+
+
+def _triggered(writer: DataStreamWriter, available_now: bool, processing_time: str | None) -> DataStreamWriter:
     if available_now:
-        writer = writer.trigger(availableNow=True)
-    elif processing_time:
-        writer = writer.trigger(processingTime=processing_time)
-    return writer.start(sink_path)
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=processing_time) if processing_time else writer

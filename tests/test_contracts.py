@@ -7,7 +7,8 @@ from orderlens import schema as S
 from orderlens.operators import contracts
 from orderlens.plans.refresh import all_outputs, refresh
 from orderlens.plans.facts import facts
-from orderlens.sources.sinks import CSV_OPTIONS, export_table, export_tables, read_table
+from orderlens.sources.csv_format import read_options
+from orderlens.sources.sinks import export_table, export_tables, read_table
 from orderlens.sources.testdata import load_testdata
 
 
@@ -15,7 +16,7 @@ def test_csv_roundtrip_of_awkward_text(spark, tmp_path):
     text = 'line one\nline "two", with comma'
     df = spark.createDataFrame([("r1", text)], "review_id string, review_comment_message string")
     export_table(df, str(tmp_path / "t"))
-    back = spark.read.options(**CSV_OPTIONS).option("multiLine", "true").csv(str(tmp_path / "t")).first()
+    back = spark.read.options(**read_options()).csv(str(tmp_path / "t")).first()
     assert back.review_comment_message == text
 
 
@@ -62,3 +63,16 @@ def test_shared_and_independent_plans_agree(spark):
         assert [tuple(r) for r in shared[name].collect()] == [tuple(r) for r in alone[name].collect()], name
     for df in cached:
         df.unpersist()
+
+
+def test_columns_are_checked_and_read_by_name(spark, tmp_path):
+    out = str(tmp_path / "named")
+    rows = spark.createDataFrame([(1.5, " SP"), (2.5, "SP")], "revenue double, customer_state string")
+    export_table(rows, f"{out}/revenue_by_state")
+    export_table(spark.createDataFrame([("x", 1, 2)], "customer_state string, order_count long, extra int"), f"{out}/orders_by_state")
+    check = {r.table: r for r in contracts.column_check(spark, out, ["revenue_by_state", "orders_by_state", "top_sellers"]).collect()}
+    assert not check["revenue_by_state"].columns_ok and check["revenue_by_state"].missing_columns == []
+    assert check["orders_by_state"].extra_columns == ["extra"] and not check["orders_by_state"].columns_ok
+    assert not check["top_sellers"].columns_ok and check["top_sellers"].missing_columns
+    back = {r.customer_state: r.revenue for r in read_table(spark, out, "revenue_by_state").collect()}
+    assert back == {" SP": 1.5, "SP": 2.5}

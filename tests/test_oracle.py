@@ -11,8 +11,9 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from orderlens.plans.catalog import queries
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events documents conversations".split()
 SLOW = {"stream_ingest_roundtrip", "contract_report"}
 
 
@@ -40,11 +41,11 @@ def con():
 
 
 def test_every_query_has_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(queries()) - set(E.oracle_sql())
     assert not missing
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, con, name):
     if name in SLOW and os.environ.get("ORDERLENS_FAST"):
         pytest.skip("slow end-to-end query")

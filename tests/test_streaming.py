@@ -9,7 +9,8 @@ from conftest import SF_SMALL
 from fixtures import basic
 from orderlens.operators import marts
 from orderlens.plans.facts import enriched, facts, facts_from_raw
-from orderlens.streaming import decode, encode, publish, read_stream, run_append
+from orderlens.sources import read_snapshot
+from orderlens.streaming import decode, encode, publish, read_stream, rejects, run_append
 
 
 def test_decode_nan_missing_and_extra_keys(spark):
@@ -79,3 +80,22 @@ def test_bounded_micro_batches(spark, tmp_path):
     q.awaitTermination()
     assert len(q.recentProgress) >= 4  # one file per committed batch
     assert spark.read.parquet(sink).count() == enriched(spark, SF_SMALL).count()
+
+
+def test_malformed_messages_are_rejected(spark, tmp_path):
+    whole = json.dumps({"order_id": "o1", "customer_id": "c", "price": 1.5})
+    lines = [whole, whole[:-1], "not json", "[1, 2]", "", "null", json.dumps({"order_id": "o2"})]
+    messages = spark.createDataFrame([(x,) for x in lines], "value string")
+    assert sorted(r.order_id for r in decode(messages).collect()) == ["o1", "o2"]
+    assert sorted(r.value for r in rejects(messages).collect()) == sorted(lines[1:6])
+
+
+def test_awkward_text_through_the_csv_sink(spark, tmp_path):
+    texts = ['say "late",\nreally', " SP ", "tab\t, comma", "\\", 'end"', "line1\nline2", ""]
+    rows = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "order_id string, review_comment_message string")
+    publish(rows, fmt="text", path=str(tmp_path / "in"))
+    publish(rows, fmt="text", path=str(tmp_path / "in"))  # publishing again replaces
+    stream = read_stream(spark, fmt="text", path=str(tmp_path / "in"))
+    run_append(stream, str(tmp_path / "out"), str(tmp_path / "chk"), fmt="csv").awaitTermination()
+    back = read_snapshot(spark, str(tmp_path / "out"))
+    assert {r.order_id: r.review_comment_message for r in back.collect()} == {str(i): t for i, t in enumerate(texts)}
