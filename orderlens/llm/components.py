@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 from orderlens.llm.scratch import table
 
 
-def _state(df: DataFrame) -> tuple:
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("h")).first()
-    return r["n"], r["h"]
+def _stars(e: DataFrame) -> bool:
+    """Whether every larger end has one smaller end, which is no larger end itself: then the edges are the components."""
+    ends = e.select(F.col("hi").alias("u"), F.lit(1).alias("h"), F.lit(0).alias("l")).unionByName(
+        e.select(F.col("lo").alias("u"), F.lit(0).alias("h"), F.lit(1).alias("l"))
+    )
+    return ends.groupBy("u").agg(F.sum("h").alias("h"), F.max("l").alias("l")).where("h > 1 OR (h > 0 AND l > 0)").isEmpty()
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -31,8 +34,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         .distinct()
     )
     e = table(e, "edges")
-    before = _state(e)
-    while before[0]:
+    while not _stars(e):
         both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             e.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
@@ -43,10 +45,6 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(low, "hi").where(F.col("lo") != F.col("m")).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         e = table(small.unionByName(low.withColumnRenamed("m", "lo")).distinct(), "edges")
-        after = _state(e)
-        if after == before:
-            break
-        before = after
     return e.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(
         e.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct()
     )

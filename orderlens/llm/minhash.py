@@ -122,19 +122,16 @@ def _band(i: int):
 def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The (a, b) whose signatures agree often enough."""
 
-    @F.pandas_udf("double")
-    def estimate(x, y):
-        import pandas as pd
-
-        if len(x) == 0:
-            return pd.Series([], dtype="float64")
-        a = np.frombuffer(b"".join(x), np.uint16).reshape(len(x), -1)
-        b = np.frombuffer(b"".join(y), np.uint16).reshape(len(x), -1)
-        return pd.Series((a == b).mean(axis=1))
+    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for k in (2, 3))
+                yield batch.select([0, 1]).filter(pa.array((x == y).mean(axis=1) >= LEAST_ESTIMATE))
 
     a = nodes.select(F.col("_key").alias("a"), F.col("_sig").alias("_sa"))
     b = nodes.select(F.col("_key").alias("b"), F.col("_sig").alias("_sb"))
-    return table(pairs.join(a, "a").join(b, "b").where(estimate("_sa", "_sb") >= LEAST_ESTIMATE).select("a", "b"), "likely")
+    both = pairs.join(a, "a").join(b, "b").select("a", "b", "_sa", "_sb")
+    return table(both.mapInArrow(agree, "a long, b long"), "likely")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
@@ -282,7 +279,7 @@ def near_duplicates(
 
     pairs = members.where(F.col("_key") != F.col("_centre")).select(F.col("_key").alias("a"), F.col("_centre").alias("b")).distinct()
     links = _confirmed(_likely(pairs, near), texts, percent, width)
-    root = table(connected_components(links), "roots")
+    root = connected_components(links)
     # pivots: what a centre left apart meets other members of its bucket's largest component
     for turn in range(PIVOT_ROUNDS):
         open_ = _open(members, root)
@@ -292,12 +289,12 @@ def near_duplicates(
         if new.isEmpty():
             break
         links = links.unionByName(new)
-        root = table(connected_components(links), "roots")
+        root = connected_components(links)
     # what is still apart is compared with all of its bucket, by signatures and then in full
     pairs = _in_buckets(_open(members, root), near)
     if not pairs.isEmpty():
         links = links.unionByName(_confirmed(pairs, texts, percent, width))
-        root = table(connected_components(links), "roots")
+        root = connected_components(links)
 
     part = nodes.select("_key", "_id").join(root.withColumnRenamed("node", "_key"), "_key")
     least = table(part.groupBy("root").agg(F.min("_id").alias("_least")), "least")
