@@ -43,6 +43,8 @@ SHARD = 1500
 #: A vector also goes to every shard whose centroid is this close (in cosine) to its nearest one, to MOST_SHARDS at most.
 SLACK = 0.12
 MOST_SHARDS = 4
+#: Cosine from which two centroids are one: wider than the radius of a link.
+APART = 0.8
 #: Degree before symmetry, the pruning factor, the width of the greedy search.
 DEGREE, ALPHA, WIDTH = 24, 1.2, 48
 QUERIES_AT_ONCE = 256
@@ -63,7 +65,16 @@ def centroids(sample: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
         np.add.at(total, near, sample)
         norm = np.linalg.norm(total, axis=1)
         c[norm > 0] = total[norm > 0] / norm[norm > 0, None]
-    return c
+    return apart(c)
+
+
+def apart(c: np.ndarray) -> np.ndarray:
+    """The centroids that are not within APART of an earlier one: no group of near vectors is cut between several."""
+    kept = np.zeros(0, np.int64)
+    for k in range(len(c)):
+        if not len(kept) or (c[kept] @ c[k]).max() < APART:
+            kept = np.append(kept, k)
+    return c[kept]
 
 
 def nearest(vectors: np.ndarray, c: np.ndarray) -> list[list[int]]:
@@ -273,6 +284,10 @@ def _divided(dealt: DataFrame) -> DataFrame:
             for r in sorted(drawn, key=lambda r: r["_v"]):
                 own.setdefault(r["_shard"], []).append(r["_unit"])
             picked = {k: centroids(np.array(x), min(marks[k], len(x))) for k, x in own.items()}
+            picked = {k: c for k, c in picked.items() if len(c) > 1}
+            large = large.where(~F.col("_shard").isin(list(marks)))
+            if not picked:
+                continue
             shared = dealt.sparkSession.sparkContext.broadcast(picked)
 
             def again(batches, shared=shared):
@@ -289,7 +304,6 @@ def _divided(dealt: DataFrame) -> DataFrame:
 
             cut = dealt.select("_v", "_unit", "_shard").mapInArrow(again, "_v long, _unit array<double>, _shards array<long>")
             dealt = table(cut.withColumn("_shard", F.explode("_shards")).drop("_shards").distinct(), "dealt")
-            large = large.where(~F.col("_shard").isin(list(marks)))
     large = _large(dealt)
     if large.isEmpty():
         return dealt
