@@ -501,7 +501,8 @@ FROM (SELECT min(purchase_date) AS lo, max(purchase_date) AS hi FROM daily)"""
     q["snapshot_csv_roundtrip"] = base["avg_payment_by_type"]
     q["landing_csv_roundtrip"] = base["revenue_by_category"]
     q["awkward_text_roundtrip"] = (
-        "SELECT doc_id, text, lang FROM documents UNION ALL SELECT conv_id * 1000 + turn, text, role FROM conversations WHERE text IS NOT NULL"
+        "SELECT doc_id, nullif(text, '') AS text, lang FROM documents "
+        "UNION ALL SELECT conv_id * 1000 + turn, nullif(text, ''), role FROM conversations WHERE text IS NOT NULL"
     )
     q["ingest_rejects"] = (
         "SELECT 'good' AS kind, count(*) AS messages FROM orders WHERE o_orderkey % 5 <> 0 "

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.operators import marts, orders
 from orderlens.plans.facts import facts_from_tables
-from orderlens.plans.stream_job import run_folder
+from orderlens.session import run_folder
 from orderlens.sources.sinks import export_tables
 from orderlens.sources.tables import SourceTables
 
@@ -113,6 +113,25 @@ def all_outputs(facts: DataFrame, shared: bool = True) -> tuple[dict[str, DataFr
     return tables, cached
 
 
+class Outputs(dict):
+    """The published tables of a refresh, by name; ``release`` (or leaving the ``with``) frees the cached measures."""
+
+    def __init__(self, tables: dict[str, DataFrame], cached: list[DataFrame]):
+        super().__init__(tables)
+        self._cached = cached
+
+    def release(self) -> None:
+        for df in self._cached:
+            df.unpersist()
+        self._cached = []
+
+    def __enter__(self) -> Outputs:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.release()
+
+
 def run_concurrently(outputs: dict[str, DataFrame], action: Callable[[str, DataFrame], None], threads: int = 8):
     """Run one action per output as concurrent Spark jobs of this application.
 
@@ -132,10 +151,11 @@ def refresh(
     mode: str = "parquet",
     shared: bool = True,
     threads: int = 8,
-) -> dict[str, DataFrame]:
+) -> Outputs:
     """Run the whole refresh; export to ``out_dir`` when given.
 
     Returns the published tables (lazy frames over the materialised facts).
+    Without ``out_dir`` the caller releases them when done.
     """
     return refresh_facts(spark, facts_from_tables(tables), out_dir, mode, shared, threads)
 
@@ -147,14 +167,11 @@ def refresh_facts(
     mode: str = "parquet",
     shared: bool = True,
     threads: int = 8,
-) -> dict[str, DataFrame]:
+) -> Outputs:
     """The refresh from an already-built facts frame (e.g. a stream snapshot)."""
     facts = materialise(spark, facts, mode)
-    outputs, cached = all_outputs(facts, shared)
+    outputs = Outputs(*all_outputs(facts, shared))
     if out_dir:
-        try:
+        with outputs:
             run_concurrently(outputs, lambda name, df: export_tables({name: df}, out_dir), threads)
-        finally:
-            for df in cached:
-                df.unpersist()
     return outputs

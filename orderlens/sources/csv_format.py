@@ -1,8 +1,8 @@
 """One CSV dialect for every writer and reader of the library.
 
 Fields are quoted with double quotes, a quote inside a field is doubled, white
-space is part of the field, and a quoted field may hold newlines. The empty
-string is written as a quoted empty field and null as nothing between two commas.
+space is part of the field, and a quoted field may hold newlines. CSV does not
+tell an empty text from no value: both read back as null.
 """
 
 from __future__ import annotations

@@ -23,6 +23,7 @@ def test_csv_roundtrip_of_awkward_text(spark, tmp_path):
 def test_export_reload_and_report(spark, tmp_path):
     out = str(tmp_path / "agg")
     outputs = refresh(spark, load_testdata(spark, SF_SMALL), out_dir=out)
+    assert not outputs._cached  # released after the export
     report = {r.table: r for r in contracts.contract_report(spark, out).collect()}
     assert set(report) == set(S.EXPECTED_OUTPUTS)
     assert all(r.status == "ok" and r.exists for r in report.values())

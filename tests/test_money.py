@@ -14,14 +14,14 @@ from orderlens.plans.facts import facts_from_tables
 
 def test_extreme_prices_never_abort(spark):
     t = basic(spark)
-    prices = ["1e20", "Infinity", "-Infinity", "NaN", "99999999999999.9999", "7.5"]
+    prices = ["1e20", "Infinity", "-Infinity", "NaN", "99999999999999.5", "7.5"]
     extra = t.items.limit(1).select(
         *[F.explode(F.array(*[F.lit(p) for p in prices])).alias(c) if c == "price" else F.lit("0").alias(c) if c == "freight_value" else F.col(c) for c in t.items.columns]
     )
     f = facts_from_tables(dataclasses.replace(t, items=extra))
     total = f.agg(money_sum("revenue").alias("s")).first()["s"]
     # o1 has two payments: each usable price counts twice; 1e20 is no amount, the non-finite ones are null and so 0
-    assert abs(float(total) - 2 * (99999999999999.9999 + 7.5)) < 0.1
+    assert abs(float(total) - 2 * (99999999999999.5 + 7.5)) < 0.1
     assert marts.kpi_summary(f).count() == 1
 
 
