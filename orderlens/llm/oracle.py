@@ -1,7 +1,27 @@
-"""DuckDB SQL for the dealt operators that SQL can express."""
+"""DuckDB SQL for the dealt operators that SQL can express on whole tables.
+
+Near duplicates are: sets of shingles, pairs that share one, the threshold, and
+the smallest id within reach. The others are trained models, coders and floating
+point schedules, which the tests hold against brute force instead.
+"""
 
 from __future__ import annotations
 
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE
+w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+             ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w),
+e AS (SELECT doc_id, hash(g) AS g FROM (SELECT doc_id, unnest(sh) AS g FROM s)),
+n AS (SELECT doc_id, CAST(len(sh) AS BIGINT) AS n FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS d, doc_id AS m FROM n UNION SELECT u.b, r.m FROM r JOIN u ON u.a = r.d WHERE r.m < u.b)
+SELECT n.doc_id, n.n AS n_shingles, min(r.m) AS component_id, n.doc_id = min(r.m) AS kept
+FROM n JOIN r ON r.d = n.doc_id GROUP BY n.doc_id, n.n"""
+
 
 def oracle_queries() -> dict[str, str]:
-    return {}
+    return {"op4_minhash": NEAR_DUPLICATES}
