@@ -78,8 +78,13 @@ class Vocabulary:
         if self.merges:  # ranks of merges: read as a Zipf law of the pieces, in whole units so that sums are exact
             scores = [float(round(-UNIT * (math.log1p(-max(s, min(used))) + math.log(len(used))))) for s in scores]
         self.score = {p: (scores[i], i) for i, p in enumerate(self.pieces) if self.plain[i]}
-        #: beginnings of pieces: a longer piece is looked for only while there is one
-        self.begins = {p[:k] for p in self.score for k in range(1, len(p))}
+        #: the pieces by character: character -> (score of the piece that ends here or None, longer pieces)
+        self.trie: dict = {}
+        for p, (w, _) in self.score.items():
+            node = self.trie
+            for c in p[:-1]:
+                node = node.setdefault(c, [None, {}])[1]
+            node.setdefault(p[-1], [None, {}])[0] = w
         self.byte = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if sp.is_byte(i)}
         self.byte_of = {i: b for b, i in self.byte.items()}
         self.unknown = sp.unk_id()
@@ -96,33 +101,36 @@ class Vocabulary:
             return (got[1],)
         return tuple(self.byte[b] for b in piece.encode()) if self.byte else (self.unknown,)
 
-    def forward(self, text: str, start: np.ndarray) -> tuple[list[float], list[int]]:
+    def forward(self, text: str, start) -> tuple[list[float], list[int]]:
         """Best score and length of the last piece at each place of ``text``; start[s]: score of a piece that covers its first s characters."""
-        n, longest, score, begins = len(text), self.longest, self.score, self.begins
+        n, trie, worst = len(text), self.trie, self.worst
         best = [_NONE] * (n + 1)
         back = [0] * (n + 1)
-        for s in range(min(longest, n + 1)):
-            if s < len(start):
-                best[s] = float(start[s])
+        for s in range(min(len(start), n + 1)):
+            best[s] = float(start[s])
         for i in range(n):
             b = best[i]
             if b == _NONE:
                 continue
-            for j in range(i + 1, min(i + longest, n) + 1):
-                piece = text[i:j]
-                got = score.get(piece)
-                if got is not None or j == i + 1:
-                    w = b + (got[0] if got is not None else self.worst)
-                    # at a tie the longer last piece stays: it starts earlier and is met first
-                    if w > best[j]:
-                        best[j], back[j] = w, j - i
-                if piece not in begins:
+            first = trie.get(text[i])
+            if first is None or first[0] is None:
+                if b + worst > best[i + 1]:
+                    best[i + 1], back[i + 1] = b + worst, 1
+            node, j = trie, i
+            while j < n:
+                entry = node.get(text[j])
+                if entry is None:
                     break
+                j += 1
+                w, node = entry
+                # at a tie the longer last piece stays: it starts earlier and is met first
+                if w is not None and b + w > best[j]:
+                    best[j], back[j] = b + w, j - i
         return best, back
 
     def cut(self, text: str) -> tuple[float, tuple[int, ...]]:
         """(score, ids) of the best cut of a text of its own."""
-        best, back = self.forward(text, np.zeros(1))
+        best, back = self.forward(text, (0.0,))
         ends, at = [], len(text)
         while at > 0:
             ends.append((at - back[at], at))
