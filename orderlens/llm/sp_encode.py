@@ -76,7 +76,8 @@ class Vocabulary:
         used = [s for s, k in zip(scores, self.plain, strict=True) if k and s > UNRANKED]
         self.merges = all(s <= 0 and s == int(s) for s in used)
         if self.merges:  # ranks of merges: read as a Zipf law of the pieces, in whole units so that sums are exact
-            scores = [float(round(-UNIT * (math.log1p(-max(s, min(used))) + math.log(len(used))))) for s in scores]
+            least, size = min(used), math.log(len(used))
+            scores = [float(round(-UNIT * (math.log1p(-max(s, least)) + size))) for s in scores]
         self.score = {p: (scores[i], i) for i, p in enumerate(self.pieces) if self.plain[i]}
         #: the pieces by character: character -> (score of the piece that ends here or None, longer pieces)
         self.trie: dict = {}
