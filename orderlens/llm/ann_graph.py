@@ -4,11 +4,14 @@ Method. Distinct vectors are dealt to overlapping cluster shards: each goes to
 the shards of its nearest centroids. In every shard a flat graph is built: each
 vector's nearest ones, robustly pruned (a neighbour that is closer to a kept
 neighbour than to the vector itself, by a factor, is left out) and made
-symmetric. The adjacency lists of a vector in several shards are united. The
-search for a vector's links starts at the shard's medoid, follows the united
-lists greedily, and expands every vector found within the radius until none is
-left. Every link is verified by its cosine in double precision, and the recall
-is audited against brute force on a documented sample of queries.
+symmetric. Pruning looks at the nearest ones only, so edges are added until
+every vector has, for each other one within the radius, an edge to it or to a
+vector nearer to it. The adjacency lists of a vector in several shards are
+united. The search for a vector's links starts at the vector and expands every
+one found within the radius until none is left: from each of its links a path
+of ever nearer vectors leads to it, so the search misses no link of a shard.
+Every link is verified by its cosine in double precision, and the recall is
+audited against brute force on a documented sample of queries.
 
 Scale. Copies become one vector with a count before anything else. Centroids
 come from a bounded sample. A shard holds a bounded number of vectors: one that
@@ -45,9 +48,14 @@ SLACK = 0.12
 MOST_SHARDS = 4
 #: Cosine from which two centroids are one: wider than the radius of a link.
 APART = 0.8
-#: Degree before symmetry, the pruning factor, the width of the greedy search.
-DEGREE, ALPHA, WIDTH = 24, 1.2, 48
-QUERIES_AT_ONCE = 256
+#: Degree before symmetry and the added edges, the pruning factor.
+DEGREE, ALPHA = 24, 1.2
+#: Cosine from which vectors are joined by a star: nearer ones can't be told from rounding.
+SAME = 1 - 1e-9
+#: A vector counts as nearer than another one from this difference in cosine.
+NEARER = 1e-12
+#: Queries searched together, and vectors expanded together.
+QUERIES_AT_ONCE, EXPANDED_AT_ONCE = 256, 1 << 15
 #: Levels of centroids, shards divided in a pass, and queries of the audit.
 LEVELS, DIVIDED, AUDIT = 3, 64, 512
 
@@ -118,48 +126,81 @@ def build(vectors: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def medoid(vectors: np.ndarray) -> int:
-    return int((vectors @ vectors.mean(axis=0)).argmax())
+def completed(vectors: np.ndarray, near: list[np.ndarray], least: float) -> list[np.ndarray]:
+    """``near`` made symmetric, with the edges that a search within ``least`` needs to miss nothing.
 
-
-def search(vectors: np.ndarray, links: np.ndarray, start: int, queries: np.ndarray, least: float) -> list[np.ndarray]:
-    """Vectors within ``least`` of each query, by greedy search from ``start`` with range expansion.
-
-    ``links`` is [n, degree], padded with -1. All queries step together: each
-    expands its best unexpanded vector among its WIDTH best, and beyond those
-    every one within the radius.
+    Afterwards each vector has, for every other one within the radius, an edge
+    to it or to a vector that is nearer to it. Vectors that are the same but for
+    rounding hang on the first one of them.
+    """
+    n = len(vectors)
+    both: list[set[int]] = [set(x.tolist()) for x in near]
+    for i, x in enumerate(near):
+        for j in x.tolist():
+            both[j].add(i)
+    star = np.arange(n)
+    for lo in range(0, n, 1024):
+        star[lo : lo + 1024] = np.minimum(star[lo : lo + 1024], (vectors[lo : lo + 1024] @ vectors.T >= SAME).argmax(axis=1))
+    for i in np.flatnonzero(star != np.arange(n)).tolist():
+        both[i].add(int(star[i]))
+        both[star[i]].add(i)
+    for lo in range(0, n, 1024):
+        sims = vectors[lo : lo + 1024] @ vectors.T
+        for i, sim in enumerate(sims, lo):
+            known = np.fromiter(both[i], np.int64, len(both[i]))
+            wanted = (sim >= least - 1e-9) & (star != star[i])
+            wanted[known] = False
+            ball = np.flatnonzero(wanted)
+            if len(ball) == 0:
+                continue
+            bar = sim[ball] + NEARER
+            missed = np.ones(len(ball), bool)
+            for k in range(0, len(known), 64):
+                some = np.flatnonzero(missed)
+                missed[some] = (vectors[known[k : k + 64]] @ vectors[ball[some]].T).max(axis=0) <= bar[some]
+            while missed.any():
+                some = np.flatnonzero(missed)
+                k = some[sim[ball[some]].argmax()]
+                j = int(ball[k])
+                both[i].add(j)
+                both[j].add(i)
+                missed[some] = vectors[ball[some]] @ vectors[j] <= bar[some]
+                missed[k] = False
+    return [np.array(sorted(x), np.int64) for x in both]
+
+
+def search(vectors: np.ndarray, links: np.ndarray, least: float) -> list[np.ndarray]:
+    """The vectors within ``least`` of each vector, itself included, by range expansion from it.
+
+    ``links`` is [n, degree], padded with -1. The queries of a block step
+    together, and each expands all it has found within the radius and not yet
+    expanded.
     """
     n, found = len(vectors), []
-    for lo in range(0, len(queries), QUERIES_AT_ONCE):
-        q = queries[lo : lo + QUERIES_AT_ONCE]
-        rows = np.arange(len(q))
-        sim = np.full((len(q), n), -np.inf)  # of the vectors seen so far
-        todo = np.full((len(q), n), -np.inf)  # and not expanded
-        entries = np.unique([start, 0, n - 1])
-        sim[:, entries] = todo[:, entries] = q @ vectors[entries].T
-        bar = np.full(len(q), -np.inf)
-        step = 0
-        while len(rows):
-            best = todo[rows].argmax(axis=1)
-            value = todo[rows, best]
-            # the WIDTH-th best seen moves slowly: it is looked up now and then
-            if step % 8 == 0 and n > WIDTH:
-                bar[rows] = np.partition(sim[rows], n - WIDTH, axis=1)[:, n - WIDTH]
-            step += 1
-            go = (value > -np.inf) & ((value >= bar[rows]) | (value >= least))
-            rows, best = rows[go], best[go]
-            if not len(rows):
-                break
-            todo[rows, best] = -np.inf
-            near = links[best]
-            r, at = np.nonzero(near >= 0)
-            x, y = rows[r], near[r, at]
-            new = sim[x, y] == -np.inf
-            x, y = x[new], y[new]
-            s = np.einsum("ij,ij->i", q[x], vectors[y])
-            sim[x, y] = s
-            todo[x, y] = s
-        found += [np.flatnonzero(s >= least) for s in sim]
+    for lo in range(0, n, QUERIES_AT_ONCE):
+        own = np.arange(lo, min(n, lo + QUERIES_AT_ONCE))
+        rows = np.arange(len(own))
+        seen = np.zeros((len(own), n), bool)
+        seen[rows, own] = True
+        good = seen.copy()
+        x, y = rows, own
+        while len(x):
+            more = []
+            for at in range(0, len(x), EXPANDED_AT_ONCE):
+                near = links[y[at : at + EXPANDED_AT_ONCE]]
+                r, c = np.nonzero(near >= 0)
+                a, b = x[at + r], near[r, c]
+                new = ~seen[a, b]
+                pair = np.unique(a[new] * n + b[new])
+                a, b = pair // n, pair % n
+                seen[a, b] = True
+                for k in range(0, len(a), EXPANDED_AT_ONCE):
+                    s = np.einsum("ij,ij->i", vectors[own[a[k : k + EXPANDED_AT_ONCE]]], vectors[b[k : k + EXPANDED_AT_ONCE]])
+                    more.append(pair[k : k + EXPANDED_AT_ONCE][s >= least])
+            pair = np.concatenate(more) if more else np.zeros(0, np.int64)
+            x, y = pair // n, pair % n
+            good[x, y] = True
+        found += [np.flatnonzero(g) for g in good]
     return found
 
 
@@ -223,7 +264,11 @@ def near_vectors(
         counts = spark.createDataFrame([], "_v long, _links long")
     else:
         dealt = _divided(dealt)
-        graph = table(dealt.groupBy("_shard").applyInArrow(_build_shard, "_v long, _near array<long>"), "graph")
+
+        def link(part: pa.Table) -> pa.Table:
+            return _build_shard(part, least)
+
+        graph = table(dealt.groupBy("_shard").applyInArrow(link, "_v long, _near array<long>"), "graph")
         united = graph.groupBy("_v").agg(F.array_distinct(F.flatten(F.collect_list("_near"))).alias("_near"))
         homes = dealt.groupBy("_v").agg(F.sort_array(F.collect_set("_shard")).alias("_homes"))
         full = dealt.join(united, "_v").join(homes, "_v").join(usable.select("_v", "_n"), "_v")
@@ -315,16 +360,13 @@ def _divided(dealt: DataFrame) -> DataFrame:
     return table(cut.select("_v", "_unit", "_shard"), "dealt")
 
 
-def _build_shard(part: pa.Table) -> pa.Table:
+def _build_shard(part: pa.Table, least: float) -> pa.Table:
     part = part.sort_by("_v").combine_chunks()
     key = part["_v"].to_numpy()
-    near = build(_vectors(part["_unit"].chunk(0)))
+    v = _vectors(part["_unit"].chunk(0))
     # symmetric: who is near knows it too
-    both: list[list[int]] = [list(x) for x in near]
-    for i, x in enumerate(near):
-        for j in x:
-            both[j].append(i)
-    return pa.table({"_v": key, "_near": pa.array([key[np.unique(x)] if x else [] for x in both], pa.list_(pa.int64()))})
+    both = completed(v, build(v), least)
+    return pa.table({"_v": key, "_near": pa.array([key[x] for x in both], pa.list_(pa.int64()))})
 
 
 def _search_shard(part: pa.Table, least: float) -> pa.Table:
@@ -339,7 +381,7 @@ def _search_shard(part: pa.Table, least: float) -> pa.Table:
     links = np.full((len(v), wide), -1, np.int64)
     for i, x in enumerate(near):
         links[i, : len(x)] = x
-    found = search(v, links, medoid(v), v, least)
+    found = search(v, links, least)
     i = np.repeat(np.arange(len(v)), [len(x) for x in found])
     j = np.concatenate(found)
     # what one end finds the other has found

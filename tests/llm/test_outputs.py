@@ -60,6 +60,48 @@ def test_embedding_links_match_brute_force(spark, shard, monkeypatch):
     assert ann_graph.audit(d, result) > 0.9
 
 
+def groups(sizes, dim=64, noise=0.02, seed=11):
+    """Groups of distinct near vectors around centres that are far from each other."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for size in sizes:
+        base = rng.normal(size=dim)
+        out += [(base + rng.normal(size=dim) * noise).tolist() for _ in range(size)]
+    return out
+
+
+@pytest.mark.parametrize("sizes", [[80] * 20 + [1] * 60, [200] * 8 + [1] * 60])
+def test_groups_larger_than_the_pool_keep_all_links(spark, sizes, monkeypatch):
+    monkeypatch.setattr(ann_graph, "SHARD", 10_000)  # one shard
+    rows = groups(sizes)
+    unit = np.array(rows) / np.linalg.norm(rows, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    d = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in ann_graph.near_vectors(d).collect()}
+    assert [got[i].n_links for i in range(len(rows))] == want.tolist()
+    first = np.repeat(np.cumsum([0, *sizes[:-1]]), sizes)
+    assert [got[i].component_id for i in range(len(rows))] == first.tolist()
+
+
+@pytest.mark.parametrize("case", ["clumps", "wide", "rounding"])
+def test_search_of_a_shard_is_exact(case):
+    rng = np.random.default_rng(12)
+    if case == "clumps":  # within the radius of each other, and each larger than the pool of neighbours
+        base = rng.normal(size=64)
+        v = np.concatenate([base + rng.normal(size=64) * 0.25 + rng.normal(size=(90, 64)) * 0.001 for _ in range(6)])
+    elif case == "wide":  # the radius cuts through the groups
+        v = np.concatenate([rng.normal(size=64) + rng.normal(size=(150, 64)) * s for s in (0.2, 0.3, 0.35, 0.4)])
+    else:
+        v = np.concatenate([rng.normal(size=(1, 64)) * (1 + rng.integers(0, 2, size=(200, 64)) * 1e-15) for _ in range(2)] + [rng.normal(size=(5, 64))])
+    v = v / np.linalg.norm(v, axis=1, keepdims=True)
+    near = ann_graph.completed(v, ann_graph.build(v), 0.9)
+    links = np.full((len(v), max(map(len, near))), -1, np.int64)
+    for i, x in enumerate(near):
+        links[i, : len(x)] = x
+    want = v @ v.T >= 0.9
+    assert all(np.array_equal(x, np.flatnonzero(w)) for x, w in zip(ann_graph.search(v, links, 0.9), want, strict=True))
+
+
 def test_dense_group_is_divided_without_loss(spark, monkeypatch):
     rng = np.random.default_rng(8)
     base = rng.normal(size=16)
