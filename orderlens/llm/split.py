@@ -24,3 +24,13 @@ def sample_by_class(df: DataFrame, id_col: str, class_col: str, per_class: int)
     counts = df.groupBy(class_col).agg(F.count(F.lit(1)).alias("_rows"))
     share = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
     return df.join(counts, class_col).where(share * F.col("_rows") < per_class).drop("_rows")
+
+
+def rows_per_sampled(df: DataFrame, sample: DataFrame, class_col: str) -> dict:
+    """For each class of ``sample`` how many rows of ``df`` one of its rows stands for; one row a class reaches the driver."""
+
+    def counts(x: DataFrame) -> dict:
+        return {r[class_col]: r["_rows"] for r in x.groupBy(class_col).agg(F.count(F.lit(1)).alias("_rows")).collect()}
+
+    every = counts(df)
+    return {c: every[c] / n for c, n in counts(sample).items()}

@@ -4,7 +4,9 @@ Method. A text's features are the hashes of its distinct words, word pairs and
 skip pairs (one word left out) in 2^20 cells. FTRL-proximal with per-coordinate
 learning rates and L1 keeps few weights. One learner goes over a bounded sample
 of the labelled rows; the non-zero weights, a table bounded by the number of
-cells, are broadcast to score whole texts in one pass without a shuffle.
+cells, are broadcast to score whole texts in one pass without a shuffle. Where
+the sample holds the classes in other shares than the labels do, the bias is
+moved by the difference in log odds, so that scores don't depend on the bound.
 
 Results in odd cases. Null or empty text scores by the bias alone. No labels:
 every score is 0.5 and predicted is 1 by the rule score >= 0.5. A text labelled
@@ -14,6 +16,7 @@ ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from orderlens.llm import textbatch as tb
-from orderlens.llm.split import held_out, sample_by_class
+from orderlens.llm.split import held_out, rows_per_sampled, sample_by_class
 
 CELLS = 1 << 20
 #: Bound of the training sample: labelled documents of each class.
@@ -75,8 +78,11 @@ class Ftrl:
         self.n[i] = n + g * g
 
 
-def train(labelled: DataFrame) -> dict[int, float]:
-    """Non-zero weights by cell, from a bounded sample of (_id, _text, _y) rows."""
+def train(labelled: DataFrame, stands_for: dict[int, float] | None = None) -> dict[int, float]:
+    """Non-zero weights by cell, from a bounded sample of (_id, _text, _y) rows.
+
+    ``stands_for`` has the labelled rows that a sampled one of each class stands for.
+    """
     rows = labelled.select("_id", "_y", "_text")
 
     def learner(part: pa.Table) -> pa.Table:
@@ -96,7 +102,10 @@ def train(labelled: DataFrame) -> dict[int, float]:
         return pa.table({"cell": pa.array(used, pa.int64()), "w": pa.array(w[used])})
 
     # the sample is bounded, and so are the at most CELLS + 1 weights that reach the driver
-    return {r["cell"]: r["w"] for r in rows.groupBy().applyInArrow(learner, "cell long, w double").collect()}
+    weights = {r["cell"]: r["w"] for r in rows.groupBy().applyInArrow(learner, "cell long, w double").collect()}
+    if weights and stands_for and len(stands_for) == 2:
+        weights[CELLS] = weights.get(CELLS, 0.0) + math.log(stands_for[1] / stands_for[0])
+    return weights
 
 
 def score(docs: DataFrame, weights: dict[int, float], text_col: str = "text") -> DataFrame:
@@ -129,6 +138,8 @@ def predict(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     labelled = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
     # bounded by SAMPLE_DOCS of each of two classes
-    known = sample_by_class(known.withColumnRenamed("_label_id", "_id"), "_id", "_y", SAMPLE_DOCS)
-    out = score(docs.select("doc_id", "text"), train(labelled.join(F.broadcast(known), "_id")))
+    known = known.withColumnRenamed("_label_id", "_id")
+    sample = sample_by_class(known, "_id", "_y", SAMPLE_DOCS)
+    weights = train(labelled.join(F.broadcast(sample), "_id"), rows_per_sampled(known, sample, "_y"))
+    out = score(docs.select("doc_id", "text"), weights)
     return out.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

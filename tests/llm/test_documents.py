@@ -209,6 +209,30 @@ def test_toxicity_of_held_out_texts(spark, docs_schema):
     assert rng is not None
 
 
+def borderline(n, rare, seed):
+    """Texts whose words say a little of their class, and labels of which one in ``rare`` is 1."""
+    rng = random.Random(seed)
+    labels = [int(rng.random() < 1 / rare) for _ in range(n)]
+    words = [f"word{k}" for k in range(40)]
+    return [" ".join(rng.choice(words[8 * y : 32 + 8 * y]) for _ in range(12)) for y in labels], labels
+
+
+def test_toxicity_does_not_depend_on_the_sample_bound(spark, docs_schema, monkeypatch):
+    texts, toxic = borderline(3000, 10, 21)
+    docs, labels = frame(spark, docs_schema, [*texts, None]), labelled(spark, [(i, 1, y, "") for i, y in enumerate(toxic)])
+    whole = {r.doc_id: r.score for r in toxicity.predict(docs, labels).collect()}
+    monkeypatch.setattr(toxicity, "SAMPLE_DOCS", 300)
+    part = {r.doc_id: r.score for r in toxicity.predict(docs, labels).collect()}
+
+    def odds(p):
+        return np.log(p / (1 - p))
+
+    moved = np.mean([odds(part[i]) - odds(whole[i]) for i in range(3000)])
+    assert abs(moved) < 1
+    assert part[3000] < 0.2  # at equal shares a text without words scores about 0.5
+    assert abs(np.mean([part[i] >= 0.5 for i in part]) - np.mean([whole[i] >= 0.5 for i in whole])) < 0.03
+
+
 def shares(sizes, weights, total):
     """Targets by resharing the excess until no source is above twice its size."""
     target, fixed = {}, {}
