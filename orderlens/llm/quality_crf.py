@@ -9,11 +9,13 @@ length). Forward-backward gives each line's probability of being good; their
 mean, weighted by line length, is the document's score.
 
 Scale. The training sample is bounded by ``SAMPLE_DOCS`` of each class and only
-its binned features (12 bytes a line) reach the driver. Scoring is one pass
-over whole texts without a shuffle; the chains of a batch run in lockstep.
+its binned features (12 bytes a line) reach the driver. A sampled text weighs as
+many labelled rows of its class as it stands for, so that scores don't depend
+on the bound. Scoring is one pass over whole texts without a shuffle; the
+chains of a batch run in lockstep.
 
 Results in odd cases. Null or empty text (no line): the share of good labels
-among the training rows. No labels of a class: that share for every text, 0.5
+among all training labels. No labels of a class: that share for every text, 0.5
 without any label. Labels other than 0 and 1 are ignored; a text labelled twice
 trains twice. Extra columns are ignored; an empty table gives an empty result.
 """
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from orderlens.llm import textbatch as tb
-from orderlens.llm.split import held_out, sample_by_class
+from orderlens.llm.split import held_out, rows_per_sampled, sample_by_class
 
 SAMPLE_DOCS = 4000
 STEPS, RATE, RIDGE = 150, 0.15, 1e-4
@@ -131,8 +133,8 @@ def indices(bins: np.ndarray, lines: np.ndarray) -> np.ndarray:
     return np.concatenate([*out, np.full((n, 1), WIDTH - 1)], axis=1)
 
 
-def marginals(emit: np.ndarray, trans: np.ndarray, lines: np.ndarray, pairs: bool = False):
-    """P(good) of each line from forward-backward; with ``pairs`` also [2, 2] sums of pair marginals weighted 1 / lines.
+def marginals(emit: np.ndarray, trans: np.ndarray, lines: np.ndarray, pairs: np.ndarray | None = None):
+    """P(good) of each line from forward-backward; with ``pairs`` (the weight of each text) also [2, 2] sums of pair marginals weighted pairs / lines.
 
     ``emit`` is each line's score of good against bad, ``trans`` [2, 2] the
     scores of (label, next label). The chains of all texts step together, the
@@ -160,7 +162,7 @@ def marginals(emit: np.ndarray, trans: np.ndarray, lines: np.ndarray, pairs: boo
         bwd[at] = x - np.logaddexp(x[:, :1], x[:, 1:])
     both = fwd + bwd
     good = 1 / (1 + np.exp(np.clip(both[:, 0] - both[:, 1], -500, 500)))
-    if not pairs:
+    if pairs is None:
         return good
     inner = np.ones(n, bool)
     inner[(np.cumsum(lines) - 1)[lines > 0]] = False
@@ -168,26 +170,27 @@ def marginals(emit: np.ndarray, trans: np.ndarray, lines: np.ndarray, pairs: boo
     joint = fwd[at][:, :, None] + trans[None] + (e[at + 1] + bwd[at + 1])[:, None, :]
     joint = np.exp(joint - joint.max(axis=(1, 2), keepdims=True))
     joint /= joint.sum(axis=(1, 2), keepdims=True)
-    weight = np.repeat(1 / np.maximum(lines, 1), lines)[at]
+    weight = np.repeat(pairs / np.maximum(lines, 1), lines)[at]
     return good, (joint * weight[:, None, None]).sum(axis=0)
 
 
-def fit(bins: np.ndarray, lines: np.ndarray, y: np.ndarray) -> dict:
-    """Weights by gradient ascent (Adam) on the mean log-likelihood of the line labels, a text weighing 1."""
-    prior = float(y.mean()) if len(y) else 0.5
+def fit(bins: np.ndarray, lines: np.ndarray, y: np.ndarray, texts: np.ndarray | None = None) -> dict:
+    """Weights by gradient ascent (Adam) on the mean log-likelihood of the line labels, a text weighing ``texts`` (1 by default)."""
+    texts = np.ones(len(y)) if texts is None else texts
+    prior = float(np.average(y, weights=texts)) if len(y) else 0.5
     if len(y) == 0 or y.min() == y.max() or len(bins) == 0:
         return {"w": np.zeros(WIDTH), "t": np.zeros((2, 2)), "prior": prior, "flat": True}
     ind = indices(bins, lines)
-    weight = np.repeat(1 / np.maximum(lines, 1), lines)
+    weight = np.repeat(texts / np.maximum(lines, 1), lines)
     target = np.repeat(y, lines)
     w, t = np.zeros(WIDTH), np.zeros((2, 2))
-    inner = np.where(lines > 1, (lines - 1) / np.maximum(lines, 1), 0)
+    inner = np.where(lines > 1, (lines - 1) / np.maximum(lines, 1), 0) * texts
     seen = np.diag([inner[y == 0].sum(), inner[y == 1].sum()])
     m, v = np.zeros(WIDTH + 4), np.zeros(WIDTH + 4)
     for step in range(1, STEPS + 1):
-        good, pair = marginals(w[ind].sum(axis=1), t, lines, pairs=True)
+        good, pair = marginals(w[ind].sum(axis=1), t, lines, pairs=texts)
         gw = np.bincount(ind.ravel(), np.repeat(weight * (target - good), ind.shape[1]), minlength=WIDTH)
-        g = np.concatenate([gw, (seen - pair).ravel()]) / len(y) - RIDGE * np.concatenate([w, t.ravel()])
+        g = np.concatenate([gw, (seen - pair).ravel()]) / texts.sum() - RIDGE * np.concatenate([w, t.ravel()])
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         move = RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         w, t = w + move[:WIDTH], t + move[WIDTH:].reshape(2, 2)
@@ -209,7 +212,8 @@ def document_scores(column: pa.Array, model: dict) -> tuple[np.ndarray, np.ndarr
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> dict:
     """The model from a bounded sample of the labelled rows."""
     known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
-    known = sample_by_class(known, "_id", "_y", SAMPLE_DOCS)
+    sample = sample_by_class(known, "_id", "_y", SAMPLE_DOCS)
+    stands_for = rows_per_sampled(known, sample, "_y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -221,13 +225,13 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 )
 
     # at most about SAMPLE_DOCS labelled rows of either class: bounded on both sides of the wire
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(known), "_id")
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(sample), "_id")
     kind = rows.schema["_id"].dataType.simpleString()
     got = rows.select("_id", "_y", "_text").mapInArrow(run, f"_id {kind}, _y int, _bins binary").collect()
     got.sort(key=lambda r: (str(r["_id"]), r["_y"], bytes(r["_bins"])))
     bins = np.frombuffer(b"".join(bytes(r["_bins"]) for r in got), np.uint8).reshape(-1, MEASURES)
     lines = np.array([len(r["_bins"]) // MEASURES for r in got], np.int64)
-    return fit(bins, lines, np.array([r["_y"] for r in got], np.int64))
+    return fit(bins, lines, np.array([r["_y"] for r in got], np.int64), np.array([stands_for[r["_y"]] for r in got], np.float64))
 
 
 def score(docs: DataFrame, model: dict, text_col: str = "text", with_lines: bool = False) -> DataFrame:

@@ -233,6 +233,22 @@ def test_toxicity_does_not_depend_on_the_sample_bound(spark, docs_schema, monkey
     assert abs(np.mean([part[i] >= 0.5 for i in part]) - np.mean([whole[i] >= 0.5 for i in whole])) < 0.03
 
 
+def test_quality_does_not_depend_on_the_sample_bound(spark, docs_schema, monkeypatch):
+    texts, bad = borderline(3000, 8, 22)
+    # marks are what a line is measured by
+    rng = random.Random(23)
+    texts = [" ".join(w + ("!" if rng.random() < 0.1 + 0.1 * y else "") for w in t.split()) for t, y in zip(texts, bad, strict=True)]
+    docs, labels = frame(spark, docs_schema, [*texts, None, "", "\n \n"]), labelled(spark, [(i, 1 - y, 0, "") for i, y in enumerate(bad)])
+    whole = {r.doc_id: r.score for r in quality_crf.predict(docs, labels).collect()}
+    kept = quality_crf.keep_good(docs, labels).count()
+    monkeypatch.setattr(quality_crf, "SAMPLE_DOCS", 300)
+    part = {r.doc_id: r.score for r in quality_crf.predict(docs, labels).collect()}
+    share = np.mean([1 - y for i, y in enumerate(bad) if zlib.crc32(str(i).encode()) % 3 != 1])
+    assert all(abs(s[i] - share) < 1e-9 for s in (whole, part) for i in range(3000, 3003))
+    assert abs(np.mean([part[i] - whole[i] for i in range(3000)])) < 0.05
+    assert abs(quality_crf.keep_good(docs, labels).count() - kept) < 0.05 * len(whole)
+
+
 def shares(sizes, weights, total):
     """Targets by resharing the excess until no source is above twice its size."""
     target, fixed = {}, {}
