@@ -36,6 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from orderlens.llm.scratch import table
+
 SAMPLES = 256
 PERIOD = 4096
 CLASSES = 256
@@ -259,26 +261,60 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
+#: Fingerprints of a block of a band.
+BLOCK = 2048
+
+
+def _pairs_in(own: np.ndarray, other: np.ndarray, band: int, least: float, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, likeness) of rows of ``own`` and ``other`` that are alike and share no band before ``band``; of one block each pair once."""
+    at, to, value = [], [], []
+    words, others = own.view(np.uint32), other.view(np.uint32)
+    for i in range(len(own)):
+        j = np.arange(i + 1 if same else 0, len(other))
+        # a pair is told in the first band it shares
+        j = j[~(others[j, :band] == words[i, :band]).any(axis=1)] if band else j
+        d = other[j] ^ own[i]
+        equal = ((d & 15) == 0).sum(axis=1) + ((d >> 4) == 0).sum(axis=1)
+        like = np.maximum(0.0, (equal / SAMPLES - 1 / 16) / (15 / 16))
+        good = like >= least
+        at.append(np.full(good.sum(), i))
+        to.append(j[good])
+        value.append(like[good])
+    return np.concatenate(at), np.concatenate(to), np.concatenate(value)
+
+
 def near_pairs(prints: DataFrame, least: float = 0.9) -> DataFrame:
-    """(fingerprint, other, likeness): distinct fingerprints verified against the smallest one of a band they share.
+    """(fingerprint, other, likeness): every pair of distinct fingerprints that share a band and are alike, the larger one first.
 
-    Texts with equal fingerprints are one class, so copies are never paired
-    among themselves, and no band lists all its pairs.
+    Texts with equal fingerprints are one class, named by its fingerprint:
+    ``prints`` has the members, and copies are never paired among themselves.
+    A band is a grid of blocks, so a task holds at most two of them; a pair is
+    verified there, and leaves it once and only if it is alike.
     """
 
     @F.pandas_udf("array<string>")
     def banded(p):
         return p.map(bands)
 
-    @F.pandas_udf("double")
-    def alike(a, b):
-        import pandas as pd
-
-        return pd.Series([likeness(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
-
     classes = prints.select("fingerprint").where(F.col("fingerprint") != _ZERO).distinct()
-    b = classes.select("fingerprint", F.explode(banded("fingerprint")).alias("_band"))
-    centre = b.groupBy("_band").agg(F.min("fingerprint").alias("other"), F.max("fingerprint").alias("_last"))
-    centre = centre.where(F.col("other") != F.col("_last")).drop("_last")
-    pairs = b.join(centre, "_band").where("fingerprint != other").select("fingerprint", "other").distinct()
-    return pairs.withColumn("likeness", alike("fingerprint", "other")).where(F.col("likeness") >= least)
+    b = table(classes.select("fingerprint", F.explode(banded("fingerprint")).alias("_band")), "bands")
+    sizes = b.groupBy("_band").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1")
+    b = b.join(sizes, "_band").withColumn("_m", F.ceil(F.col("_c") / BLOCK).cast("int"))
+    b = b.withColumn("_b", F.pmod(F.xxhash64("fingerprint"), F.col("_m")).cast("int"))
+    b = b.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)))
+    b = b.select("_band", F.least("_b", "_j").alias("_p"), F.greatest("_b", "_j").alias("_q"), "_b", "fingerprint")
+
+    def compare(part: pa.Table) -> pa.Table:
+        band = int(part["_band"][0].as_py().split(":")[0]) // 8
+        block, p, q = part["_b"].to_numpy(), part["_p"][0].as_py(), part["_q"][0].as_py()
+        text = np.array(part["fingerprint"].to_pylist(), object)
+        raw = np.frombuffer(bytes.fromhex("".join(text)), np.uint8).reshape(len(text), -1)
+        left, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
+        if len(left) and len(right):
+            i, j, value = _pairs_in(raw[left], raw[right], band, least, p == q)
+            x, y = text[left[i]], text[right[j]]
+        else:
+            x, y, value = text[:0], text[:0], np.zeros(0)
+        return pa.table({"fingerprint": pa.array(np.maximum(x, y), pa.string()), "other": pa.array(np.minimum(x, y), pa.string()), "likeness": pa.array(value, pa.float64())})
+
+    return b.groupBy("_band", "_p", "_q").applyInArrow(compare, "fingerprint string, other string, likeness double")

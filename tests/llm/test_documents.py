@@ -119,6 +119,30 @@ def test_fingerprints_odd_tables(spark, docs_schema):
     assert fingerprint.with_next(frame(spark, docs_schema, ["a", "b", "c"], ids=[1, 1, None])).count() == 3
 
 
+@pytest.mark.parametrize("block", [2048, 7])
+def test_near_pairs_match_brute_force(spark, block, monkeypatch):
+    rng = random.Random(17)
+    digits = "0123456789abcdef"
+    prints = [fingerprint._ZERO]
+    template = "".join(rng.choice(digits) for _ in range(64))
+    for k in range(12):  # a template gives bands that all groups share; members differ from each other by up to 30 values
+        base = (template if k % 2 else "") + "".join(rng.choice(digits) for _ in range(192 if k % 2 else 256))
+        for _ in range(rng.randint(1, 9)):
+            p = list(base)
+            for _ in range(rng.randint(0, 15)):
+                p[rng.randrange(256)] = rng.choice(digits)
+            prints.append("".join(p))
+    prints += prints[:5]
+    monkeypatch.setattr(fingerprint, "BLOCK", block)
+    d = spark.createDataFrame([(i, p) for i, p in enumerate(prints)], "doc_id long, fingerprint string")
+    got = [(r.fingerprint, r.other, round(r.likeness, 9)) for r in fingerprint.near_pairs(d).collect()]
+    distinct = sorted(set(prints) - {fingerprint._ZERO})
+    want = {(a, b, round(fingerprint.likeness(a, b), 9)) for a in distinct for b in distinct if a > b and fingerprint.likeness(a, b) >= 0.9}
+    want = {w for w in want if set(fingerprint.bands(w[0])) & set(fingerprint.bands(w[1]))}
+    assert len(want) > 50 and len(got) == len(set(got)) and set(got) == want
+    assert fingerprint.near_pairs(d.limit(0)).count() == 0
+
+
 def test_walk_is_the_step_by_step_walk():
     rng = np.random.default_rng(1)
     classes = rng.integers(0, 256, 500)
