@@ -18,12 +18,12 @@ def held_out(id_col: str, modulus: int, out: int) -> Column:
 def sample_by_class(df: DataFrame, id_col: str, class_col: str, per_class: int) -> DataFrame:
     """About ``per_class`` rows of each class, chosen by a hash of the id (all rows of a smaller class).
 
-    The counts of the classes (one row each) are joined back, so nothing is
+    The counts of the classes (one row each) are broadcast, so nothing is
     collected and a hot class is thinned out where it is read.
     """
     counts = df.groupBy(class_col).agg(F.count(F.lit(1)).alias("_rows"))
     share = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    return df.join(counts, class_col).where(share * F.col("_rows") < per_class).drop("_rows")
+    return df.join(F.broadcast(counts), class_col).where(share * F.col("_rows") < per_class).drop("_rows")
 
 
 def rows_per_sampled(df: DataFrame, sample: DataFrame, class_col: str) -> dict:

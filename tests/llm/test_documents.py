@@ -184,6 +184,18 @@ def test_language_of_held_out_texts(spark, docs_schema):
     assert langid.predict(frame(spark, docs_schema, texts[:3], [None] * 3)).where("lang_pred = 'und'").count() == 3
 
 
+def test_dictionary_is_drawn_from_all_of_the_sample(spark, docs_schema):
+    rng = random.Random(31)
+    marks = ["".join(rng.choice("bcdfghjk") for _ in range(9)) for _ in range(300)]
+    texts = [" ".join(rng.choice(["the", "of", "and", "which", "people"]) + ("" if k % 8 else " " + m) for k in range(700)) for m in marks]
+    raw = langid.learn(frame(spark, docs_schema, [*texts, "12"], ["en"] * 300 + ["xx"]))
+    held = [m.encode() in raw["en"] for m in marks]
+    assert len(raw["en"]) == langid.DICT_BYTES and raw["xx"] == b""
+    assert sum(held) > 200 and min(sum(held[:150]), sum(held[150:])) > 90
+    late = langid.learn(frame(spark, docs_schema, ["the of and " * 300 + "zebra"], ["en"]))
+    assert b"zebra" in late["en"]
+
+
 def labelled(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, quality int, toxic int, text string")
 
