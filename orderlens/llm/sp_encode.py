@@ -6,9 +6,10 @@ their scores is the largest (characters outside the vocabulary become their
 byte pieces). A text longer than a chunk is cut at fixed places into chunks.
 The state at a cut is how many characters of a piece lie before it; a chunk's
 transfer matrix holds the best score from each state at its left cut to each
-state at its right cut. Matrices combine by max-plus products, which are
-associative; the combined prefix and suffix products give the best state at
-every cut, and each chunk is then traced back by itself from its two states.
+state at its right cut. The matrices of a document are made in parallel,
+then folded in their order: a vector goes through them by max-plus products from
+the right, which gives the best state at every cut from the left, and each chunk
+is then traced back by itself, in parallel again, from its two states.
 No piece goes on from another character to a blank, so a run of blanks with the
 characters after it is cut by itself, once, and remembered.
 
@@ -20,6 +21,7 @@ always the cut that replaying the merges gives; both decode to the same text.
 Scale. A document within one chunk is encoded where it is read. Longer ones
 become rows of chunks, dealt over the tasks; only a matrix of some hundred
 numbers a chunk is gathered for each document, the texts of the chunks are not.
+The fold of a document's matrices is sequential, in one task.
 The model's file is read by every task from its path; the vocabulary is a fixed
 size.
 
@@ -279,13 +281,11 @@ def trace(v: Vocabulary, chunk: str, ahead: str, left: int, right: int) -> list[
 
 
 def cut_states(matrices: list[np.ndarray]) -> list[int]:
-    """The best state at every cut, from prefix and suffix products (left end and right end are state 0)."""
+    """The best state at every cut, from products of the suffixes with a vector (left end and right end are state 0)."""
     n, states = len(matrices), len(matrices[0])
     zero = np.full(states, _NONE)
     zero[0] = 0.0
-    prefix, suffix = [zero], [zero]
-    for m in matrices:
-        prefix.append((prefix[-1][:, None] + m).max(axis=0))
+    suffix = [zero]
     for m in reversed(matrices):
         suffix.append((m + suffix[-1][None, :]).max(axis=1))
     out = [0]
