@@ -45,8 +45,8 @@ def enrich(t: SourceTables, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
         sides = [parted(df, i, hot, "order_id", keep_key_of_null=i == 0) for i, df in enumerate(sides)]
         on = ["order_id", "_part"]
     orders, payments, reviews, items = sides
-    items = dimension_join(items, t.products, "product_id")
-    orders = dimension_join(orders, t.customers, "customer_id")
+    items = dimension_join(items, t.products, "product_id", spread_by="order_id")
+    orders = dimension_join(orders, t.customers, "customer_id", spread_by="order_id")
     joined = orders.join(payments, on, "left").join(reviews, on, "left").join(items, on, "left")
     if split:
         joined = real_rows(joined, len(sides))

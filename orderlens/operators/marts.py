@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions.derive import delivery_status
-from orderlens.functions.money import MONEY, MONEY_SCALE, money_sum, ratio, round_div, to_cents
+from orderlens.functions.money import MONEY, MONEY_SCALE, money, money_sum, ratio, round_div, to_cents
 
 TOP_N = 10
 
@@ -45,9 +45,9 @@ def _by_key(m: DataFrame, key: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def avg_parts(c: str, prefix: str, scale: int = MONEY_SCALE) -> list[Column]:
-    """Exact sum and non-null count of a measure (sum as DECIMAL(18,4) or long)."""
-    col = F.col(c)
-    total = F.sum(col.cast(MONEY)) if scale else F.sum(col).cast("long")
+    """Exact sum and count of the values of a measure; with a scale by the money rule, so what is no amount counts in neither."""
+    col = money(c) if scale else F.col(c)
+    total = F.sum(col) if scale else F.sum(col).cast("long")
     return [total.alias(prefix + "_sum"), F.count(col).alias(prefix + "_n")]
 
 

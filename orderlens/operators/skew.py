@@ -99,12 +99,13 @@ def real_rows(joined: DataFrame, inputs: int) -> DataFrame:
     return kept.drop("_part", "_split", *[f"_has{i}" for i in range(1, inputs)])
 
 
-def dimension_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def dimension_join(left: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:
     """``left.join(right, key, "left")`` for a unique right key, the rows without a key spread over parts.
 
-    Both sides are shuffles of their own, so adaptive execution splits a hot key.
+    They are spread by one column that the query reads anyway, so that the scans stay pruned. Both sides are
+    shuffles of their own, so adaptive execution splits a hot key.
     """
-    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*left.columns), F.lit(NULL_PARTS))).otherwise(F.lit(0)).cast("int")
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(NULL_PARTS))).otherwise(F.lit(0)).cast("int")
     l = left.withColumn("_null_part", spread)
     # always 0, but not a literal, which the planner would turn into a filter beside the join
     r = right.where(F.col(key).isNotNull()).withColumn("_null_part", F.pmod(F.xxhash64(key), F.lit(1)).cast("int"))

@@ -131,7 +131,7 @@ def _round_div(num: str, den: str, digits: int, scale: int = 0) -> str:
 
 def _mavg(col: str, digits: int = 2) -> str:
     """Exactly rounded average of a measure with up to four decimals."""
-    return _round_div(f"sum(CAST({col} AS DECIMAL(18,4)))", f"count({col})", digits, 4)
+    return _round_div(f"sum({M.format(col)})", f"count({M.format(col)})", digits, 4)
 
 
 def _iavg(col: str, digits: int = 2) -> str:

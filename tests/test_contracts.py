@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from orderlens import schema as S
 from orderlens.operators import contracts
 from orderlens.plans.refresh import all_outputs, refresh

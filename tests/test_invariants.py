@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from orderlens.operators import marts, orders
 from orderlens.plans.facts import facts
 

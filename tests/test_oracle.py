@@ -10,7 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from orderlens.plans.catalog import queries
 
 TABLES = "region nation customer supplier part orders lineitem events documents conversations".split()

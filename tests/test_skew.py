@@ -8,7 +8,7 @@ import dataclasses
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from fixtures import basic
 from orderlens.operators.enrich import enrich
 from orderlens.operators.skew import SkewPolicy, dimension_join, hot_keys
@@ -90,7 +90,7 @@ def test_rows_without_keys_are_spread(spark):
         items=lambda s: s.range(20_000).select(F.concat(F.lit("x"), F.col("id")).alias("order_id"), F.col("id").alias("order_item_id")),
     )
     with shuffled(spark, 64):
-        joined = dimension_join(t.items, t.products, "product_id")
+        joined = dimension_join(t.items, t.products, "product_id", spread_by="order_id")
         assert joined.count() == t.items.count()
         assert _largest(joined) < 5_000
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import os
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from fixtures import basic
 from orderlens.operators import marts
 from orderlens.plans.facts import enriched, facts, facts_from_raw
