@@ -122,7 +122,7 @@ def shingles(words: np.ndarray, counts: np.ndarray, width: int = 5) -> tuple[np.
     if n == 0:
         return out, per
     rolled = np.zeros(n, np.uint64)
-    for k in range(width):
+    for k in range(min(width, n)):
         rolled[: n - k] += words[k:] * _PLACE[k]
     at = np.cumsum(per)
     full = counts >= width
