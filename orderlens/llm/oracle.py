@@ -23,5 +23,28 @@ SELECT n.doc_id, n.n AS n_shingles, min(r.m) AS component_id, n.doc_id = min(r.m
 FROM n JOIN r ON r.d = n.doc_id GROUP BY n.doc_id, n.n"""
 
 
+FILL_IN_MIDDLE = r"""
+WITH
+d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS us,
+             CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+             CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, len(us) AS n, least(h1 % (len(us) + 1), h2 % (len(us) + 1)) AS a, greatest(h1 % (len(us) + 1), h2 % (len(us) + 1)) AS b FROM u),
+p AS (SELECT doc_id, t, n, array_to_string(us[1:a], '') AS pre, array_to_string(us[a + 1:b], '') AS mid, array_to_string(us[b + 1:], '') AS suf,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                  WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM c),
+o AS (SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                          ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END AS out FROM p),
+x AS (SELECT *, strpos(out, '<P>') AS ip, strpos(out, '<S>') AS is_, strpos(out, '<M>') AS im FROM o)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(out) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN out
+                        WHEN 'psm' THEN substr(out, 4, is_ - 4) || substr(out, im + 3) || substr(out, is_ + 3, im - is_ - 3)
+                        ELSE substr(out, ip + 3, im - ip - 3) || substr(out, im + 3) || substr(out, 4, ip - 4) END) AS restored_sha256
+FROM x"""
+
+
 def oracle_queries() -> dict[str, str]:
-    return {"op4_minhash": NEAR_DUPLICATES}
+    return {"op4_minhash": NEAR_DUPLICATES, "op12_fill_in_middle": FILL_IN_MIDDLE}
