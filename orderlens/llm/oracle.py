@@ -46,5 +46,14 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form,
 FROM x"""
 
 
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+r AS (SELECT *, CASE WHEN n >= 100 THEN row_number() OVER (PARTITION BY d ORDER BY page_id NULLS LAST) ELSE 1 END AS k,
+             first_value(page_id) OVER (PARTITION BY d ORDER BY page_id NULLS LAST) AS f FROM p)
+SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN k > 1 THEN f END AS refers_to
+FROM r"""
+
+
 def oracle_queries() -> dict[str, str]:
-    return {"op4_minhash": NEAR_DUPLICATES, "op12_fill_in_middle": FILL_IN_MIDDLE}
+    return {"op4_minhash": NEAR_DUPLICATES, "op12_fill_in_middle": FILL_IN_MIDDLE, "op13_warc": WARC}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import ann_graph, curriculum, fim, fingerprint, html_extract, langid, minhash, quality_crf, sp_encode, token_output, toxicity
+from orderlens.llm import ann_graph, curriculum, fim, fingerprint, html_extract, langid, minhash, quality_crf, sp_encode, token_output, toxicity, warc
 from orderlens.llm.scratch import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,10 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(_read(spark, sf_dir, "documents"))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.write_and_read(_read(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_fingerprint": op1_fingerprint,
@@ -76,4 +80,5 @@ def queries() -> dict[str, Query]:
         "op9_token_blocks": op9_token_blocks,
         "op10_sentencepiece": op10_sentencepiece,
         "op12_fill_in_middle": op12_fill_in_middle,
+        "op13_warc": op13_warc,
     }
