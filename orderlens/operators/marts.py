@@ -147,9 +147,10 @@ def kpi_summary(facts: DataFrame) -> DataFrame:
     return agg.select(*kpi_columns())
 
 
-def average_payment_value(facts: DataFrame) -> DataFrame:
+def average_payment_value(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
     """A3: mean payment value over non-null values, 0.0 when there are none."""
-    return facts.agg(*avg_parts("payment_value", "payment")).select(
+    m = measures if measures is not None else facts.agg(*avg_parts("payment_value", "payment"))
+    return m.select(
         F.coalesce(avg_out("payment"), F.lit(0.0)).alias("average_payment_value")
     )
 
@@ -174,9 +175,13 @@ def delay_trend_over_time(facts: DataFrame, measures: DataFrame | None = None) -
 # Status
 # --------------------------------------------------------------------------
 
-def order_status_breakdown(facts: DataFrame) -> DataFrame:
+def status_measures(facts: DataFrame) -> DataFrame:
+    return facts.groupBy("order_status").agg(F.countDistinct("order_id").alias("order_count"))
+
+
+def order_status_breakdown(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
     """A5"""
-    m = facts.groupBy("order_status").agg(F.countDistinct("order_id").alias("order_count"))
+    m = _m(measures, status_measures, facts)
     return _by_metric(m, "order_count", "order_status")
 
 
@@ -224,9 +229,9 @@ def avg_order_value_by_state(facts: DataFrame, measures: DataFrame | None = None
     )
 
 
-def top_cities_by_revenue(facts: DataFrame, top_n: int = TOP_N) -> DataFrame:
+def top_cities_by_revenue(facts: DataFrame, top_n: int = TOP_N, measures: DataFrame | None = None) -> DataFrame:
     """A9"""
-    m = revenue_by(facts, "customer_city")
+    m = measures if measures is not None else revenue_by(facts, "customer_city")
     return _by_metric(m, "revenue_exact", "customer_city", top_n).select(
         "customer_city", to_cents(F.col("revenue_exact")).alias("revenue")
     )
@@ -272,17 +277,17 @@ def revenue_by_category(facts: DataFrame, measures: DataFrame | None = None) ->
     )
 
 
-def top_products(facts: DataFrame, top_n: int = TOP_N) -> DataFrame:
+def top_products(facts: DataFrame, top_n: int = TOP_N, measures: DataFrame | None = None) -> DataFrame:
     """A11 (item-less orders form the "unknown" product)."""
-    m = revenue_by(facts, "product_id")
+    m = measures if measures is not None else revenue_by(facts, "product_id")
     return _by_metric(m, "revenue_exact", "product_id", top_n).select(
         "product_id", to_cents(F.col("revenue_exact")).alias("revenue")
     )
 
 
-def top_sellers(facts: DataFrame, top_n: int = TOP_N) -> DataFrame:
+def top_sellers(facts: DataFrame, top_n: int = TOP_N, measures: DataFrame | None = None) -> DataFrame:
     """A12"""
-    m = revenue_by(facts, "seller_id")
+    m = measures if measures is not None else revenue_by(facts, "seller_id")
     return _by_metric(m, "revenue_exact", "seller_id", top_n).select(
         "seller_id", to_cents(F.col("revenue_exact")).alias("revenue")
     )
@@ -324,9 +329,10 @@ def revenue_by_payment_type(facts: DataFrame, measures: DataFrame | None = None)
     )
 
 
-def installments_distribution(facts: DataFrame) -> DataFrame:
+def installments_distribution(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
     """Rows per instalment count, null group last."""
-    return _by_key(_count_by(facts, "payment_installments", "payment_installments"), "payment_installments")
+    m = measures if measures is not None else _count_by(facts, "payment_installments", "payment_installments")
+    return _by_key(m, "payment_installments")
 
 
 def avg_payment_by_type(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
@@ -356,9 +362,9 @@ def review_score_distribution(facts: DataFrame, measures: DataFrame | None = Non
     return _by_key(m, "review_score").select("review_score", "count")
 
 
-def on_time_vs_late_delivery(facts: DataFrame) -> DataFrame:
+def on_time_vs_late_delivery(facts: DataFrame, measures: DataFrame | None = None) -> DataFrame:
     """A23"""
-    m = _count_by(facts, delivery_status(F.col("is_late_delivery")), "delivery_status")
+    m = measures if measures is not None else _count_by(facts, delivery_status(F.col("is_late_delivery")), "delivery_status")
     return _by_metric(m, "count", "delivery_status")
 
 
@@ -386,6 +392,7 @@ def decision_support(
     category: DataFrame | None = None,
     payment: DataFrame | None = None,
     sentiments: DataFrame | None = None,
+    sets: DataFrame | None = None,
 ) -> DataFrame:
     """Leaders of four published tables plus the positive/negative row shares.
 
@@ -394,10 +401,13 @@ def decision_support(
     aggregation over a narrow (set, key, measures) frame: one row, no sort,
     no join of 1-row frames.
 
-    With precomputed (cached) measures the frame stacks them; otherwise it
-    comes from a single pass over the facts (``_decision_sets``), so the
-    joins behind the facts run once.
+    With precomputed (cached) measures the frame stacks them; ``sets`` are the
+    grouping sets of ``factorised.decision_sets``; otherwise it comes from a
+    single pass over the facts (``_decision_sets``), so the joins behind the
+    facts run once.
     """
+    if sets is not None:
+        return _decision_row(sets)
     if state is None or category is None or payment is None or sentiments is None:
         stacked = _decision_sets(facts)
     else:

@@ -1,14 +1,17 @@
-"""The full refresh: every published table from one materialised facts frame.
-
-1. Build the facts plan (joins, cleaning, derivation).
-2. Materialise only the columns the outputs read, once, to the shared
-   checkpoint folder (Parquet by default: columnar, pruned reads, and a lost
-   executor re-reads files instead of re-running the joins). ``checkpoint``
-   mode uses ``Dataset.checkpoint()`` instead, which keeps the order_id
-   partitioning of the joins.
-3. Compute each dimension's measures once (small, cached) and project every
-   output from them.
-4. Optionally export the tables (S9).
+"""The full refresh: every published table from tables that are written once.
+
+From the source tables (``refresh``): the lines and the order-grain table of
+``operators.factorised`` are written to the shared folder, without the rows that
+payments and reviews would multiply; the order-grain table is bucketed by
+order_id, so that no output exchanges orders again.
+
+From joined rows (``refresh_facts``, e.g. a stream snapshot): the columns the
+outputs read are written once as Parquet; ``checkpoint`` mode uses
+``Dataset.checkpoint()`` instead, which keeps the order_id partitioning.
+
+Either way a lost executor re-reads files instead of re-running the joins, each
+dimension's measures are computed once (small, cached), every output is a
+projection of them, and the tables are exported on request (S9).
 """
 
 from __future__ import annotations
@@ -19,8 +22,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.operators import marts, orders
-from orderlens.plans.facts import facts_from_tables
+from orderlens.operators import factorised, marts, orders
 from orderlens.session import run_folder
 from orderlens.sources.sinks import export_tables
 from orderlens.sources.tables import SourceTables
@@ -113,17 +115,64 @@ def all_outputs(facts: DataFrame, shared: bool = True) -> tuple[dict[str, DataFr
     return tables, cached
 
 
+def grain_outputs(g: factorised.OrderGrain, shared: bool = True) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    """Every published table from the order-grain tables; the measures are cached with ``shared``."""
+    cached: list[DataFrame] = []
+
+    def m(df: DataFrame) -> DataFrame:
+        if shared:
+            cached.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return df
+
+    state, cat = m(factorised.state_measures(g)), m(factorised.category_measures(g))
+    paid = m(factorised.payment_rows(g))
+    pay, score, day = m(factorised.payment_measures(paid)), m(factorised.score_measures(g)), m(factorised.date_measures(g))
+    sentiment = m(factorised.sentiment_measures(score))
+    tables = {
+        "kpi_summary": factorised.kpi_summary(g),
+        "kpi_summary_order_level": factorised.kpi_summary_order_level(g),
+        "average_payment_value": marts.average_payment_value(None, factorised.payment_total(paid)),
+        "orders_per_day": marts.orders_per_day(None, day),
+        "order_status_breakdown": marts.order_status_breakdown(None, factorised.status_measures(g)),
+        "revenue_by_state": marts.revenue_by_state(None, state),
+        "orders_by_state": marts.orders_by_state(None, state),
+        "avg_order_value_by_state": marts.avg_order_value_by_state(None, factorised.aov_measures(g)),
+        "top_cities_by_revenue": marts.top_cities_by_revenue(None, measures=factorised.city_measures(g)),
+        "revenue_by_category": marts.revenue_by_category(None, cat),
+        "top_products": marts.top_products(None, measures=factorised.line_revenue(g, "product_id")),
+        "top_sellers": marts.top_sellers(None, measures=factorised.line_revenue(g, "seller_id")),
+        "freight_vs_price_by_category": marts.freight_vs_price_by_category(None, cat),
+        "orders_by_payment_type": marts.orders_by_payment_type(None, pay),
+        "revenue_by_payment_type": marts.revenue_by_payment_type(None, pay),
+        "installments_distribution": marts.installments_distribution(None, factorised.installment_measures(paid)),
+        "avg_payment_by_type": marts.avg_payment_by_type(None, pay),
+        "review_distribution": marts.review_distribution(None, sentiment),
+        "review_score_distribution": marts.review_score_distribution(None, score),
+        "review_score_by_state": marts.review_score_by_state(None, state),
+        "review_score_by_category": marts.review_score_by_category(None, cat),
+        "late_delivery_by_state": marts.late_delivery_by_state(None, state),
+        "on_time_vs_late_delivery": marts.on_time_vs_late_delivery(None, factorised.delivery_measures(g)),
+        "average_delay_by_state": marts.average_delay_by_state(None, state),
+        "delay_trend_over_time": marts.delay_trend_over_time(None, day),
+        "delay_vs_review_score": marts.delay_vs_review_score(None, score),
+        "decision_support": marts.decision_support(None, state, cat, pay, sentiment),
+    }
+    return tables, cached
+
+
 class Outputs(dict):
-    """The published tables of a refresh, by name; ``release`` (or leaving the ``with``) frees the cached measures."""
+    """The published tables of a refresh, by name; ``release`` (or leaving the ``with``) frees what they hold."""
 
-    def __init__(self, tables: dict[str, DataFrame], cached: list[DataFrame]):
+    def __init__(self, tables: dict[str, DataFrame], cached: list[DataFrame], grain: factorised.OrderGrain | None = None):
         super().__init__(tables)
-        self._cached = cached
+        self._cached, self._grain = cached, grain
 
     def release(self) -> None:
         for df in self._cached:
             df.unpersist()
         self._cached = []
+        if self._grain:
+            self._grain.drop()
 
     def __enter__(self) -> Outputs:
         return self
@@ -144,20 +193,14 @@ def run_concurrently(outputs: dict[str, DataFrame], action: Callable[[str, DataF
             f.result()
 
 
-def refresh(
-    spark: SparkSession,
-    tables: SourceTables,
-    out_dir: str | None = None,
-    mode: str = "parquet",
-    shared: bool = True,
-    threads: int = 8,
-) -> Outputs:
+def refresh(spark: SparkSession, tables: SourceTables, out_dir: str | None = None, shared: bool = True, threads: int = 8) -> Outputs:
     """Run the whole refresh; export to ``out_dir`` when given.
 
-    Returns the published tables (lazy frames over the materialised facts).
-    Without ``out_dir`` the caller releases them when done.
+    Returns the published tables (lazy frames over the written ones). Without
+    ``out_dir`` the caller releases them when done.
     """
-    return refresh_facts(spark, facts_from_tables(tables), out_dir, mode, shared, threads)
+    grain = factorised.order_grain(tables)
+    return _exported(Outputs(*grain_outputs(grain, shared), grain), out_dir, threads)
 
 
 def refresh_facts(
@@ -170,7 +213,10 @@ def refresh_facts(
 ) -> Outputs:
     """The refresh from an already-built facts frame (e.g. a stream snapshot)."""
     facts = materialise(spark, facts, mode)
-    outputs = Outputs(*all_outputs(facts, shared))
+    return _exported(Outputs(*all_outputs(facts, shared)), out_dir, threads)
+
+
+def _exported(outputs: Outputs, out_dir: str | None, threads: int) -> Outputs:
     if out_dir:
         with outputs:
             run_concurrently(outputs, lambda name, df: export_tables({name: df}, out_dir), threads)
