@@ -55,5 +55,30 @@ SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN k = 1 THEN 'r
 FROM r"""
 
 
+# CRC-32 of a decimal number's digits, bit by bit.
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, i: xor(a >> 1, 3988292384 * (a & 1)))))"""
+
+PREFIX_TRIE = f"""
+WITH o AS (SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, {_CRC} % 6 AS h FROM (SELECT DISTINCT conv_id FROM o)),
+b AS (SELECT c.conv_id, 0 AS own, o.pos, o.r, o.x FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 100 AND o.pos < c.h
+      UNION ALL SELECT o.conv_id, 1, o.pos, o.r, o.x FROM o JOIN c USING (conv_id) WHERE o.pos >= c.h),
+s AS (SELECT conv_id, row_number() OVER w AS d, length(x) AS chars, string_agg(md5(length(r) || ':' || r || x), '') OVER w AS pre,
+             count(*) OVER (PARTITION BY conv_id) AS total FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY own, pos)),
+p AS (SELECT conv_id, d, chars, pre, total, CASE WHEN d = 1 THEN '' ELSE pre[1:length(pre) - 32] END AS up FROM s
+      UNION ALL SELECT c.conv_id, 0, 0, '', (SELECT count(*) FROM b WHERE b.conv_id = c.conv_id), NULL FROM c),
+n AS (SELECT pre, min(conv_id) AS conv_id, any_value(d) AS depth, any_value(up) AS up, any_value(chars) AS chars, count(*) AS n_convs,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE d = total), '')) AS ends FROM p GROUP BY pre),
+k AS (SELECT n.pre, count(m.pre) AS children FROM n LEFT JOIN n m ON m.up = n.pre GROUP BY n.pre),
+t AS (SELECT p.pre, sum((n.n_convs - 1) * n.chars) AS saved, count(*) FILTER (WHERE k.children = 0) AS leaves
+      FROM n JOIN k USING (pre) JOIN p ON p.conv_id = n.conv_id AND p.d <= n.depth GROUP BY p.pre)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, n.n_convs, k.children AS n_children, t.leaves AS n_leaves,
+       CAST(t.saved AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+FROM n JOIN k USING (pre) JOIN t USING (pre) LEFT JOIN n u ON u.pre = n.up"""
+
+
 def oracle_queries() -> dict[str, str]:
-    return {"op4_minhash": NEAR_DUPLICATES, "op12_fill_in_middle": FILL_IN_MIDDLE, "op13_warc": WARC}
+    return {"op4_minhash": NEAR_DUPLICATES, "op11_prefix_trie": PREFIX_TRIE, "op12_fill_in_middle": FILL_IN_MIDDLE, "op13_warc": WARC}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import ann_graph, curriculum, fim, fingerprint, html_extract, langid, minhash, quality_crf, sp_encode, token_output, toxicity, warc
+from orderlens.llm import ann_graph, curriculum, fim, fingerprint, html_extract, langid, minhash, prefix_trie, quality_crf, sp_encode, token_output, toxicity, warc
 from orderlens.llm.scratch import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_encode.encoded_documents(_read(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(_read(spark, sf_dir, "conversations"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(_read(spark, sf_dir, "documents"))
 
@@ -79,6 +83,7 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": op8_toxicity,
         "op9_token_blocks": op9_token_blocks,
         "op10_sentencepiece": op10_sentencepiece,
+        "op11_prefix_trie": op11_prefix_trie,
         "op12_fill_in_middle": op12_fill_in_middle,
         "op13_warc": op13_warc,
     }
