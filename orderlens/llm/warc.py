@@ -372,7 +372,9 @@ def read(spark: SparkSession, path: str, id_type: DataType | str = "long", paylo
                 if rows:
                     yield pack(rows)
 
-    found = manifest(spark, path).repartition("name").mapInArrow(run, schema)
+    files = manifest(spark, path)
+    # a task for each file: adaptive execution would put the few rows of the manifest together
+    found = files.repartition(max(1, files.count()), "name").mapInArrow(run, schema)
     return found.withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
 
 
