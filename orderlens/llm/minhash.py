@@ -5,18 +5,22 @@ each of 64 permutations both the minimum and the maximum are kept: 128
 signature values from 64 hash evaluations, an unbiased estimate of the Jaccard
 similarity with less variance than 128 independent minima. 32 bands of four
 values (two minima, two maxima) give the candidates: two sets of similarity
-0.75 share no band with probability 5e-6.
-
-Scale. Texts are read once for signatures; texts with equal sets become one
-node before any pairing, so a group of copies costs one row. In a band bucket
-every node is compared with one centre, then what is in another component with
-pivots of the largest one, and what is still apart with all of its bucket by
-signatures, in blocks. No step lists all pairs of a group. Candidates whose
-estimate is far below the threshold go; the others are confirmed on the full
-sets, computed anew from the whole texts.
+0.75 share no band with probability 5e-6. Candidates whose estimate is far below
+the threshold go; the others are confirmed on their full sets.
+
+Scale. Texts are read once for signatures and once for the sets of candidates;
+texts with equal sets become one node before any pairing, so a group of copies
+costs one row. No step writes pairs. First *families* are found by signatures
+alone: in a band bucket every node is compared with one centre, and what is in
+another family with all of its bucket, in blocks that emit no more links than
+unite them. Then every node's set goes to its family, in blocks that hold the
+family's centre too; a block compares sets until its nodes are united and emits
+the links that do so. Nodes that are still apart in a family of several blocks
+meet all of its blocks. A node whose shingles mostly occur nowhere else in its
+block is not compared at all.
 
 Results in odd cases. Null, empty and blank texts: no shingles, linked with
-nothing, kept. Fewer than five words: the whole sequence is one shingle.
+nothing, kept. Fewer words than a shingle: the whole sequence is one shingle.
 Repeated rows: same component. A null id never names a component unless all
 ids of it are null; such rows are kept. An empty table gives an empty result.
 Extra columns, whatever their names, are ignored.
@@ -40,10 +44,9 @@ PERMUTATIONS = 64
 BANDS = 32
 #: Candidates with a lower estimate can't reach 0.75 (4 standard deviations).
 LEAST_ESTIMATE = 0.60
-#: Rounds of pivots before the full comparison of what is left; they save work and change no result.
-PIVOT_ROUNDS = 1
-#: Rows of a block of a bucket, and bits that mark the ids whose texts are fetched.
+#: Rows of a block of a bucket; rows and shingles of a block of a family; bits that mark the ids whose texts are fetched.
 BLOCK = 4096
+FAMILY_BLOCK, FAMILY_SHINGLES = 1024, 1 << 21
 BITS = 1 << 24
 
 _rng = np.random.Generator(np.random.PCG64(75))
@@ -85,25 +88,25 @@ def min_max(values: np.ndarray, per: np.ndarray) -> np.ndarray:
     return out
 
 
-def _signature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in tb.slices(batch, "_text"):
-            values, per = shingle_sets(part.column(1))
-            sig = min_max(values, per)
-            key, full = set_keys(values, per)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(0),
-                    pa.array(per, pa.int64()),
-                    pa.array(key.view(np.int64), pa.int64(), mask=~full),
-                    pa.array([s.tobytes() if f else None for s, f in zip(sig, full, strict=True)], pa.binary()),
-                ],
-                names=["_id", "_n", "_key", "_sig"],
-            )
-
-
-def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
     """(_id, _n, _key, _sig) of every row: set size, key of the set, min-max signature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tb.slices(batch, "_text"):
+                values, per = shingle_sets(part.column(1), width)
+                sig = min_max(values, per)
+                key, full = set_keys(values, per)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        pa.array(per, pa.int64()),
+                        pa.array(key.view(np.int64), pa.int64(), mask=~full),
+                        pa.array([s.tobytes() if f else None for s, f in zip(sig, full, strict=True)], pa.binary()),
+                    ],
+                    names=["_id", "_n", "_key", "_sig"],
+                )
+
     schema = StructType(
         [
             StructField("_id", docs.schema[id_col].dataType),
@@ -112,7 +115,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             StructField("_sig", BinaryType()),
         ]
     )
-    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(_signature_batches, schema)
+    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(run, schema)
 
 
 def _band(i: int):
@@ -134,39 +137,8 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return table(both.mapInArrow(agree, "a long, b long"), "likely")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
-    """The (a, b) with 100 * intersection >= percent * union of their full sets."""
-
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                a, b = part.column(0).to_pylist(), part.column(1).to_pylist()
-                where: dict[int, tuple[int, int]] = {}
-                for side, keys in ((2, a), (3, b)):
-                    for i, k in enumerate(keys):
-                        where.setdefault(k, (side, i))
-                new = [k for k in where if k not in kept]
-                old = {k: kept[k] for k in where if k in kept}
-                column = pa.chunked_array(
-                    [part.column(s).slice(i, 1).cast(pa.large_string()) for s, i in map(where.get, new)], pa.large_string()
-                )
-                values, per = shingle_sets(column, width)
-                kept = old | dict(zip(new, np.split(values, np.cumsum(per)[:-1]) if new else [], strict=True))
-                good = []
-                for x, y in zip(a, b, strict=True):
-                    common = len(np.intersect1d(kept[x], kept[y], assume_unique=True))
-                    good.append(100 * common >= percent * (len(kept[x]) + len(kept[y]) - common))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    a = texts.select(F.col("_key").alias("a"), F.col("_text").alias("_ta"))
-    b = texts.select(F.col("_key").alias("b"), F.col("_text").alias("_tb"))
-    return table(pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").select("a", "b", "_ta", "_tb").mapInArrow(confirm, "a long, b long"), "links")
-
-
-def _texts(docs: DataFrame, near: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(_key, _text) of the nodes in ``near``.
+def _sets(docs: DataFrame, near: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """(_key, _set) of the nodes in ``near``: the sorted hashes of the whole text's shingles.
 
     Only rows whose id hashes to a marked bit are shuffled; the bits are a table
     of at most BITS / 64 rows, whatever the number of nodes.
@@ -187,7 +159,7 @@ def _texts(docs: DataFrame, near: DataFrame, id_col: str, text_col: str, width:
     found = found.withColumns({"_bit": bit("_doc"), "_word": word("_doc")}).join(marked, "_word")
     found = found.where(F.col("_marks").bitwiseAND(mask("_doc")) != 0).select("_doc", "_text")
     found = found.join(near.select("_key", "_id").hint("merge"), F.col("_doc").eqNullSafe(F.col("_id")))
-    return table(_own(found, width).dropDuplicates(["_key"]), "texts")
+    return table(_own(found, width).dropDuplicates(["_key"]), "sets")
 
 
 def _open(members: DataFrame, root: DataFrame) -> DataFrame:
@@ -202,72 +174,153 @@ def _open(members: DataFrame, root: DataFrame) -> DataFrame:
     return table(known.join(mixed, "_bucket").withColumn("_home", F.col("_in") == F.col("_main")).drop("_main"), "open")
 
 
-def _in_buckets(open_: DataFrame, near: DataFrame) -> DataFrame:
-    """(a, b) of different components in a bucket, whose signatures agree often enough.
+def _grid(open_: DataFrame, payload: DataFrame, rows: str, most: str) -> DataFrame:
+    """Each group as a grid of blocks of strays (members outside its largest component) and blocks of all members.
 
-    Each bucket is a grid of blocks of strays (members outside its largest
-    component) and blocks of all members, so a group in memory has at most
-    about 2 * BLOCK rows; a pair leaves it only if it is likely.
+    ``rows`` and ``most`` are the numbers of blocks of strays and of members, as
+    SQL over open_'s columns. A block in memory has about two blocks' rows.
     """
-    rows = open_.join(near.select("_key", "_sig"), "_key").withColumns(
-        {"_sb": F.ceil((F.col("_all") - F.col("_most")) / BLOCK).cast("int"), "_mb": F.ceil(F.col("_all") / BLOCK).cast("int")}
-    )
+    both = open_.join(payload, "_key").withColumns({"_sb": F.expr(rows).cast("int"), "_mb": F.expr(most).cast("int")})
+    value = next(c for c in payload.columns if c != "_key")
     own = F.pmod(F.xxhash64("_key"), F.lit(1 << 20))
-    stray = rows.where("not _home").select(
-        "_bucket", F.lit(True).alias("_stray"), "_key", "_in", "_home", "_sig", (own % F.col("_sb")).cast("int").alias("_s"), F.explode(F.sequence(F.lit(0), F.col("_mb") - 1)).alias("_m")
-    )
-    other = rows.select(
-        "_bucket", F.lit(False).alias("_stray"), "_key", "_in", "_home", "_sig", F.explode(F.sequence(F.lit(0), F.col("_sb") - 1)).alias("_s"), (own % F.col("_mb")).cast("int").alias("_m")
-    )
+    names = ["_bucket", "_key", "_in", value]
+    stray = both.where("not _home").select(*names, F.lit(True).alias("_stray"), (own % F.col("_sb")).cast("int").alias("_s"), F.explode(F.sequence(F.lit(0), F.col("_mb") - 1)).alias("_m"))
+    other = both.select(*names, F.lit(False).alias("_stray"), F.explode(F.sequence(F.lit(0), F.col("_sb") - 1)).alias("_s"), (own % F.col("_mb")).cast("int").alias("_m"))
     group = F.xxhash64("_bucket", "_s", "_m")
-    both = stray.unionByName(other).select(group.alias("_group"), "_stray", "_key", "_in", "_home", "_sig")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in _and_end(batches):
-            if batch is not None and batch.num_rows == 0:
-                continue
-            if batch is not None:
-                held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-                group = held.column(0).to_numpy()
-                earlier = np.flatnonzero(group != group[-1])
-                done = int(earlier[-1]) + 1 if len(earlier) else 0
-                ready, held = held.slice(0, done), held.slice(done)
+    return _grouped(stray.unionByName(other).select(group.alias("_group"), "_stray", "_key", "_in", F.col(value).alias("_value")))
+
+
+def _grouped(rows: DataFrame) -> DataFrame:
+    return rows.repartition("_group").sortWithinPartitions("_group")
+
+
+def _united(groups: DataFrame, compare, name: str) -> DataFrame:
+    """(a, b): the links that unite the rows of each group, by ``compare(stray, value) -> function(i, others) -> linked``.
+
+    ``groups`` is (_group, _stray, _key, _in, _value) sorted by group: a stray is
+    compared with all rows of another component, until one component is left. At
+    most one link a row leaves a group.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _whole_groups(batches):
+            stray, key = part.column(1).to_numpy(zero_copy_only=False), part.column(2).to_numpy()
+            _, label = np.unique(part.column(3).to_numpy(), return_inverse=True)
+            found = []
+            linked = compare(part.column(4), stray)
+            alone = stray.all()
+            for i in np.flatnonzero(stray):
+                # in a group of strays alone each pair is met once; else a stray meets the members, strays among them
+                others = np.flatnonzero((label != label[i]) & ((key > key[i]) if alone else ~stray))
+                others = others[linked(i, others)] if len(others) else others
+                if len(others):
+                    seen, first = np.unique(label[others], return_index=True)
+                    found += [(key[i], key[j]) for j in others[first]]
+                    label[np.isin(label, seen)] = label[i]
+                if (label == label[0]).all():
+                    break
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return table(groups.mapInArrow(run, "a long, b long").distinct(), name)
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each group, from batches sorted by their first column."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        group = batch.column(0).to_numpy()
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
+        for lo, hi in zip(edges, edges[1:], strict=False):
+            if held and held[0].column(0)[0].as_py() != group[lo]:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _by_signature(values: pa.ChunkedArray, stray: np.ndarray):
+    sig = np.frombuffer(b"".join(values.to_pylist()), np.uint16).reshape(len(stray), -1)
+    return lambda i, others: (sig[others] == sig[i]).mean(axis=1) >= LEAST_ESTIMATE
+
+
+def by_sets(percent: int):
+    """Exact comparison: 100 * intersection >= percent * union of the full sets."""
+
+    def compare(values: pa.ChunkedArray, stray: np.ndarray):
+        sets = [np.frombuffer(x, np.uint64) for x in values.to_pylist()]
+        size = np.array([len(x) for x in sets], np.int64)
+        place, code = np.unique(np.concatenate(sets), return_inverse=True)
+        times = np.bincount(code, minlength=len(place))
+        starts = np.cumsum(size) - size
+        # what occurs in no other row can't be shared; equal rows stand twice where a stray is a member too
+        shared = np.add.reduceat((times > 1)[code].astype(np.int64), starts)
+        able = 100 * shared >= percent * size
+        mark = np.zeros(len(place), bool)
+
+        def linked(i: int, others: np.ndarray) -> np.ndarray:
+            good = np.zeros(len(others), bool)
+            if not able[i]:
+                return good
+            near = np.flatnonzero(able[others] & (100 * np.minimum(size[others], size[i]) >= percent * np.maximum(size[others], size[i])))
+            if len(near) == 0:
+                return good
+            own = code[starts[i] : starts[i] + size[i]]
+            mark[own] = True
+            if 2 * len(near) > len(size):
+                common = np.add.reduceat(mark[code].astype(np.int64), starts)[others[near]]
             else:
-                ready, held = held, None
-            if ready is None or ready.num_rows == 0:
-                continue
-            ready = ready.combine_chunks()
-            group, stray = ready.column(0).to_numpy(), ready.column(1).to_numpy()
-            key, comp, home = ready.column(2).to_numpy(), ready.column(3).to_numpy(), ready.column(4).to_numpy()
-            sig = np.frombuffer(b"".join(ready.column(5).to_pylist()), np.uint16).reshape(len(group), -1)
-            edges = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
-            found_a, found_b = [], []
-            for lo, hi in zip(edges, edges[1:], strict=False):
-                m = lo + np.flatnonzero(~stray[lo:hi])
-                for i in lo + np.flatnonzero(stray[lo:hi]):
-                    near_ = m[(comp[m] != comp[i]) & (home[m] | (key[m] > key[i]))]
-                    near_ = near_[(sig[near_] == sig[i]).mean(axis=1) >= LEAST_ESTIMATE] if len(near_) else near_
-                    found_a.append(np.full(len(near_), key[i]))
-                    found_b.append(key[near_])
-            if found_a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a), pa.int64()), pa.array(np.concatenate(found_b), pa.int64())], names=["a", "b"])
-
-    both = both.repartition("_group").sortWithinPartitions("_group")
-    return table(both.mapInArrow(compare, "a long, b long").distinct(), "likely")
-
-
-def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
-    yield from batches
-    yield None
+                common = np.array([np.count_nonzero(mark[code[starts[j] : starts[j] + size[j]]]) for j in others[near]])
+            mark[own] = False
+            good[near] = 100 * common >= percent * (size[others[near]] + size[i] - common)
+            return good
+
+        return linked
+
+    return compare
+
+
+def _families(members: DataFrame, near: DataFrame) -> DataFrame:
+    """(_key, _root) of the nodes that resemble another one by their signatures, through others too."""
+    pairs = members.where(F.col("_key") != F.col("_centre")).select(F.col("_key").alias("a"), F.col("_centre").alias("b")).distinct()
+    links = _likely(pairs, near)
+    apart = _open(members, connected_components(links))
+    grid = _grid(apart, near.select("_key", "_sig"), f"ceil((_all - _most) / {BLOCK})", f"ceil(_all / {BLOCK})")
+    links = links.unionByName(_united(grid, _by_signature, "likely"))
+    return connected_components(links).withColumnRenamed("node", "_key").withColumnRenamed("root", "_root")
+
+
+def _exact_links(families: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links of full sets that unite what is linked within each family."""
+    own = families.join(sizes, "_key")
+    # the blocks of a family: few enough rows and shingles each, whatever its size
+    shape = own.groupBy("_root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / FAMILY_BLOCK), F.ceil(F.sum("_n") / FAMILY_SHINGLES)).cast("int").alias("_blocks"))
+    shape = table(shape, "family-blocks")
+    own = own.join(shape, "_root").join(sets, "_key")
+    every = F.sequence(F.lit(0), F.col("_blocks") - 1)
+    block = F.explode(F.when(F.col("_key") == F.col("_root"), every).otherwise(F.array(F.pmod(F.xxhash64("_key"), F.col("_blocks")).cast("int"))))
+    parts = own.select("_root", block.alias("_block"), "_key", "_set")
+    groups = parts.select(F.xxhash64("_root", "_block").alias("_group"), F.lit(True).alias("_stray"), "_key", F.col("_key").alias("_in"), F.col("_set").alias("_value"))
+    links = _united(_grouped(groups), by_sets(percent), "links")
+    wide = shape.where("_blocks > 1")
+    if wide.isEmpty():
+        return links
+    members = families.join(wide.select("_root"), "_root", "left_semi").select(F.col("_root").alias("_bucket"), "_key")
+    apart = _open(members, connected_components(links)).join(wide.withColumnRenamed("_root", "_bucket"), "_bucket")
+    rows = "greatest(1, ceil(_blocks * (_all - _most) / _all))"
+    more = _united(_grid(apart, sets, rows, "_blocks"), by_sets(percent), "links")
+    return links.unionByName(more)
 
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, width: int = 5
 ) -> DataFrame:
-    """(id_col, n_shingles, component_id, kept) of every row of ``docs``."""
-    rows = table(signatures(docs, id_col, text_col), "signatures")
-    nodes = rows.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.min("_id").alias("_id"), F.first("_sig").alias("_sig"))
+    """(id_col, n_shingles, component_id, kept) of every row of ``docs``; the bands are made for ``percent`` of 75 or more."""
+    rows = table(signatures(docs, id_col, text_col, width), "signatures")
+    nodes = rows.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.min("_id").alias("_id"), F.max("_n").alias("_n"), F.first("_sig").alias("_sig"))
     nodes = table(nodes, "nodes")
 
     banded = nodes.select("_key", F.explode(F.array(*[_band(i) for i in range(BANDS)])).alias("_bucket"))
@@ -275,26 +328,10 @@ def near_duplicates(
     shared = table(shared.where(F.col("_centre") != F.col("_last")).drop("_last"), "buckets")
     members = table(banded.join(shared.hint("merge"), "_bucket"), "members")
     near = table(members.select("_key").distinct().join(nodes, "_key"), "near")
-    texts = _texts(docs, near, id_col, text_col, width)
-
-    pairs = members.where(F.col("_key") != F.col("_centre")).select(F.col("_key").alias("a"), F.col("_centre").alias("b")).distinct()
-    links = _confirmed(_likely(pairs, near), texts, percent, width)
-    root = connected_components(links)
-    # pivots: what a centre left apart meets other members of its bucket's largest component
-    for turn in range(PIVOT_ROUNDS):
-        open_ = _open(members, root)
-        pivot = open_.where("_home").groupBy("_bucket").agg(F.min(F.struct(F.xxhash64("_bucket", "_key", F.lit(turn)).alias("_o"), "_key"))["_key"].alias("b"))
-        pairs = open_.where("not _home").select("_bucket", F.col("_key").alias("a")).join(pivot, "_bucket").select("a", "b").distinct()
-        new = _confirmed(_likely(pairs, near), texts, percent, width)
-        if new.isEmpty():
-            break
-        links = links.unionByName(new)
-        root = connected_components(links)
-    # what is still apart is compared with all of its bucket, by signatures and then in full
-    pairs = _in_buckets(_open(members, root), near)
-    if not pairs.isEmpty():
-        links = links.unionByName(_confirmed(pairs, texts, percent, width))
-        root = connected_components(links)
+    families = table(_families(members, near), "families")
+    candidates = table(nodes.join(families.select("_key"), "_key", "left_semi"), "candidates")
+    sets = _sets(docs, candidates, id_col, text_col, width)
+    root = connected_components(_exact_links(families, sets, nodes.select("_key", "_n"), percent))
 
     part = nodes.select("_key", "_id").join(root.withColumnRenamed("node", "_key"), "_key")
     least = table(part.groupBy("root").agg(F.min("_id").alias("_least")), "least")
@@ -314,23 +351,33 @@ def near_duplicates(
 
 
 def _own(found: DataFrame, width: int) -> DataFrame:
-    """(_key, _text) of the rows whose own set has the key: an id may repeat with other texts."""
+    """(_key, _set) of the rows whose own set has the key: an id may repeat with other texts."""
 
     def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tb.slices(batch, "_text"):
-                key, full = set_keys(*shingle_sets(part.column(1), width))
+                values, per = shingle_sets(part.column(1), width)
+                key, full = set_keys(values, per)
                 own = full & (key.view(np.int64) == np.asarray(part.column(0)))
-                yield part.filter(pa.array(own))
+                ends = np.cumsum(per)
+                sets = [values[ends[i] - per[i] : ends[i]].tobytes() for i in np.flatnonzero(own)]
+                yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(own)), pa.array(sets, pa.binary())], names=["_key", "_set"])
 
-    return found.select("_key", "_text").mapInArrow(same, "_key long, _text string")
+    return found.select("_key", "_text").mapInArrow(same, "_key long, _set binary")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: one of each group of near duplicates.
+    """The rows of ``docs`` that stay: of each group of near duplicates the one with the least id (null last).
 
-    Rows without an id are told apart by their text alone.
+    Rows are told apart by a number of their own, so ids may be null or repeat;
+    rows without a word are linked with nothing and stay.
     """
-    kept = near_duplicates(docs, id_col, text_col).where(F.col("kept") & F.col(id_col).isNotNull())
-    named = docs.where(F.col(id_col).isNotNull()).join(kept.select(id_col).distinct(), id_col, "left_semi").dropDuplicates([id_col, text_col])
-    return named.unionByName(docs.where(F.col(id_col).isNull()).dropDuplicates([text_col]))
+    number = "_row"
+    while number in docs.columns:
+        number += "_"
+    rows = table(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(rows, number, text_col).select(F.col(number), "component_id")
+    first = F.min(F.struct(F.col(id_col).isNull().alias("_no_id"), F.col(id_col).alias("_id"), F.col(number).alias("_number")))
+    named = rows.select(F.col(id_col), F.col(number)).join(found, number)
+    kept = named.groupBy("component_id").agg(first.alias("_first")).select(F.col("_first._number").alias(number))
+    return rows.join(kept, number, "left_semi").select(*docs.columns)
