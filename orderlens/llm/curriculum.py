@@ -109,9 +109,12 @@ def mix(
         F.col(id_col).alias("_mix_id"),
         F.col(source_col).alias("_mix_source"),
         word_count(F.col(text_col)).alias("_mix_words"),
+        F.xxhash64(F.col(text_col)).alias("_mix_text"),
         *[F.col(c) for c in cols],
     )
     d = d.withColumn("_mix_order", F.xxhash64(F.coalesce(F.col("_mix_id").cast("string"), F.lit("")), F.lit(6)))
+    if not cols:  # the words are counted once; rows to keep are not written again
+        d = table(d, "mix-sizes")
     slim = d.select("_mix_source", "_mix_words", "_mix_order")
     n = slim.count()
     bits = max(0, math.ceil(math.log2(max(1, n / ROWS_PER_BUCKET)))) + 6
@@ -129,7 +132,8 @@ def mix(
     plan = table(plan, "mix-plan")
     inside = (
         Window.partitionBy("_mix_source", "_mix_bucket")
-        .orderBy("_mix_order", F.col("_mix_id").asc_nulls_first())
+        # rows that repeat an id differ in their texts; what is equal in all of these may change places
+        .orderBy("_mix_order", F.col("_mix_id").asc_nulls_first(), "_mix_text", "_mix_words")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     d = d.withColumn("_mix_at", F.coalesce(F.sum("_mix_words").over(inside), F.lit(0)))
