@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.llm import curriculum, langid, minhash, quality_crf, sp_encode
-from orderlens.llm.scratch import table
+from orderlens.llm.scratch import bounded_batches, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
+    bounded_batches(spark)
     return quality_crf.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -52,6 +53,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each result is written to the shared folder and read by the next stage."""
+    bounded_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = table(stage(spark, docs, sf_dir), f"pipeline-{name}")

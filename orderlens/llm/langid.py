@@ -21,14 +21,13 @@ ignored; an empty table gives an empty result; repeated rows repeat.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import regex
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from orderlens.llm.scratch import table
 from orderlens.llm.split import held_out, sample_by_class
@@ -44,7 +43,8 @@ NARROW = 0.005
 #: A text that is this undecided is compressed again at a level with shorter matches.
 FINE_LEVEL = 12
 
-_LETTER = re.compile(r"[^\W\d_]")
+#: Unicode's letters; digits, fractions and circled numbers are none.
+_LETTER = regex.compile(r"\p{L}")
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
@@ -130,29 +130,29 @@ class Classifier:
         return self.langs[order[0]], (sizes[order[1]] - sizes[order[0]]) / sizes[order[1]]
 
 
-def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", narrow: float = NARROW) -> DataFrame:
-    """``docs`` with lang_pred, margin (double, 0 to 1) and accepted added after its columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(dictionaries)
-    schema = StructType(
-        docs.schema.fields
-        + [StructField("lang_pred", StringType()), StructField("margin", DoubleType()), StructField("accepted", BooleanType())]
-    )
-    at = docs.columns.index(text_col)
+def identifier(spark: SparkSession, dictionaries: dict[str, bytes], narrow: float = NARROW):
+    """A function of a text column: a struct of its language, the margin (0 to 1), and whether that is accepted.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Only the text goes through Python; the other columns of a row stay where they are.
+    """
+    shared = spark.sparkContext.broadcast(dictionaries)
+
+    @F.arrow_udf("struct<lang string, margin double, accepted boolean>")
+    def found(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         classify = Classifier(shared.value)
-        for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                part = batch.slice(k, 512)
-                found = [classify(t.as_py()) for t in part.column(at)]
-                lang, margin = [f[0] for f in found], [f[1] for f in found]
-                yes = [m >= narrow and g != "und" for g, m in found]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(lang, pa.string()), pa.array(margin, pa.float64()), pa.array(yes, pa.bool_())],
-                    names=schema.names,
-                )
+        for text in texts:
+            pairs = [classify(t.as_py()) for t in text]
+            columns = [pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.float64())]
+            yes = pa.array([m >= narrow and g != "und" for g, m in pairs], pa.bool_())
+            yield pa.StructArray.from_arrays([*columns, yes], names=["lang", "margin", "accepted"])
 
-    return docs.mapInArrow(run, schema)
+    return found
+
+
+def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", narrow: float = NARROW) -> DataFrame:
+    """``docs`` with lang_pred, margin (double, 0 to 1) and accepted added; columns of these names are replaced."""
+    out = docs.withColumn("lang_pred", identifier(docs.sparkSession, dictionaries, narrow)(F.col(text_col)))
+    return out.withColumn("margin", F.col("lang_pred.margin")).withColumn("accepted", F.col("lang_pred.accepted")).withColumn("lang_pred", F.col("lang_pred.lang"))
 
 
 def predict(docs: DataFrame) -> DataFrame:
@@ -168,4 +168,4 @@ def predict(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose language is clear."""
     rest = docs.select("doc_id", "text", "lang").where(~held_out("doc_id", 5, 0))
-    return identify(docs, learn(rest)).where("accepted").select(*docs.columns)
+    return docs.where(identifier(docs.sparkSession, learn(rest))(F.col("text"))["accepted"])

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
@@ -234,22 +234,34 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit(bins, lines, np.array([r["_y"] for r in got], np.int64), np.array([stands_for[r["_y"]] for r in got], np.float64))
 
 
-def score(docs: DataFrame, model: dict, text_col: str = "text", with_lines: bool = False) -> DataFrame:
-    """``docs`` with _score (and _line_good, the probability of each line that holds a word) added."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    more = [StructField("_line_good", ArrayType(DoubleType()))] if with_lines else []
-    schema = StructType(docs.schema.fields + [StructField("_score", DoubleType())] + more)
+def scorer(spark: SparkSession, model: dict, with_lines: bool = False):
+    """A function of a text column: a struct of its score and, ``with_lines``, the probability of each line that holds a word.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in tb.slices(batch, text_col):
-                scores, good, lines = document_scores(part.column(part.schema.get_field_index(text_col)), shared.value)
-                out = [*part.columns, pa.array(scores, pa.float64())]
-                if with_lines:
-                    out.append(pa.array(np.split(good, np.cumsum(lines)[:-1]) if len(lines) else [], pa.list_(pa.float64())))
-                yield pa.RecordBatch.from_arrays(out, names=schema.names)
+    Only the text goes through Python, in pieces of bounded size; the other
+    columns of a row stay where they are.
+    """
+    shared = spark.sparkContext.broadcast(model)
 
-    return docs.mapInArrow(run, schema)
+    @F.arrow_udf("struct<score double, line_good array<double>>")
+    def scored(text: pa.Array) -> pa.Array:
+        scores, per_line = [np.zeros(0)], []
+        for part in tb.slices(pa.RecordBatch.from_arrays([text], names=["_text"]), "_text"):
+            got, good, lines = document_scores(part.column(0), shared.value)
+            scores.append(got)
+            if with_lines and len(lines):
+                per_line += np.split(good, np.cumsum(lines)[:-1])
+        lines = pa.array(per_line if with_lines else [None] * len(text), pa.list_(pa.float64()))
+        return pa.StructArray.from_arrays([pa.array(np.concatenate(scores), pa.float64()), lines], names=["score", "line_good"])
+
+    return scored
+
+
+def score(docs: DataFrame, model: dict, text_col: str = "text", with_lines: bool = False) -> DataFrame:
+    """``docs`` with _score (and _line_good, the probability of each line that holds a word) added; columns of these names are replaced."""
+    out = docs.withColumn("_score", scorer(docs.sparkSession, model, with_lines)(F.col(text_col)))
+    if with_lines:
+        out = out.withColumn("_line_good", F.col("_score.line_good"))
+    return out.withColumn("_score", F.col("_score.score"))
 
 
 def predict(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -260,7 +272,7 @@ def predict(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose score is at least ``least``."""
     model = learn(docs, labels.where(~held_out("doc_id", 3, 1)))
-    return score(docs, model).where(F.col("_score") >= least).select(*docs.columns)
+    return docs.where(scorer(docs.sparkSession, model)(F.col(text_col))["score"] >= least)

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import ann_graph, curriculum, fim, fingerprint, html_extract, langid, minhash, prefix_trie, quality_crf, sp_encode, token_output, toxicity, warc
-from orderlens.llm.scratch import table
+from orderlens.llm.scratch import bounded_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -27,6 +27,15 @@ def scratch_dir(spark: SparkSession) -> str:
     return own
 
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Bound the batches that go to Python by bytes, not by rows alone, unless the session says how large they are."""
+    if spark.conf.get(ARROW_BYTES, None) is None:
+        spark.conf.set(ARROW_BYTES, size)
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back."""
     spark = df.sparkSession

@@ -59,7 +59,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, text: str, most_bytes: int = 1 << 22):
+def slices(batch: pa.RecordBatch, text: str, most_bytes: int = 1 << 20):
     """The rows of ``batch`` in pieces of about ``most_bytes`` of text (a longer text stands alone)."""
     column = batch.column(batch.schema.get_field_index(text))
     sizes = np.asarray(pc.fill_null(pc.binary_length(column), 0), np.int64)
