@@ -49,23 +49,36 @@ def with_position(
     partition_cols: Sequence[str] = (),
     name: str = "position",
 ) -> DataFrame:
-    """0-based position of each row in ``order_col`` order (nulls last).
-
-    With ``partition_cols`` each series is numbered by its own window. A
-    single series is range-partitioned and written once to the shared folder,
-    so that its source is read once; the partitions are numbered in parallel
-    and shifted by the rows of all earlier ones. The table of partition sizes
-    has at most one row per shuffle partition, which bounds its broadcast.
+    """0-based position of each row in ``order_col`` order (nulls last), in each series of ``partition_cols``.
+
+    The rows are range-partitioned by series and order and written once to the
+    shared folder (so calling this runs a job), that their source is read once
+    and no task holds a whole series. Partitions are numbered in parallel, each
+    series in each of them; what a series has in earlier partitions is added
+    where it spans several: at most two such pieces a partition, which bounds
+    the broadcast.
     """
+    keys = list(partition_cols)
     order = F.col(order_col).asc_nulls_last()
-    if partition_cols:
-        return series.withColumn(name, F.row_number().over(Window.partitionBy(*partition_cols).orderBy(order)) - 1)
-    b = staged(series.repartitionByRange(order).withColumn("_part", F.spark_partition_id()), "series")
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = b.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    numbered = b.withColumn("_rn", F.row_number().over(Window.partitionBy("_part").orderBy(order)))
-    return numbered.join(F.broadcast(offsets), "_part").select(*series.columns, (F.col("_offset") + F.col("_rn") - 1).alias(name))
+    ranged = series.repartitionByRange(*[F.col(k).asc_nulls_first() for k in keys], order)
+    b = staged(ranged.withColumn("_part", F.spark_partition_id()), "series")
+    pieces = b.groupBy("_part", *keys).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    if keys:
+        spanning = pieces.groupBy(*keys).agg(F.count(F.lit(1)).alias("_parts")).where("_parts > 1").drop("_parts")
+        pieces = _same_keys(pieces, spanning, keys, "left_semi")
+    offsets = pieces.select("_part", *keys, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    numbered = b.withColumn("_rn", F.row_number().over(Window.partitionBy("_part", *keys).orderBy(order)))
+    joined = _same_keys(numbered, F.broadcast(offsets), ["_part", *keys], "left")
+    return joined.select(*series.columns, (F.coalesce("_offset", F.lit(0)) + F.col("_rn") - 1).alias(name))
+
+
+def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys of which null equals null; the left side's columns stay."""
+    renamed = [f"_right_{k}" for k in keys]
+    r = right.withColumnsRenamed(dict(zip(keys, renamed, strict=True)))
+    on = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, renamed, strict=True)]
+    return left.join(r, on, how) if how == "left_semi" else left.join(r, on, how).drop(*renamed)
 
 
 def moving_average(
@@ -90,7 +103,7 @@ def moving_average(
         F.col(value_col).alias("_v"),
     )
     means = contrib.groupBy(*keys, "_pos").agg(F.avg("_v").alias(name))
-    return pos.join(means, keys + ["_pos"], "left").select(*series.columns, name)
+    return _same_keys(pos, means, [*keys, "_pos"], "left").select(*series.columns, name)
 
 
 # --------------------------------------------------------------------------

@@ -12,11 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens import schema as S
 from orderlens.functions.cleaning import clean
 from orderlens.operators import contracts, factorised, filters, insights, marts, orders, trends
 from orderlens.plans.facts import enriched, facts
 from orderlens.plans.refresh import refresh
 from orderlens.plans.stream_job import (
+    streamed_state,
     awkward_text_roundtrip,
     csv_snapshot_roundtrip,
     ingest_rejects,
@@ -24,8 +26,11 @@ from orderlens.plans.stream_job import (
     landing_csv_roundtrip,
     run_folder,
 )
-from orderlens.sources.sinks import export_tables, read_table
+from orderlens.sources import snapshot, versions
+from orderlens.sources.sinks import export_tables, read_table, reload_rejects
+from orderlens.sources.tables import read_translation, translate_categories
 from orderlens.sources.testdata import load_testdata
+from orderlens.streaming.batches import kpi_from_state, revenue_from_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,6 +121,77 @@ def export_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def manifest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1-Q4 at write time: a whole publication, then one that breaks off; the report of the manifest."""
+    out_dir = run_folder(spark, "published")
+    started = dt.datetime.now(dt.timezone.utc).replace(microsecond=0)
+    with refresh(spark, load_testdata(spark, sf_dir)) as outputs:
+        versions.publish_tables({n: outputs[n] for n in S.EXPECTED_OUTPUTS}, out_dir)
+        versions.publish_tables({n: outputs[n].limit(0) for n in ("top_sellers", "revenue_by_state")}, out_dir, commit=False)
+    report = versions.manifest_report(spark, out_dir)
+    return report.withColumn("modified_since_start", F.col("last_modified") >= F.lit(started)).drop("last_modified")
+
+
+def contract_summary_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1-Q2 overall: an export that lacks one table and holds an empty one."""
+    out_dir = run_folder(spark, "partial")
+    f = facts(spark, sf_dir)
+    made = {"revenue_by_state": marts.revenue_by_state(f), "order_status_breakdown": marts.order_status_breakdown(f).limit(0)}
+    export_tables(made, out_dir)
+    report = contracts.contract_report(spark, out_dir, [*made, "top_products"])
+    return contracts.contract_summary(report).select(
+        "status", F.array_join("missing_tables", ",").alias("missing_tables"), F.array_join("empty_tables", ",").alias("empty_tables")
+    )
+
+
+def planted_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that don't parse, planted in exported tables, counted by the reload."""
+    out_dir = run_folder(spark, "planted")
+    f = facts(spark, sf_dir)
+    day = marts.orders_per_day(f)
+    nth = F.month("purchase_date")
+    day = day.select(
+        F.when(nth == 2, "no date").otherwise(F.col("purchase_date").cast("string")).alias("purchase_date"),
+        F.when(nth == 3, F.concat(F.col("order_count").cast("string"), F.lit("x"))).when(nth == 4, None).otherwise(F.col("order_count").cast("string")).alias("order_count"),
+    )
+    state = marts.revenue_by_state(f).select("customer_state", F.when(F.col("customer_state") < "NATION_2", "1,5").otherwise(F.col("revenue").cast("string")).alias("revenue"))
+    export_tables({"orders_per_day": day, "revenue_by_state": state}, out_dir)
+    return reload_rejects(spark, out_dir)
+
+
+def translated_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the category translation with a byte order mark, read it, join it, aggregate by the English name."""
+    path = run_folder(spark, "translation")
+    part = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet")
+    names = part.select("p_brand").distinct().where(F.expr("substring(p_brand, -1) <> '5'"))
+    mark = F.lit("\ufeffproduct_category_name,product_category_name_english").alias("value")
+    lines = names.select(F.concat("p_brand", F.lit(",group "), F.expr("substring(p_brand, -1)")).alias("value"), F.lit(1).alias("_place"))
+    rows = spark.range(1).select(mark, F.lit(0).alias("_place")).unionByName(lines)
+    rows.coalesce(1).sortWithinPartitions("_place").select("value").write.text(path)
+    named = translate_categories(marts.category_measures(facts(spark, sf_dir)), read_translation(spark, path))
+    english = F.coalesce("product_category_name_english", "product_category_name").alias("category")
+    by_name = named.groupBy(english).agg(F.sum("revenue_exact").alias("exact"), F.count(F.lit(1)).alias("categories"))
+    return by_name.select("category", F.round("exact", 2).cast("double").alias("revenue"), "categories")
+
+
+def snapshot_orders_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10 on the partitioned snapshot."""
+    path = run_folder(spark, "by-month")
+    snapshot.write_snapshot(facts(spark, sf_dir).select("order_id", "purchase_date", "delivery_delay_days"), path)
+    return marts.orders_per_day(snapshot.read_dates(spark, path, RANGE_START, RANGE_END))
+
+
+def snapshot_date_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P11 from the footers of the partitioned snapshot."""
+    path = run_folder(spark, "by-month")
+    snapshot.write_snapshot(facts(spark, sf_dir).select("order_id", "purchase_date", "delivery_delay_days"), path)
+    return snapshot.footer_bounds(spark, path).select(F.col("lo").alias("date_start"), F.col("hi").alias("date_end"))
+
+
+def daily_by_state(f: DataFrame) -> DataFrame:
+    return f.where(F.col("purchase_date").isNotNull()).groupBy("customer_state", "purchase_date").agg(F.countDistinct("order_id").alias("order_count"))
+
+
 def null_normalisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NaN, blank, infinite and malformed text in string and numeric fields."""
     o = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
@@ -148,6 +224,14 @@ def derived_queries() -> dict[str, Query]:
     q["orders_trend_summary"] = _on_facts(
         lambda f: trends.trend_summary(_daily(f), "purchase_date", "order_count", scale=0)
     )
+    by_state = {"partition_cols": ["customer_state"]}
+    q["orders_trend_by_state"] = _on_facts(lambda f: trends.trend_summary(daily_by_state(f), "purchase_date", "order_count", scale=0, **by_state))
+    q["orders_moving_average_by_state"] = _on_facts(
+        lambda f: trends.moving_average(daily_by_state(f), "purchase_date", "order_count", window=7, **by_state)
+    )
+    q["orders_forecast_by_state"] = _on_facts(
+        lambda f: trends.linear_trend_forecast(daily_by_state(f), "purchase_date", "order_count", periods=5, scale=0, **by_state)
+    )
     q["revenue_concentration"] = _on_facts(
         lambda f: trends.concentration_index(marts.revenue_by_state(f), "revenue")
     )
@@ -182,6 +266,14 @@ def derived_queries() -> dict[str, Query]:
     q["snapshot_csv_roundtrip"] = csv_snapshot_roundtrip
     q["landing_csv_roundtrip"] = landing_csv_roundtrip
     q["contract_report"] = contract_roundtrip
+    q["contract_summary"] = contract_summary_roundtrip
+    q["manifest_report"] = manifest_roundtrip
+    q["reload_rejects"] = planted_rejects
+    q["translated_categories"] = translated_categories
+    q["snapshot_orders_in_range"] = snapshot_orders_in_range
+    q["snapshot_date_bounds"] = snapshot_date_bounds
+    q["stream_state_kpi"] = lambda spark, sf_dir: kpi_from_state(streamed_state(spark, sf_dir))
+    q["stream_state_revenue"] = lambda spark, sf_dir: revenue_from_state(streamed_state(spark, sf_dir))
     for name, fn in insights.BLOCKS.items():
         q["insight_" + name] = _on_facts(fn)
     return q

@@ -535,6 +535,50 @@ SELECT o_orderkey AS order_id, CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN
         "SELECT \"table\", true AS \"exists\", CAST(n AS BIGINT) AS row_count, "
         "CASE WHEN n = 0 THEN 'warning' ELSE 'ok' END AS status, true AS modified_since_start, true AS columns_ok FROM (" + " UNION ALL ".join(parts) + ")"
     )
+    q["manifest_report"] = f"SELECT *, 1 AS broken FROM ({q['contract_report']})"
+    q["contract_summary"] = "SELECT 'error' AS status, 'top_products' AS missing_tables, 'order_status_breakdown' AS empty_tables"
+    q["stream_state_kpi"] = base["kpi_summary"]
+    q["stream_state_revenue"] = base["revenue_by_state"]
+    q["snapshot_orders_in_range"] = q["daily_orders_in_range"]
+    q["snapshot_date_bounds"] = _q(DAILY + "SELECT min(purchase_date) AS date_start, max(purchase_date) AS date_end FROM daily")
+    q["reload_rejects"] = _q(
+        DAILY
+        + """
+, n AS (SELECT count(*) AS days, count(*) FILTER (WHERE month(purchase_date) = 2) AS bad_days,
+               count(*) FILTER (WHERE month(purchase_date) = 3) AS bad_counts, count(*) FILTER (WHERE month(purchase_date) = 4) AS no_counts FROM daily),
+s AS (SELECT count(*) AS states, count(*) FILTER (WHERE customer_state < 'NATION_2') AS bad FROM (SELECT DISTINCT customer_state FROM facts))
+SELECT 'orders_per_day' AS "table", 'purchase_date' AS "column", days AS "values", bad_days AS rejected FROM n
+UNION ALL SELECT 'orders_per_day', 'order_count', days - no_counts, bad_counts FROM n
+UNION ALL SELECT 'revenue_by_state', 'customer_state', states, 0 FROM s
+UNION ALL SELECT 'revenue_by_state', 'revenue', states, bad FROM s"""
+    )
+    q["translated_categories"] = _q(
+        f"""
+, m AS (SELECT product_category_name AS c, {REV} AS exact FROM facts GROUP BY 1),
+t AS (SELECT DISTINCT p_brand AS c, 'group ' || right(p_brand, 1) AS e FROM part WHERE right(p_brand, 1) <> '5')
+SELECT coalesce(e, m.c) AS category, {_cents('sum(exact)')} AS revenue, count(*) AS categories FROM m LEFT JOIN t USING (c) GROUP BY 1"""
+    )
+    by_state = """
+, days AS (SELECT customer_state, purchase_date, count(DISTINCT order_id) AS order_count FROM facts WHERE purchase_date IS NOT NULL GROUP BY 1, 2),
+pos AS (SELECT *, row_number() OVER (PARTITION BY customer_state ORDER BY purchase_date) - 1 AS position FROM days)"""
+    q["orders_trend_by_state"] = _q(
+        by_state
+        + f"""
+SELECT customer_state, {_slope(0)} AS slope, {GROWTH} AS growth_rate, {_trend(0)} AS trend
+FROM (SELECT customer_state, {_fit_parts('position', 'order_count', 0)}, {_growth_parts('position', 'order_count')} FROM pos GROUP BY 1)"""
+    )
+    q["orders_moving_average_by_state"] = _q(
+        by_state + " SELECT customer_state, purchase_date, order_count, avg(order_count) OVER (PARTITION BY customer_state ORDER BY purchase_date "
+        "ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS moving_average FROM days"
+    )
+    q["orders_forecast_by_state"] = _q(
+        by_state
+        + f"""
+, fit AS (SELECT customer_state, _n, _k, {_slope(0)} AS slope, {_intercept(0)} AS intercept
+          FROM (SELECT customer_state, {_fit_parts('position', 'order_count', 0)} FROM pos GROUP BY 1))
+SELECT customer_state, CAST(p AS BIGINT) AS position, slope * p + intercept AS forecast, slope
+FROM (SELECT *, unnest(range(_n, _n + 5)) AS p FROM fit WHERE _k >= 2)"""
+    )
     # insight blocks
     q["insight_kpi_summary"] = base["kpi_summary"]
     q["insight_orders_per_day"] = _q(

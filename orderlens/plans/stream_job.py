@@ -8,6 +8,7 @@ checkpoint directory (a fresh run folder per call).
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,8 @@ from orderlens.plans.facts import enriched, facts_from_raw, facts_from_tables
 from orderlens.sources.tables import read_csv_tables, read_snapshot, write_csv_tables
 from orderlens.sources.testdata import load_testdata
 from orderlens.session import run_folder
-from orderlens.streaming import encode, publish, read_stream, run_append, run_rejects
+from orderlens.streaming import encode, publish, read_stream, run_append
+from orderlens.streaming.batches import compact, read_sink, read_state, run_sinks, run_state
 
 
 def ingest_roundtrip(spark: SparkSession, sf_dir: str, aggregate=marts.late_delivery_by_state) -> DataFrame:
@@ -56,8 +58,35 @@ def awkward_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+class _Interrupted(RuntimeError):
+    """Stands for a lost driver in the registered queries."""
+
+
+def _until_done(start, attempts: int = 3) -> None:
+    """Run a stream to its end, starting it again when it is interrupted."""
+    for left in range(attempts - 1, -1, -1):
+        try:
+            start().awaitTermination()
+            return
+        except StreamingQueryException as e:
+            if not left or "Interrupted" not in str(e):
+                raise
+
+
+def _interrupt_once(kind: str, batch_id: int):
+    """A hook that breaks a stream off right after ``kind`` of one batch was written, before the batch is committed."""
+    told = []
+
+    def hook(what: str, batch: int) -> None:
+        if what == kind and batch == batch_id and not told:
+            told.append(batch)
+            raise _Interrupted("Interrupted after a write")
+
+    return hook
+
+
 def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every fifth order's message is cut off: good and rejected messages, counted in the two sinks."""
+    """Every fifth order's message is cut off: good and rejected messages, counted in the two sinks of one stream that broke off between them."""
     base = run_folder(spark, "rejects")
     orders = load_testdata(spark, sf_dir).orders
     messages = encode(orders)
@@ -65,13 +94,37 @@ def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     broken = messages.select(F.when(F.col("key").cast("long") % 5 == 0, cut).otherwise(F.col("value")).alias("value"))
     broken.write.text(f"{base}/landing")
     stream = read_stream(spark, fmt="text", path=f"{base}/landing")
-    run_append(stream, f"{base}/snapshot", f"{base}/checkpoint").awaitTermination()
-    run_rejects(stream, f"{base}/rejected", f"{base}/rejected-checkpoint").awaitTermination()
-    good = spark.read.parquet(f"{base}/snapshot").agg(F.count(F.lit(1)).alias("messages")).select(F.lit("good").alias("kind"), "messages")
-    bad = spark.read.text(f"{base}/rejected").agg(F.count(F.lit(1)).alias("messages")).select(F.lit("rejected").alias("kind"), "messages")
+    hook = _interrupt_once("rows", 0)
+    _until_done(lambda: run_sinks(stream, f"{base}/rows", f"{base}/rejected", f"{base}/checkpoint", on_written=hook))
+    good = read_sink(spark, f"{base}/rows").agg(F.count(F.lit(1)).alias("messages")).select(F.lit("good").alias("kind"), "messages")
+    bad = read_sink(spark, f"{base}/rejected").agg(F.count(F.lit(1)).alias("messages")).select(F.lit("rejected").alias("kind"), "messages")
     return good.unionByName(bad)
 
 
+def streamed_state(spark: SparkSession, sf_dir: str, batches: int = 5) -> DataFrame:
+    """The merged state of the enriched messages, streamed in ``batches`` micro-batches.
+
+    One batch is repeated after its state was written but not committed, and the
+    state is compacted on the way.
+    """
+    base = run_folder(spark, "state")
+    publish(enriched(spark, sf_dir).repartition(batches), fmt="text", path=f"{base}/landing")
+    stream = read_stream(spark, fmt="text", path=f"{base}/landing", max_per_trigger=1)
+    hook = _interrupt_once("state", 2)
+
+    def start():
+        return run_state(stream, f"{base}/state", f"{base}/checkpoint", on_written=hook)
+
+    try:
+        start().awaitTermination()
+    except StreamingQueryException as e:
+        if "Interrupted" not in str(e):
+            raise
+        compact(spark, f"{base}/state")  # with a batch in it that is about to be repeated
+    _until_done(start)
+    return read_state(spark, f"{base}/state")
+
+
 def landing_csv_roundtrip(spark: SparkSession, sf_dir: str, aggregate=marts.revenue_by_category) -> DataFrame:
     """Land the six source tables as CSV, scan them back (S1) and aggregate."""
     landing = run_folder(spark, "landing")

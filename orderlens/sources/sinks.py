@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,5 +60,29 @@ def _typed(found: DataFrame, field: T.StructField):
     return F.col(f"`{field.name}`").try_cast(field.dataType)
 
 
+def reload_rejects(spark: SparkSession, out_dir: str, names: list[str] | None = None) -> DataFrame:
+    """(table, column, values, rejected): for each published column how many values it holds, and how many of them don't parse.
+
+    One scan a table, driven by its published schema: a value is rejected where
+    the reload's ``try_cast`` makes null of it. A column that a file lacks has no
+    values; a missing table has no rows.
+    """
+    parts = []
+    for name in names or S.EXPECTED_OUTPUTS:
+        try:
+            found = spark.read.options(**read_options()).csv(f"{out_dir.rstrip('/')}/{name}")
+        except AnalysisException:
+            continue
+        counts = []
+        for f in S.OUTPUT_SCHEMAS[name].fields:
+            raw = F.col(f"`{f.name}`") if f.name in found.columns else F.lit(None).cast("string")
+            bad = raw.isNotNull() & _typed(found, f).isNull()
+            counts.append(F.struct(F.lit(f.name).alias("column"), F.count(raw).alias("values"), F.count(F.when(bad, 1)).alias("rejected")))
+        parts.append(found.agg(F.array(*counts).alias("_c")).select(F.lit(name).alias("table"), F.inline("_c")))
+    if not parts:
+        return spark.createDataFrame([], "`table` string, `column` string, values long, rejected long")
+    return reduce(DataFrame.unionByName, parts)
+
+
 def read_tables(spark: SparkSession, out_dir: str, names: list[str] | None = None) -> dict[str, DataFrame]:
     return {n: read_table(spark, out_dir, n) for n in (names or S.EXPECTED_OUTPUTS)}
