@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField, StructType
 
 from orderlens.llm import range_coder
-from orderlens.llm.scratch import scratch_dir
+from orderlens.llm.scratch import scratch_dir, table
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
@@ -198,7 +198,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         if held:
             yield _decoded(held, schema, id_type)
 
-    parts = blocks.mapInArrow(run, schema).join(at, ["shard", "block"])
+    # written, a narrow row a document and block: every block is decoded once
+    parts = table(blocks.mapInArrow(run, schema), "decoded").join(at, ["shard", "block"])
     parts = parts.withColumn("start", F.col("_start") + F.col("_within"))
     # the parts of a long document: their checksums combine in order
     long = parts.where("not _whole").groupBy("shard", "ordinal").agg(
