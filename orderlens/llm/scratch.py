@@ -30,7 +30,7 @@ def scratch_dir(spark: SparkSession) -> str:
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def bounded_batches(spark: SparkSession, size: str = "4m") -> None:
+def bounded_batches(spark: SparkSession, size: str = "1m") -> None:
     """Bound the batches that go to Python by bytes, not by rows alone, unless the session says how large they are."""
     if spark.conf.get(ARROW_BYTES, None) is None:
         spark.conf.set(ARROW_BYTES, size)

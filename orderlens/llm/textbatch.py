@@ -67,6 +67,8 @@ def slices(batch: pa.RecordBatch, text: str, most_bytes: int = 1 << 20):
     edges = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(sizes)] if len(sizes) else [0]
     for a, b in zip(edges, edges[1:], strict=False):
         yield batch.slice(a, b - a)
+    # workers live on after a task: what a batch needed goes back to the system
+    pa.default_memory_pool().release_unused()
 
 
 def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
