@@ -1,5 +1,6 @@
 """Command line: the reference's entry points as Spark jobs.
 
+  python -m orderlens land    --landing DIR --out DIR        (CSV files to Parquet, once)
   python -m orderlens publish --landing DIR --out DIR        (producer: join + encode)
   python -m orderlens ingest  --source DIR --sink DIR --checkpoint DIR [--csv]
                                                              (consumer: checkpointed stream)
@@ -7,6 +8,8 @@
                                                              (analysis: all published tables)
   python -m orderlens check   --out DIR                      (serving-side contract checks)
 
+``--single-line`` says that no field of the CSV files holds a newline, so that
+they are split into many tasks; ``--parquet`` that a landing was landed before.
 ``--kafka-bootstrap`` / ``--topic`` switch publish and ingest to Kafka (needs the
 connector on the classpath). Paths must be shared storage on a cluster.
 """
@@ -22,6 +25,9 @@ from orderlens.session import get_spark
 def _args(argv: list[str]) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="orderlens")
     sub = p.add_subparsers(dest="cmd", required=True)
+    land = sub.add_parser("land")
+    land.add_argument("--landing", required=True)
+    land.add_argument("--out", required=True)
     pub = sub.add_parser("publish")
     pub.add_argument("--landing", required=True)
     pub.add_argument("--out")
@@ -40,6 +46,10 @@ def _args(argv: list[str]) -> argparse.Namespace:
     src.add_argument("--snapshot")
     ref.add_argument("--csv", action="store_true", help="the snapshot is CSV")
     ref.add_argument("--out", required=True)
+    for sp in (land, pub, ref):
+        sp.add_argument("--single-line", action="store_true", help="no CSV field holds a newline")
+    for sp in (pub, ref):
+        sp.add_argument("--parquet", action="store_true", help="the landing was written by the land command")
     chk = sub.add_parser("check")
     chk.add_argument("--out", required=True)
     return p.parse_args(argv)
@@ -53,12 +63,19 @@ def main(argv: list[str] | None = None) -> int:
     from orderlens.operators.enrich import enrich
     from orderlens.plans.facts import facts_from_raw
     from orderlens.plans.refresh import refresh, refresh_facts
-    from orderlens.sources.tables import read_csv_tables, read_snapshot
+    from orderlens.sources.tables import land_parquet, read_csv_tables, read_landed, read_snapshot
     from orderlens.streaming import publish, read_stream, run_append
 
     kafka = {"kafka.bootstrap.servers": a.kafka_bootstrap} if getattr(a, "kafka_bootstrap", None) else None
-    if a.cmd == "publish":
-        rows = clean(enrich(read_csv_tables(spark, a.landing)))
+    multiline = not getattr(a, "single_line", False)
+
+    def landed():
+        return read_landed(spark, a.landing) if a.parquet else read_csv_tables(spark, a.landing, multiline)
+
+    if a.cmd == "land":
+        land_parquet(spark, a.landing, a.out, multiline)
+    elif a.cmd == "publish":
+        rows = clean(enrich(landed()))
         if kafka:
             publish(rows, fmt="kafka", options={**kafka, "topic": a.topic})
         else:
@@ -72,9 +89,9 @@ def main(argv: list[str] | None = None) -> int:
         run_append(source, a.sink, a.checkpoint, fmt="csv" if a.csv else "parquet").awaitTermination()
     elif a.cmd == "refresh":
         if a.landing:
-            refresh(spark, read_csv_tables(spark, a.landing), out_dir=a.out)
+            refresh(spark, landed(), out_dir=a.out)
         else:
-            raw = read_snapshot(spark, a.snapshot) if a.csv else spark.read.parquet(a.snapshot)
+            raw = read_snapshot(spark, a.snapshot, multiline) if a.csv else spark.read.parquet(a.snapshot)
             refresh_facts(spark, facts_from_raw(raw), out_dir=a.out)
     elif a.cmd == "check":
         report = contracts.contract_report(spark, a.out)

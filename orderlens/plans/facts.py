@@ -13,7 +13,7 @@ from orderlens.functions.derive import derive
 from orderlens.operators.enrich import enrich
 from orderlens.operators.skew import DEFAULT_POLICY, SkewPolicy
 from orderlens.sources.tables import SourceTables
-from orderlens.sources.testdata import load_testdata
+from orderlens.sources.testdata import files_now, load_testdata
 
 
 def facts_from_tables(tables: SourceTables, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
@@ -25,16 +25,18 @@ def facts_from_raw(raw: DataFrame) -> DataFrame:
     return derive(clean(raw))
 
 
-_PLANS: dict[tuple, DataFrame] = {}
+_PLANS: dict[tuple, tuple[tuple, DataFrame]] = {}
 
 
 def _memo(spark: SparkSession, sf_dir: str, kind: str, build) -> DataFrame:
-    """One lazy plan per (session, directory, kind): saves re-analysis of the
-    join tree for every query. Plans only; no data is cached."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
-    if key not in _PLANS:
-        _PLANS[key] = build()
-    return _PLANS[key]
+    """One lazy plan per (session, directory, kind), as long as the directory's files are the same.
+
+    Saves re-analysis of the join tree for every query; plans only, no data is cached.
+    """
+    key, now = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind), files_now(spark, sf_dir)
+    if key not in _PLANS or _PLANS[key][0] != now:
+        _PLANS[key] = (now, build())
+    return _PLANS[key][1]
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
