@@ -10,8 +10,11 @@ vector nearer to it. The adjacency lists of a vector in several shards are
 united. The search for a vector's links starts at the vector and expands every
 one found within the radius until none is left: from each of its links a path
 of ever nearer vectors leads to it, so the search misses no link of a shard.
-Every link is verified by its cosine in double precision, and the recall is
-audited against brute force on a documented sample of queries.
+Every link is verified by its cosine in double precision. The recall is audited
+against brute force: all vectors whose id is divisible by 100 are queries against
+all vectors, in blocks, and other vectors are counted, not their copies; below
+``LEAST_RECALL`` the search is repeated with wider overlaps, and fails if that
+does not do.
 
 Scale. Copies become one vector with a count before anything else. Centroids
 come from a bounded sample. A shard holds a bounded number of vectors: one that
@@ -56,8 +59,9 @@ SAME = 1 - 1e-9
 NEARER = 1e-12
 #: Queries searched together, and vectors expanded together.
 QUERIES_AT_ONCE, EXPANDED_AT_ONCE = 256, 1 << 15
-#: Levels of centroids, shards divided in a pass, and queries of the audit.
-LEVELS, DIVIDED, AUDIT = 3, 64, 512
+#: Levels of centroids, shards divided in a pass, and queries that the audit compares at once.
+LEVELS, DIVIDED, AUDIT_BLOCK = 3, 64, 4096
+LEAST_RECALL = 0.9
 
 
 def unit_rows(vectors: np.ndarray) -> np.ndarray:
@@ -85,14 +89,14 @@ def apart(c: np.ndarray) -> np.ndarray:
     return c[kept]
 
 
-def nearest(vectors: np.ndarray, c: np.ndarray) -> list[list[int]]:
+def nearest(vectors: np.ndarray, c: np.ndarray, wider: int = 1) -> list[list[int]]:
     """The clusters of each vector: its nearest one and those about as near."""
     out = []
     for i in range(0, len(vectors), 4096):
         sim = vectors[i : i + 4096] @ c.T
-        top = np.argsort(-sim, axis=1, kind="stable")[:, :MOST_SHARDS]
+        top = np.argsort(-sim, axis=1, kind="stable")[:, : wider * MOST_SHARDS]
         value = np.take_along_axis(sim, top, axis=1)
-        good = value >= value[:, :1] - SLACK
+        good = value >= value[:, :1] - wider * SLACK
         good[:, :2] = True  # always two, so that shards overlap
         out += [sorted(t[g].tolist()) for t, g in zip(top, good, strict=True)]
     return out
@@ -209,7 +213,7 @@ def _vectors(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1).astype(np.float64)
 
 
-def _shards(distinct: DataFrame, sample: np.ndarray, size: int) -> DataFrame:
+def _shards(distinct: DataFrame, sample: np.ndarray, size: int, wider: int) -> DataFrame:
     """(_v, _unit, _shards) of every distinct vector, by centroids of the sample."""
     k = min(MOST_CENTROIDS, max(1, math.ceil(size / SHARD)), max(1, len(sample)))
     c = distinct.sparkSession.sparkContext.broadcast(centroids(sample, k))  # at most MOST_CENTROIDS vectors
@@ -219,16 +223,14 @@ def _shards(distinct: DataFrame, sample: np.ndarray, size: int) -> DataFrame:
             if batch.num_rows:
                 v = _vectors(batch.column(1))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(nearest(v, c.value), pa.list_(pa.int64()))], names=["_v", "_unit", "_shards"]
+                    [batch.column(0), batch.column(1), pa.array(nearest(v, c.value, wider), pa.list_(pa.int64()))], names=["_v", "_unit", "_shards"]
                 )
 
     return distinct.mapInArrow(deal, "_v long, _unit array<double>, _shards array<long>")
 
 
-def near_vectors(
-    rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = LEAST
-) -> DataFrame:
-    """(id_col, n_links, component_id, kept) of every row."""
+def units(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """(_id, _unit, _v): each row's unit vector and its key, null where the vector links with nothing."""
     v = rows.select(F.col(id_col).alias("_id"), F.col(vector_col).cast("array<double>").alias("_e"))
     fine = F.col("_e").isNotNull() & (F.size("_e") > 0) & F.forall("_e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     norm = F.sqrt(F.aggregate("_e", F.lit(0.0), lambda a, x: a + x * x))
@@ -239,8 +241,17 @@ def near_vectors(
     v = v.withColumn("_e", F.when(F.col("_fine") & (most > 0), F.transform("_e", lambda x: x / most)))
     norm = F.sqrt(F.aggregate("_e", F.lit(0.0), lambda a, x: a + x * x))
     v = v.withColumn("_unit", F.when(F.col("_e").isNotNull(), F.transform("_e", lambda x: x / norm))).select("_id", "_unit")
-    v = table(v.withColumn("_v", F.when(F.col("_unit").isNotNull(), F.xxhash64("_unit"))), "vectors")
+    return v.withColumn("_v", F.when(F.col("_unit").isNotNull(), F.xxhash64("_unit")))
+
+
+def near_vectors(
+    rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = LEAST, wider: int = 1, with_key: bool = False
+) -> DataFrame:
+    """(id_col, n_links, component_id, kept, n_vectors) of every row; n_vectors: different vectors it links with.
 
+    ``wider`` multiplies the overlap of the shards; ``with_key`` adds _v, the key of the vector.
+    """
+    v = table(units(rows, id_col, vector_col), "vectors")
     distinct = v.where(F.col("_v").isNotNull()).groupBy("_v").agg(F.first("_unit").alias("_unit"), F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_least"))
     distinct = table(distinct, "distinct")
     lengths = {r["_d"]: r["_c"] for r in distinct.groupBy(F.size("_unit").alias("_d")).agg(F.count(F.lit(1)).alias("_c")).collect()}
@@ -257,13 +268,13 @@ def near_vectors(
     else:
         sample = np.zeros((1, max(dim, 1)))
 
-    dealt = _shards(usable.select("_v", "_unit"), sample, size)
+    dealt = _shards(usable.select("_v", "_unit"), sample, size, wider)
     dealt = table(dealt.withColumn("_shard", F.explode("_shards")).drop("_shards"), "dealt") if size else None
     if dealt is None:
         links = spark.createDataFrame([], "a long, b long")
-        counts = spark.createDataFrame([], "_v long, _links long")
+        counts = spark.createDataFrame([], "_v long, _links long, _others long")
     else:
-        dealt = _divided(dealt)
+        dealt = _divided(dealt, wider)
 
         def link(part: pa.Table) -> pa.Table:
             return _build_shard(part, least)
@@ -276,22 +287,24 @@ def near_vectors(
         def find(part: pa.Table) -> pa.Table:
             return _search_shard(part, least)
 
-        found = full.groupBy("_shard").applyInArrow(find, "_v long, _links long, _root long")
+        found = full.groupBy("_shard").applyInArrow(find, "_v long, _links long, _others long, _root long")
         found = table(found, "found")
-        counts = found.groupBy("_v").agg(F.sum("_links").alias("_links"))
+        counts = found.groupBy("_v").agg(F.sum("_links").alias("_links"), F.sum("_others").alias("_others"))
         links = found.where(F.col("_root").isNotNull()).select(F.col("_v").alias("a"), F.col("_root").alias("b"))
     root = connected_components(links)
     classes = distinct.select("_v", "_n", "_least").join(root.withColumnRenamed("node", "_v"), "_v", "left").join(counts, "_v", "left")
     classes = table(classes.withColumn("_root", F.coalesce("root", "_v")).drop("root"), "classes")
     least_id = table(classes.groupBy("_root").agg(F.min("_least").alias("_first")), "first")
-    classes = classes.join(least_id, "_root").select("_v", "_first", (F.col("_n") - 1 + F.coalesce("_links", F.lit(0))).alias("_links"))
+    others = F.coalesce("_others", F.lit(0)).alias("_others")
+    classes = classes.join(least_id, "_root").select("_v", "_first", (F.col("_n") - 1 + F.coalesce("_links", F.lit(0))).alias("_links"), others)
     classes = table(classes, "named")
-    out = v.where(F.col("_v").isNotNull()).select("_id", "_v").join(classes, "_v").select("_id", "_links", "_first")
-    out = out.unionByName(v.where(F.col("_v").isNull()).select("_id", F.lit(0).cast("long").alias("_links"), F.col("_id").alias("_first")))
-    result = out.select(
-        F.col("_id").alias(id_col), F.col("_links").alias("n_links"), F.col("_first").alias("component_id"), F.col("_id").eqNullSafe(F.col("_first")).alias("kept")
+    out = v.where(F.col("_v").isNotNull()).select("_id", "_v").join(classes, "_v").select("_id", "_v", "_links", "_others", "_first")
+    none = F.lit(0).cast("long")
+    out = out.unionByName(v.where(F.col("_v").isNull()).select("_id", "_v", none.alias("_links"), none.alias("_others"), F.col("_id").alias("_first")))
+    return out.select(
+        F.col("_id").alias(id_col), F.col("_links").alias("n_links"), F.col("_first").alias("component_id"), F.col("_id").eqNullSafe(F.col("_first")).alias("kept"),
+        F.col("_others").alias("n_vectors"), *(["_v"] if with_key else []),
     )
-    return result
 
 
 def _mixed_id(shard: int, k: int) -> int:
@@ -304,7 +317,7 @@ def _large(dealt: DataFrame) -> DataFrame:
     return table(sizes.where(F.col("_c") > 4 * SHARD), "large")
 
 
-def _divided(dealt: DataFrame) -> DataFrame:
+def _divided(dealt: DataFrame, wider: int = 1) -> DataFrame:
     """Shards of a bounded size.
 
     A shard beyond 4 * SHARD vectors is divided by centroids of its own, DIVIDED
@@ -343,7 +356,7 @@ def _divided(dealt: DataFrame) -> DataFrame:
                     out = [[int(x)] for x in shard]
                     for x, c in shared.value.items():
                         at = np.flatnonzero(shard == x)
-                        for i, near in zip(at, nearest(v[at], c), strict=True):
+                        for i, near in zip(at, nearest(v[at], c, wider), strict=True):
                             out[i] = [_mixed_id(int(x), k) for k in near]
                     yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int64()))], names=["_v", "_unit", "_shards"])
 
@@ -410,39 +423,57 @@ def _search_shard(part: pa.Table, least: float) -> pa.Table:
         if len(smaller):
             mine[smaller[(homes[j[smaller]] == x[smaller, None]).any(axis=1)]] = False
     total = np.bincount(i[mine], n_rows[j[mine]], minlength=len(v)) + np.bincount(j[mine], n_rows[i[mine]], minlength=len(v))
+    others = np.bincount(i[mine], minlength=len(v)) + np.bincount(j[mine], minlength=len(v))
     linked = root != np.arange(len(v))
-    return pa.table({"_v": key, "_links": total.astype(np.int64), "_root": pa.array(key[root], pa.int64(), mask=~linked)})
+    return pa.table({"_v": key, "_links": total.astype(np.int64), "_others": others.astype(np.int64), "_root": pa.array(key[root], pa.int64(), mask=~linked)})
 
 
 def audit(rows: DataFrame, result: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = LEAST) -> float:
-    """Recall of ``result``'s links against brute force: up to AUDIT rows with ids divisible by 100, against all rows."""
-    v = rows.select(F.col(id_col).alias("_id"), F.col(vector_col).cast("array<double>").alias("_e"))
-    v = v.where(F.col("_e").isNotNull() & F.forall("_e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
-    asked = v.where((F.col("_id") % 100 == 0) & F.exists("_e", lambda x: x != 0)).orderBy(F.xxhash64("_id"), "_id").limit(AUDIT).collect()
-    if not asked:
-        return 1.0
-    by_length: dict[int, list] = {}
-    for k, r in enumerate(asked):
-        by_length.setdefault(len(r["_e"]), []).append(k)
-    queries = {d: (np.array(ks), unit_rows(np.array([asked[k]["_e"] for k in ks]))) for d, ks in by_length.items()}
-    shared = v.sparkSession.sparkContext.broadcast(queries)  # at most AUDIT vectors
-
-    def count(batches):
-        total = np.zeros(AUDIT, np.int64)
-        for batch in batches:
-            sizes = np.asarray(batch.column(0).value_lengths())
-            for d, (at, q) in shared.value.items():
-                same = batch.filter(pa.array(sizes == d))
-                if same.num_rows:
-                    x = _vectors(same.column(0))
-                    norm = np.linalg.norm(x, axis=1)
-                    x = x[norm > 0] / norm[norm > 0, None]
-                    total[at] += (q @ x.T >= least).sum(axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(AUDIT)), pa.array(total)], names=["k", "c"])
-
-    true = {r["k"]: r["c"] for r in v.select("_e").mapInArrow(count, "k long, c long").groupBy("k").agg(F.sum("c").alias("c")).collect()}
-    ids = [r["_id"] for r in asked]
-    found = result.where(F.col(id_col).isin(ids)).groupBy(F.col(id_col).alias("_id")).agg(F.max("n_links").alias("n")).collect()
-    found = {r["_id"]: r["n"] for r in found}
-    want = sum(true[k] - 1 for k in range(len(asked)))
-    return min(1.0, sum(found.get(i, 0) for i in ids) / want) if want else 1.0
+    """Recall of ``result`` (made ``with_key``) against brute force.
+
+    Every vector of an id divisible by 100 is compared with all vectors,
+    AUDIT_BLOCK queries at once, each block a broadcast. Counted are different
+    vectors within ``least``, so that copies hide no loss; a query counts no more
+    than it has.
+    """
+    distinct = units(rows, id_col, vector_col).where(F.col("_v").isNotNull()).groupBy("_v").agg(F.first("_unit").alias("_unit"))
+    distinct = table(distinct, "audit-vectors")
+    asked = result.where((F.col(id_col) % 100 == 0) & F.col("_v").isNotNull()).groupBy("_v").agg(F.max("n_vectors").alias("_found"))
+    asked = table(asked.join(distinct, "_v"), "audit-queries")
+    blocks = max(1, math.ceil(asked.count() / AUDIT_BLOCK))
+    want = got = 0
+    for b in range(blocks):
+        block = asked.where(F.pmod(F.xxhash64("_v"), F.lit(blocks)) == b).collect()  # about AUDIT_BLOCK vectors
+        by_length: dict[int, list] = {}
+        for k, r in enumerate(block):
+            by_length.setdefault(len(r["_unit"]), []).append(k)
+        queries = {d: (np.array(ks), np.array([block[k]["_unit"] for k in ks])) for d, ks in by_length.items()}
+        shared = distinct.sparkSession.sparkContext.broadcast((len(block), queries))
+
+        def count(batches, shared=shared):
+            n, by_length = shared.value
+            total = np.zeros(n, np.int64)
+            for batch in batches:
+                sizes = np.asarray(batch.column(0).value_lengths())
+                for d, (at, q) in by_length.items():
+                    same = batch.filter(pa.array(sizes == d))
+                    for lo in range(0, same.num_rows, 1024):
+                        total[at] += (q @ _vectors(same.column(0).slice(lo, 1024)).T >= least + NEARER).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.array(total)], names=["k", "c"])
+
+        true = {r["k"]: r["c"] for r in distinct.select("_unit").mapInArrow(count, "k long, c long").groupBy("k").agg(F.sum("c").alias("c")).collect()}
+        for k, r in enumerate(block):
+            here = max(0, true.get(k, 0) - 1)  # itself
+            want += here
+            got += min(here, r["_found"])
+    return got / want if want else 1.0
+
+
+def audited(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = LEAST) -> tuple[DataFrame, float]:
+    """(``near_vectors`` with a recall of LEAST_RECALL or more, that recall); overlaps are widened until it is reached."""
+    for wider in (1, 2, 4):
+        found = table(near_vectors(rows, id_col, vector_col, least, wider, with_key=True), "near-vectors")
+        recall = audit(rows, found, id_col, vector_col, least)
+        if recall >= LEAST_RECALL:
+            return found.drop("_v"), recall
+    raise ValueError(f"recall is {recall:.3f}")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import ann_graph, curriculum, fim, fingerprint, html_extract, langid, minhash, prefix_trie, quality_crf, sp_encode, token_output, toxicity, warc
-from orderlens.llm.scratch import bounded_batches, table
+from orderlens.llm.scratch import bounded_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,9 +35,8 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_embedding_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _read(spark, sf_dir, "embeddings")
-    found = table(ann_graph.near_vectors(rows), "near-vectors")
-    return found.withColumn("audited_recall", F.lit(ann_graph.audit(rows, found)))
+    found, recall = ann_graph.audited(_read(spark, sf_dir, "embeddings"))
+    return found.withColumn("audited_recall", F.lit(recall))
 
 
 def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,8 @@ import zlib
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from orderlens.llm import ann_graph, html_extract, range_coder, sp_encode, token_output
 
@@ -50,7 +52,7 @@ def test_embedding_links_match_brute_force(spark, shard, monkeypatch):
     rows = vectors()
     d = spark.createDataFrame([(i, v, 0, 1) for i, v in enumerate(rows)], "vec_id long, embedding array<double>, label int, _v int")
     monkeypatch.setattr(ann_graph, "SHARD", shard)
-    result = ann_graph.near_vectors(d)
+    result = ann_graph.near_vectors(d, with_key=True)
     got = {r.vec_id: r for r in result.collect()}
     links, root = brute_links(rows)
     assert len(got) == len(rows)
@@ -58,6 +60,7 @@ def test_embedding_links_match_brute_force(spark, shard, monkeypatch):
     assert np.mean([got[i].component_id == root[i] for i in got]) > 0.98
     assert all(got[i].kept == (got[i].component_id == i) for i in got)
     assert ann_graph.audit(d, result) > 0.9
+    assert ann_graph.audit(d, result.withColumn("n_vectors", F.lit(0).cast("long"))) == 0.0  # copies alone are no recall
 
 
 def groups(sizes, dim=64, noise=0.02, seed=11):
