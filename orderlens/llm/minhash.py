@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
@@ -366,6 +367,15 @@ def _own(found: DataFrame, width: int) -> DataFrame:
     return found.select("_key", "_text").mapInArrow(same, "_key long, _set binary")
 
 
+def _numbered(docs: DataFrame, number: str) -> DataFrame:
+    """``docs`` with a key of each row: its place in its file where ``docs`` is a scan of files, else a number in a written copy."""
+    place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    try:
+        return docs.withColumn(number, place)
+    except AnalysisException:
+        return table(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each group of near duplicates the one with the least id (null last).
 
@@ -375,7 +385,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     number = "_row"
     while number in docs.columns:
         number += "_"
-    rows = table(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    rows = _numbered(docs, number)
     found = near_duplicates(rows, number, text_col).select(F.col(number), "component_id")
     first = F.min(F.struct(F.col(id_col).isNull().alias("_no_id"), F.col(id_col).alias("_id"), F.col(number).alias("_number")))
     named = rows.select(F.col(id_col), F.col(number)).join(found, number)

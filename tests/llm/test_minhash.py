@@ -99,7 +99,7 @@ def test_a_family_below_the_threshold_writes_no_pairs(spark, monkeypatch, tmp_pa
     assert sizes["links"] == 0 and sizes["likely"] <= 12 * len(rows)
 
 
-def test_keep_one_goes_by_rows(spark):
+def test_keep_one_goes_by_rows(spark, tmp_path):
     base = [f"k{i}" for i in range(50)]
     near = " ".join(base[:-1] + ["other"])
     text = " ".join(base)
@@ -108,3 +108,7 @@ def test_keep_one_goes_by_rows(spark):
     got = sorted(str(tuple(r)) for r in minhash.keep_one(docs).collect())
     assert got == sorted(str(r) for r in [rows[3], rows[4], rows[5], rows[6], rows[7]])
     assert minhash.keep_one(docs.limit(0)).count() == 0
+    docs.repartition(3).write.parquet(str(tmp_path / "docs"))
+    scanned = spark.read.parquet(str(tmp_path / "docs"))
+    again = sorted(str(tuple(r)) for r in minhash.keep_one(scanned).collect())
+    assert again == got and "numbered" not in minhash._numbered(scanned, "_place")._jdf.queryExecution().toString()
