@@ -11,12 +11,11 @@ the threshold go; the others are confirmed on their full sets.
 Scale. Texts are read once for signatures and once for the sets of candidates;
 texts with equal sets become one node before any pairing, so a group of copies
 costs one row. No step writes pairs. First *families* are found by signatures
-alone: in a band bucket every node is compared with one centre, and what is in
-another family with all of its bucket, in blocks that emit no more links than
-unite them. Then every node's set goes to its family, in blocks that hold the
-family's centre too; a block compares sets until its nodes are united and emits
-the links that do so. Nodes that are still apart in a family of several blocks
-meet all of its blocks. A node whose shingles mostly occur nowhere else in its
+alone: a band bucket is compared in blocks, each with the bucket's centre, that
+emit no more links than unite their nodes. Then every node's set goes to its
+family, in blocks that hold the family's centre too; a block compares sets until
+its nodes are united and emits the links that do so. Nodes that are still apart
+in a bucket or family of several blocks meet all of its blocks. A node whose shingles mostly occur nowhere else in its
 block is not compared at all.
 
 Results in odd cases. Null, empty and blank texts: no shingles, linked with
@@ -47,7 +46,7 @@ BANDS = 32
 LEAST_ESTIMATE = 0.60
 #: Rows of a block of a bucket; rows and shingles of a block of a family; bits that mark the ids whose texts are fetched.
 BLOCK = 4096
-FAMILY_BLOCK, FAMILY_SHINGLES = 1024, 1 << 21
+FAMILY_BLOCK, FAMILY_SHINGLES = 4096, 1 << 21
 BITS = 1 << 24
 
 _rng = np.random.Generator(np.random.PCG64(75))
@@ -123,21 +122,6 @@ def _band(i: int):
     return F.xxhash64(F.lit(i), F.expr(f"substring(_sig, {8 * i + 1}, 8)"))
 
 
-def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The (a, b) whose signatures agree often enough."""
-
-    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for k in (2, 3))
-                yield batch.select([0, 1]).filter(pa.array((x == y).mean(axis=1) >= LEAST_ESTIMATE))
-
-    a = nodes.select(F.col("_key").alias("a"), F.col("_sig").alias("_sa"))
-    b = nodes.select(F.col("_key").alias("b"), F.col("_sig").alias("_sb"))
-    both = pairs.join(a, "a").join(b, "b").select("a", "b", "_sa", "_sb")
-    return table(both.mapInArrow(agree, "a long, b long"), "likely")
-
-
 def _sets(docs: DataFrame, near: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """(_key, _set) of the nodes in ``near``: the sorted hashes of the whole text's shingles.
 
@@ -284,28 +268,37 @@ def by_sets(percent: int):
     return compare
 
 
+def _blocked(rows: DataFrame, group: str, centre: str, value: str) -> DataFrame:
+    """Groups of rows (``group``, _blocks, _key, value) cut into _blocks blocks each, the group's ``centre`` in all of them."""
+    every = F.sequence(F.lit(0), F.col("_blocks") - 1)
+    own = F.array(F.pmod(F.xxhash64("_key"), F.col("_blocks")).cast("int"))
+    parts = rows.withColumn("_block", F.explode(F.when(F.col("_key") == F.col(centre), every).otherwise(own)))
+    return _grouped(
+        parts.select(F.xxhash64(group, "_block").alias("_group"), F.lit(True).alias("_stray"), "_key", F.col("_key").alias("_in"), F.col(value).alias("_value"))
+    )
+
+
 def _families(members: DataFrame, near: DataFrame) -> DataFrame:
     """(_key, _root) of the nodes that resemble another one by their signatures, through others too."""
-    pairs = members.where(F.col("_key") != F.col("_centre")).select(F.col("_key").alias("a"), F.col("_centre").alias("b")).distinct()
-    links = _likely(pairs, near)
-    apart = _open(members, connected_components(links))
-    grid = _grid(apart, near.select("_key", "_sig"), f"ceil((_all - _most) / {BLOCK})", f"ceil(_all / {BLOCK})")
-    links = links.unionByName(_united(grid, _by_signature, "likely"))
+    rows = members.withColumn("_blocks", F.ceil(F.col("_count") / BLOCK).cast("int"))
+    links = _united(_blocked(rows.join(near.select("_key", "_sig"), "_key"), "_bucket", "_centre", "_sig"), _by_signature, "likely")
+    wide = rows.where("_blocks > 1")
+    if not wide.isEmpty():
+        apart = _open(wide, connected_components(links))
+        grid = _grid(apart, near.select("_key", "_sig"), f"ceil((_all - _most) / {BLOCK})", f"ceil(_all / {BLOCK})")
+        links = links.unionByName(_united(grid, _by_signature, "likely"))
     return connected_components(links).withColumnRenamed("node", "_key").withColumnRenamed("root", "_root")
 
 
-def _exact_links(families: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+def _exact_links(families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): links of full sets that unite what is linked within each family."""
-    own = families.join(sizes, "_key")
+    own = families.join(sets, "_key")
     # the blocks of a family: few enough rows and shingles each, whatever its size
-    shape = own.groupBy("_root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / FAMILY_BLOCK), F.ceil(F.sum("_n") / FAMILY_SHINGLES)).cast("int").alias("_blocks"))
+    shape = own.groupBy("_root").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / FAMILY_BLOCK), F.ceil(F.sum(F.octet_length("_set")) / (8 * FAMILY_SHINGLES))).cast("int").alias("_blocks")
+    )
     shape = table(shape, "family-blocks")
-    own = own.join(shape, "_root").join(sets, "_key")
-    every = F.sequence(F.lit(0), F.col("_blocks") - 1)
-    block = F.explode(F.when(F.col("_key") == F.col("_root"), every).otherwise(F.array(F.pmod(F.xxhash64("_key"), F.col("_blocks")).cast("int"))))
-    parts = own.select("_root", block.alias("_block"), "_key", "_set")
-    groups = parts.select(F.xxhash64("_root", "_block").alias("_group"), F.lit(True).alias("_stray"), "_key", F.col("_key").alias("_in"), F.col("_set").alias("_value"))
-    links = _united(_grouped(groups), by_sets(percent), "links")
+    links = _united(_blocked(own.join(shape, "_root"), "_root", "_root", "_set"), by_sets(percent), "links")
     wide = shape.where("_blocks > 1")
     if wide.isEmpty():
         return links
@@ -321,18 +314,18 @@ def near_duplicates(
 ) -> DataFrame:
     """(id_col, n_shingles, component_id, kept) of every row of ``docs``; the bands are made for ``percent`` of 75 or more."""
     rows = table(signatures(docs, id_col, text_col, width), "signatures")
-    nodes = rows.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.min("_id").alias("_id"), F.max("_n").alias("_n"), F.first("_sig").alias("_sig"))
+    nodes = rows.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.min("_id").alias("_id"), F.first("_sig").alias("_sig"))
     nodes = table(nodes, "nodes")
 
     banded = nodes.select("_key", F.explode(F.array(*[_band(i) for i in range(BANDS)])).alias("_bucket"))
-    shared = banded.groupBy("_bucket").agg(F.min("_key").alias("_centre"), F.max("_key").alias("_last"))
-    shared = table(shared.where(F.col("_centre") != F.col("_last")).drop("_last"), "buckets")
+    shared = banded.groupBy("_bucket").agg(F.min("_key").alias("_centre"), F.count(F.lit(1)).alias("_count"))
+    shared = table(shared.where("_count > 1"), "buckets")
     members = table(banded.join(shared.hint("merge"), "_bucket"), "members")
     near = table(members.select("_key").distinct().join(nodes, "_key"), "near")
     families = table(_families(members, near), "families")
     candidates = table(nodes.join(families.select("_key"), "_key", "left_semi"), "candidates")
     sets = _sets(docs, candidates, id_col, text_col, width)
-    root = connected_components(_exact_links(families, sets, nodes.select("_key", "_n"), percent))
+    root = connected_components(_exact_links(families, sets, percent))
 
     part = nodes.select("_key", "_id").join(root.withColumnRenamed("node", "_key"), "_key")
     least = table(part.groupBy("root").agg(F.min("_id").alias("_least")), "least")

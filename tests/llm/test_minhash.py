@@ -65,7 +65,7 @@ def _words(column):
     return data, starts, ends, counts
 
 
-@pytest.mark.parametrize("width,percent", [(5, 75), (3, 75), (5, 85)])
+@pytest.mark.parametrize("width,percent", [(5, 75), (3, 85)])
 def test_matches_brute_force(spark, monkeypatch, width, percent):
     monkeypatch.setattr(minhash, "FAMILY_BLOCK", 8)  # several blocks a family
     monkeypatch.setattr(minhash, "BLOCK", 8)
