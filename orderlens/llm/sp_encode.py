@@ -6,10 +6,11 @@ their scores is the largest (characters outside the vocabulary become their
 byte pieces). A text longer than a chunk is cut at fixed places into chunks.
 The state at a cut is how many characters of a piece lie before it; a chunk's
 transfer matrix holds the best score from each state at its left cut to each
-state at its right cut. The matrices of a document are made in parallel,
-then folded in their order: a vector goes through them by max-plus products from
-the right, which gives the best state at every cut from the left, and each chunk
-is then traced back by itself, in parallel again, from its two states.
+state at its right cut. The matrices are made in parallel and combined
+associatively: blocks of ``SCAN`` neighbours are multiplied (max-plus) in parallel,
+their products again, until a document has one block left. Its best states are
+then passed down: the states at the ends of a block give those at the cuts inside
+it, level by level, and each chunk is traced back by itself from its two states.
 No piece goes on from another character to a blank, so a run of blanks with the
 characters after it is cut by itself, once, and remembered.
 
@@ -20,8 +21,7 @@ always the cut that replaying the merges gives; both decode to the same text.
 
 Scale. A document within one chunk is encoded where it is read. Longer ones
 become rows of chunks, dealt over the tasks; only a matrix of some hundred
-numbers a chunk is gathered for each document, the texts of the chunks are not.
-The fold of a document's matrices is sequential, in one task.
+numbers a chunk travels, and no task holds more than SCAN of them of a document.
 The model's file is read by every task from its path; the vocabulary is a fixed
 size.
 
@@ -50,6 +50,8 @@ from orderlens.llm.scratch import table
 MODEL = "piece_bpe_32k.model"
 #: Characters of a chunk; longer documents are encoded in parallel.
 CHUNK = 1 << 16
+#: Neighbouring matrices that are multiplied in one group.
+SCAN = 64
 BLANK = "▁"
 _NONE = -np.inf
 #: Scores below mark pieces without a rank of their own; units of a log-probability.
@@ -280,23 +282,58 @@ def trace(v: Vocabulary, chunk: str, ahead: str, left: int, right: int) -> list[
     return [i for a, b in reversed(ends) for i in v.ids_of(text[a:b])]
 
 
-def cut_states(matrices: list[np.ndarray]) -> list[int]:
-    """The best state at every cut, from products of the suffixes with a vector (left end and right end are state 0)."""
+def cut_states(matrices: list[np.ndarray], left: int = 0, right: int = 0) -> list[int]:
+    """The best state at every cut between two given states at the ends, from products of the suffixes with a vector."""
     n, states = len(matrices), len(matrices[0])
-    zero = np.full(states, _NONE)
-    zero[0] = 0.0
-    suffix = [zero]
+    end = np.full(states, _NONE)
+    end[right] = 0.0
+    suffix = [end]
     for m in reversed(matrices):
         suffix.append((m + suffix[-1][None, :]).max(axis=1))
-    out = [0]
+    out = [left]
     for k in range(1, n):
         # the states already chosen on the left hold: of equally good paths the same one is followed everywhere
         through = matrices[k - 1][out[-1]] + suffix[n - k]
         out.append(int(np.argmax(through)))
-    return [*out, 0]
+    return [*out, right]
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, chunk: int = CHUNK) -> DataFrame:
+def _scan(made: DataFrame, longest: int, block: int) -> DataFrame:
+    """(_row, _k, _l, _r, _s) of every chunk: its best states and its score, from the matrices (_row, _k, _m)."""
+    number = F.floor(F.col("_k") / block).cast("int").alias("_b")
+
+    def matrices(part: pa.Table) -> list[np.ndarray]:
+        return [np.frombuffer(x.as_py()).reshape(longest, longest) for x in part["_m"]]
+
+    def multiply(part: pa.Table) -> pa.Table:
+        part = part.sort_by("_k")
+        whole = functools.reduce(product, matrices(part))
+        return pa.table({"_row": part["_row"][:1], "_k": part["_b"][:1], "_m": pa.array([whole.tobytes()], pa.binary())})
+
+    levels = [made]
+    while not levels[-1].where(F.col("_k") >= block).isEmpty():
+        up = levels[-1].select("_row", "_k", "_m", number).groupBy("_row", "_b").applyInArrow(multiply, "_row long, _k int, _m binary")
+        levels.append(table(up, "matrices"))
+
+    def inside(part: pa.Table) -> pa.Table:
+        part = part.sort_by("_k")
+        m = matrices(part)
+        states = cut_states(m, part["_from"][0].as_py(), part["_to"][0].as_py())
+        scores = [float(x[states[k], states[k + 1]]) for k, x in enumerate(m)]
+        ends = [pa.array(x, pa.int32()) for x in (states[:-1], states[1:])]
+        return pa.table({"_row": part["_row"], "_k": part["_k"], "_l": ends[0], "_r": ends[1], "_s": scores})
+
+    names = "_row long, _k int, _l int, _r int, _s double"
+    top = levels[-1].select("_row", "_k", "_m", F.lit(0).alias("_b"), F.lit(0).alias("_from"), F.lit(0).alias("_to"))
+    states = table(top.groupBy("_row", "_b").applyInArrow(inside, names), "states")
+    for lower in reversed(levels[:-1]):
+        ends = states.select("_row", F.col("_k").alias("_b"), F.col("_l").alias("_from"), F.col("_r").alias("_to"))
+        down = lower.select("_row", "_k", "_m", number).join(ends, ["_row", "_b"]).select("_row", "_k", "_m", "_b", "_from", "_to")
+        states = table(down.groupBy("_row", "_b").applyInArrow(inside, names), "states")
+    return states
+
+
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, chunk: int = CHUNK, block: int = SCAN) -> DataFrame:
     """(id_col, ids, score) of every row of ``docs``."""
     path = path or model_path()
     kind = docs.schema[id_col].dataType
@@ -314,7 +351,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
                 )
 
     short = rows.where(F.length("_text") < chunk).mapInArrow(whole, schema)
-    return short.unionByName(_long(rows.where(F.length("_text") >= chunk), path, chunk, schema)).withColumnRenamed("_id", id_col)
+    return short.unionByName(_long(rows.where(F.length("_text") >= chunk), path, chunk, block, schema)).withColumnRenamed("_id", id_col)
 
 
 def _lists(lists: list[list[int]]) -> pa.Array:
@@ -324,7 +361,7 @@ def _lists(lists: list[list[int]]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
-def _long(rows: DataFrame, path: str, chunk: int, schema: StructType) -> DataFrame:
+def _long(rows: DataFrame, path: str, chunk: int, block: int, schema: StructType) -> DataFrame:
     """Documents of several chunks: matrices, their scan by document, and a trace of each chunk."""
     longest = vocabulary(path).longest
     # a row's number tells repeated ids apart
@@ -346,18 +383,7 @@ def _long(rows: DataFrame, path: str, chunk: int, schema: StructType) -> DataFra
 
     made = table(chunks.select("_row", "_k", "_chunk", "_ahead").mapInArrow(matrices, "_row long, _k int, _m binary"), "matrices")
 
-    def scan(part: pa.Table) -> pa.Table:
-        part = part.sort_by("_k")
-        m = [np.frombuffer(x.as_py()).reshape(longest, longest) for x in part["_m"]]
-        states = cut_states(m)
-        total = np.full(longest, _NONE)
-        total[0] = 0.0
-        scores = []
-        for k, x in enumerate(m):
-            scores.append(float(x[states[k], states[k + 1]]))
-        return pa.table({"_row": part["_row"], "_k": part["_k"], "_l": pa.array(states[:-1], pa.int32()), "_r": pa.array(states[1:], pa.int32()), "_s": scores})
-
-    states = table(made.groupBy("_row").applyInArrow(scan, "_row long, _k int, _l int, _r int, _s double"), "states")
+    states = _scan(made, longest, block)
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)

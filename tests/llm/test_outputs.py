@@ -218,8 +218,8 @@ def test_encoding_and_decoding(spark):
     rng = random.Random(5)
     texts = [awkward(rng) for _ in range(40)] + [None, "", " ", "x" * 500, "the " * 500, "\x00\x7f", " lead and trail "]
     d = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, ids int")
-    for chunk in (1 << 16, 100):
-        got = {r.doc_id: r for r in sp_encode.decode(sp_encode.encode(d, chunk=chunk)).collect()}
+    for chunk, block in ((1 << 16, 64), (100, 64), (100, 3)):
+        got = {r.doc_id: r for r in sp_encode.decode(sp_encode.encode(d, chunk=chunk, block=block)).collect()}
         assert len(got) == len(texts)
         assert all(got[i].decoded == (t or "").replace("▁", " ") for i, t in enumerate(texts))
         if chunk == 100:
