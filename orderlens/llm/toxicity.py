@@ -83,15 +83,20 @@ def train(labelled: DataFrame, stands_for: dict[int, float] | None = None) -> di
 
     ``stands_for`` has the labelled rows that a sampled one of each class stands for.
     """
-    rows = labelled.select("_id", "_y", "_text")
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tb.slices(batch, "_text"):
+                values, per = features(part.column(2))
+                own = [np.unique(x).astype(np.int32).tobytes() for x in np.split(values, np.cumsum(per)[:-1])]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(own, pa.binary())], names=["_id", "_y", "_cells"])
+
+    # where the documents are read: the one learner gets the distinct cells, not the texts
+    kind = labelled.schema["_id"].dataType.simpleString()
+    rows = labelled.select("_id", "_y", "_text").mapInArrow(extract, f"_id {kind}, _y int, _cells binary")
 
     def learner(part: pa.Table) -> pa.Table:
-        sets, labels, ids = [], [], []
-        for batch in part.to_batches(max_chunksize=512):
-            values, per = features(batch.column(2))
-            sets += [np.append(np.unique(x), CELLS) for x in np.split(values, np.cumsum(per)[:-1])]
-            ids += batch.column(0).to_pylist()
-            labels += batch.column(1).to_pylist()
+        ids, labels = part["_id"].to_pylist(), part["_y"].to_pylist()
+        sets = [np.append(np.frombuffer(x.as_py(), np.int32), CELLS) for x in part["_cells"]]
         order = sorted(range(len(ids)), key=lambda k: (str(ids[k])[::-1], labels[k], len(sets[k])))
         model = Ftrl()
         for p in range(PASSES):
