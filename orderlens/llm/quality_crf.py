@@ -8,7 +8,7 @@ labelled text carries the text's label, a text weighs the same whatever its
 length). Forward-backward gives each line's probability of being good; their
 mean, weighted by line length, is the document's score.
 
-Scale. The training sample is bounded by ``SAMPLE_DOCS`` of each class and only
+Scale. The training sample is bounded by ``SAMPLE_DOCS`` of each class, some ``SAMPLE_LINES`` lines in all, and only
 its binned features (12 bytes a line) reach the driver. A sampled text weighs as
 many labelled rows of its class as it stands for, so that scores don't depend
 on the bound. Scoring is one pass over whole texts without a shuffle; the
@@ -31,8 +31,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from orderlens.llm import textbatch as tb
+from orderlens.llm.scratch import table
 from orderlens.llm.split import held_out, rows_per_sampled, sample_by_class
 
+SAMPLE_LINES = 400_000
 SAMPLE_DOCS = 4000
 STEPS, RATE, RIDGE = 150, 0.15, 1e-4
 
@@ -224,10 +226,18 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                     [part.column(0), part.column(1), pa.array([c.tobytes() for c in cut], pa.binary())], names=["_id", "_y", "_bins"]
                 )
 
-    # at most about SAMPLE_DOCS labelled rows of either class: bounded on both sides of the wire
+    # at most about SAMPLE_DOCS labelled rows of either class, and about SAMPLE_LINES of their lines, reach the driver
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(sample), "_id")
     kind = rows.schema["_id"].dataType.simpleString()
-    got = rows.select("_id", "_y", "_text").mapInArrow(run, f"_id {kind}, _y int, _bins binary").collect()
+    lines = table(rows.select("_id", "_y", "_text").mapInArrow(run, f"_id {kind}, _y int, _bins binary"), "quality-lines")
+    size = lines.agg(F.sum(F.octet_length("_bins")).alias("b")).first()["b"] or 0
+    if size > SAMPLE_LINES * MEASURES:  # whole documents, drawn by hash; each stands for as many more
+        share = SAMPLE_LINES * MEASURES / size
+        place = F.pmod(F.xxhash64(F.col("_id").cast("string"), F.lit("lines")), F.lit(1 << 30)) / float(1 << 30)
+        thinned = lines.where(place < share)
+        kept = rows_per_sampled(lines, thinned, "_y")
+        lines, stands_for = thinned, {y: stands_for[y] * kept[y] for y in kept}
+    got = lines.collect()
     got.sort(key=lambda r: (str(r["_id"]), r["_y"], bytes(r["_bins"])))
     bins = np.frombuffer(b"".join(bytes(r["_bins"]) for r in got), np.uint8).reshape(-1, MEASURES)
     lines = np.array([len(r["_bins"]) // MEASURES for r in got], np.int64)

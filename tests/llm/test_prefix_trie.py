@@ -71,10 +71,11 @@ def test_matches_brute_force(spark, longest, block):
 def many_partitions(spark):
     """As many shards as shuffle partitions, however few rows they have."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "23")
     yield
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 @pytest.mark.parametrize("longest,block", [(4096, 1 << 17), (20, 25)])
