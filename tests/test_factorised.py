@@ -8,7 +8,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-from fixtures import basic, tables
+from fixtures import tables
 from orderlens.operators import factorised, marts, orders
 from orderlens.plans.facts import facts_from_tables
 from orderlens.plans.refresh import all_outputs, grain_outputs
@@ -67,7 +67,7 @@ def odd(spark):
     )
 
 
-CASES = {"basic": basic, "odd": odd, "empty": lambda spark: tables(spark), "testdata": lambda spark: load_testdata(spark, SF_SMALL)}
+CASES = {"odd": odd, "empty": lambda spark: tables(spark), "testdata": lambda spark: load_testdata(spark, SF_SMALL)}
 
 
 def rows(df):
