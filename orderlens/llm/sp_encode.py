@@ -57,7 +57,7 @@ _NONE = -np.inf
 #: Scores below mark pieces without a rank of their own; units of a log-probability.
 UNRANKED = -1e8
 UNIT = 10_000
-_REMEMBERED = 1 << 19
+_REMEMBERED = 1 << 17
 
 
 def model_path(name: str = MODEL) -> str:
