@@ -83,13 +83,6 @@ class Vocabulary:
             least, size = min(used), math.log(len(used))
             scores = [float(round(-UNIT * (math.log1p(-max(s, least)) + size))) for s in scores]
         self.score = {p: (scores[i], i) for i, p in enumerate(self.pieces) if self.plain[i]}
-        #: the pieces by character: character -> (score of the piece that ends here or None, longer pieces)
-        self.trie: dict = {}
-        for p, (w, _) in self.score.items():
-            node = self.trie
-            for c in p[:-1]:
-                node = node.setdefault(c, [None, {}])[1]
-            node.setdefault(p[-1], [None, {}])[0] = w
         self.byte = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if sp.is_byte(i)}
         self.byte_of = {i: b for b, i in self.byte.items()}
         self.unknown = sp.unk_id()
@@ -100,6 +93,17 @@ class Vocabulary:
         self.crossing = any(BLANK in p[1:] and p.strip(BLANK) for p in self.score)
         self.words: dict[str, tuple[float, tuple[int, ...]]] = {}
 
+    @functools.cached_property
+    def trie(self) -> dict:
+        """The pieces by character: character -> (score of the piece that ends here or None, longer pieces). Decoding needs none."""
+        out: dict = {}
+        for p, (w, _) in self.score.items():
+            node = out
+            for c in p[:-1]:
+                node = node.setdefault(c, [None, {}])[1]
+            node.setdefault(p[-1], [None, {}])[0] = w
+        return out
+
     def ids_of(self, piece: str) -> tuple[int, ...]:
         got = self.score.get(piece)
         if got:
@@ -349,6 +353,8 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), _lists([g[1] for g in got]), pa.array([g[0] for g in got], pa.float64())], names=schema.names
                 )
+            # workers live on after a task: what a batch needed goes back to the system
+            pa.default_memory_pool().release_unused()
 
     short = rows.where(F.length("_text") < chunk).mapInArrow(whole, schema)
     return short.unionByName(_long(rows.where(F.length("_text") >= chunk), path, chunk, block, schema)).withColumnRenamed("_id", id_col)
@@ -418,6 +424,7 @@ def decode(encoded: DataFrame, path: str | None = None, ids_col: str = "ids", ou
                 ids, counts = lists.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(lists).to_numpy()
                 texts = v.decode(ids.astype(np.int64), np.concatenate([[0], np.cumsum(counts)]))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=schema.names)
+            pa.default_memory_pool().release_unused()
 
     return encoded.mapInArrow(run, schema)
 
