@@ -57,7 +57,8 @@ _NONE = -np.inf
 #: Scores below mark pieces without a rank of their own; units of a log-probability.
 UNRANKED = -1e8
 UNIT = 10_000
-_REMEMBERED = 1 << 17
+#: Words of a generation that a worker remembers; it holds two.
+_REMEMBERED = 3 << 16
 
 
 def model_path(name: str = MODEL) -> str:
@@ -92,6 +93,7 @@ class Vocabulary:
         # pieces that hold a blank after another character would let a piece cross a word's start
         self.crossing = any(BLANK in p[1:] and p.strip(BLANK) for p in self.score)
         self.words: dict[str, tuple[float, tuple[int, ...]]] = {}
+        self.older: dict[str, tuple[float, tuple[int, ...]]] = {}
 
     @functools.cached_property
     def trie(self) -> dict:
@@ -149,9 +151,10 @@ class Vocabulary:
     def word(self, w: str) -> tuple[float, tuple[int, ...]]:
         got = self.words.get(w)
         if got is None:
-            got = self.cut(w)
+            got = self.older.get(w) or self.cut(w)
             if len(self.words) >= _REMEMBERED:
-                self.words.clear()
+                # what is met again moves on to the new generation, so frequent words stay
+                self.older, self.words = self.words, {}
             self.words[w] = got
         return got
 

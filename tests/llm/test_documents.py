@@ -337,3 +337,17 @@ def test_schedules_are_inverted(spark):
 def test_held_out_is_the_remainder(spark):
     rows = spark.range(50).withColumn("h", held_out("id", 5, 0)).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in rows)
+
+
+def test_remembered_words_stay_right_over_generations(monkeypatch):
+    from orderlens.llm import sp_encode
+
+    monkeypatch.setattr(sp_encode, "_REMEMBERED", 7)
+    v, fresh = sp_encode.Vocabulary(sp_encode.model_path()), sp_encode.vocabulary(sp_encode.model_path())
+    rng = random.Random(3)
+    pool = [("the" if k < 3 else "") + "".join(rng.choice("abcdeé日 ") for _ in range(rng.randint(1, 9))) for k in range(60)]
+    for _ in range(20):
+        text = sp_encode.normal(" ".join(rng.choice(pool) for _ in range(rng.randint(0, 40))))
+        parts = [fresh.cut(w) for w in sp_encode.words(text)]
+        assert v.encode(text) == (sum(p[0] for p in parts), [i for p in parts for i in p[1]])
+        assert len(v.words) <= 7 and len(v.older) <= 7
