@@ -36,6 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from orderlens.llm.components import connected_components
+from orderlens.llm.minhash import _blocked, _grid, _open, _united
 from orderlens.llm.scratch import table
 
 SAMPLES = 256
@@ -265,56 +267,64 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 BLOCK = 2048
 
 
-def _pairs_in(own: np.ndarray, other: np.ndarray, band: int, least: float, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(i, j, likeness) of rows of ``own`` and ``other`` that are alike and share no band before ``band``; of one block each pair once."""
-    at, to, value = [], [], []
-    words, others = own.view(np.uint32), other.view(np.uint32)
-    for i in range(len(own)):
-        j = np.arange(i + 1 if same else 0, len(other))
-        # a pair is told in the first band it shares
-        j = j[~(others[j, :band] == words[i, :band]).any(axis=1)] if band else j
-        d = other[j] ^ own[i]
-        equal = ((d & 15) == 0).sum(axis=1) + ((d >> 4) == 0).sum(axis=1)
-        like = np.maximum(0.0, (equal / SAMPLES - 1 / 16) / (15 / 16))
-        good = like >= least
-        at.append(np.full(good.sum(), i))
-        to.append(j[good])
-        value.append(like[good])
-    return np.concatenate(at), np.concatenate(to), np.concatenate(value)
-
-
-def near_pairs(prints: DataFrame, least: float = 0.9) -> DataFrame:
-    """(fingerprint, other, likeness): every pair of distinct fingerprints that share a band and are alike, the larger one first.
-
-    Texts with equal fingerprints are one class, named by its fingerprint:
-    ``prints`` has the members, and copies are never paired among themselves.
-    A band is a grid of blocks, so a task holds at most two of them; a pair is
-    verified there, and leaves it once and only if it is alike.
-    """
+def _alike(least: float):
+    """Comparison of whole fingerprints: likeness of ``least`` or more."""
+    need = least * 15 / 16 + 1 / 16
+
+    def compare(values: pa.ChunkedArray, stray: np.ndarray):
+        raw = np.frombuffer(b"".join(values.to_pylist()), np.uint8).reshape(len(stray), -1)
+
+        def linked(i: int, others: np.ndarray) -> np.ndarray:
+            d = raw[others] ^ raw[i]
+            equal = ((d & 15) == 0).sum(axis=1) + ((d >> 4) == 0).sum(axis=1)
+            return equal / SAMPLES >= need - 1e-12
+
+        return linked
+
+    return compare
+
+
+def _links(members: DataFrame, prints: DataFrame, compare) -> DataFrame:
+    """(a, b): links that unite what ``compare`` links within each band."""
+    rows = members.withColumn("_blocks", F.ceil(F.col("_count") / BLOCK).cast("int"))
+    links = _united(_blocked(rows.join(prints, "_key"), "_bucket", "_centre", "_print"), compare, "near")
+    wide = rows.where("_blocks > 1")
+    if wide.isEmpty():
+        return links
+    apart = _open(wide, connected_components(links))
+    grid = _grid(apart, prints, f"ceil((_all - _most) / {BLOCK})", f"ceil(_all / {BLOCK})")
+    return links.unionByName(_united(grid, compare, "near"))
 
-    @F.pandas_udf("array<string>")
-    def banded(p):
-        return p.map(bands)
-
-    classes = prints.select("fingerprint").where(F.col("fingerprint") != _ZERO).distinct()
-    b = table(classes.select("fingerprint", F.explode(banded("fingerprint")).alias("_band")), "bands")
-    sizes = b.groupBy("_band").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1")
-    b = b.join(sizes, "_band").withColumn("_m", F.ceil(F.col("_c") / BLOCK).cast("int"))
-    b = b.withColumn("_b", F.pmod(F.xxhash64("fingerprint"), F.col("_m")).cast("int"))
-    b = b.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)))
-    b = b.select("_band", F.least("_b", "_j").alias("_p"), F.greatest("_b", "_j").alias("_q"), "_b", "fingerprint")
-
-    def compare(part: pa.Table) -> pa.Table:
-        band = int(part["_band"][0].as_py().split(":")[0]) // 8
-        block, p, q = part["_b"].to_numpy(), part["_p"][0].as_py(), part["_q"][0].as_py()
-        text = np.array(part["fingerprint"].to_pylist(), object)
-        raw = np.frombuffer(bytes.fromhex("".join(text)), np.uint8).reshape(len(text), -1)
-        left, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
-        if len(left) and len(right):
-            i, j, value = _pairs_in(raw[left], raw[right], band, least, p == q)
-            x, y = text[left[i]], text[right[j]]
-        else:
-            x, y, value = text[:0], text[:0], np.zeros(0)
-        return pa.table({"fingerprint": pa.array(np.maximum(x, y), pa.string()), "other": pa.array(np.minimum(x, y), pa.string()), "likeness": pa.array(value, pa.float64())})
-
-    return b.groupBy("_band", "_p", "_q").applyInArrow(compare, "fingerprint string, other string, likeness double")
+
+def near_classes(prints: DataFrame, id_col: str = "doc_id", least: float = 0.9) -> DataFrame:
+    """(id_col, fingerprint, class_id) of every row of ``prints``: the least id reachable over near fingerprints.
+
+    Two fingerprints are near if they share a band and their likeness is
+    ``least`` or more. Equal fingerprints are one node and go on once; a band's
+    members are compared in blocks, whose rows are united there, so at most one
+    link a row leaves a block and no pair does. Where the blocks of a wide band
+    are not one class already, what lies outside its largest class meets all of
+    its blocks: no link between classes is lost. The all-zero fingerprint of
+    empty texts is a class of each row's own; a null id is its own class too and
+    gives none to others.
+    """
+    rows = prints.select(F.col(id_col).alias("_id"), "fingerprint").withColumn(
+        "_key", F.when(F.col("fingerprint") != _ZERO, F.xxhash64("fingerprint"))
+    )
+    nodes = rows.where(F.col("_key").isNotNull()).groupBy("_key").agg(
+        F.min("_id").alias("_least"), F.unhex(F.first("fingerprint")).alias("_print")
+    )
+    nodes = table(nodes, "prints")
+    size = 4  # bytes of a band: eight samples
+    band = [F.xxhash64(F.lit(i), F.substring("_print", size * i + 1, size)) for i in range(SAMPLES // (2 * size))]
+    banded = nodes.select("_key", F.explode(F.array(*band)).alias("_bucket"))
+    shared = banded.groupBy("_bucket").agg(F.min("_key").alias("_centre"), F.count(F.lit(1)).alias("_count"))
+    members = table(banded.join(table(shared.where("_count > 1"), "bands").hint("merge"), "_bucket"), "members")
+    payload = table(nodes.join(members.select("_key").distinct(), "_key", "left_semi").select("_key", "_print"), "candidates")
+    root = connected_components(_links(members, payload, _alike(least))).withColumnRenamed("node", "_key")
+    part = nodes.join(root, "_key", "left").select("_key", F.coalesce("root", "_key").alias("_root"), "_least")
+    part = table(part, "classes")
+    named = part.join(part.groupBy("_root").agg(F.min("_least").alias("class_id")).hint("merge"), "_root").select("_key", "class_id")
+    return rows.join(named.hint("merge"), "_key", "left").select(
+        F.col("_id").alias(id_col), "fingerprint", F.when(F.col("_id").isNull(), F.col("_id")).otherwise(F.coalesce("class_id", "_id")).alias("class_id")
+    )

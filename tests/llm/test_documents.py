@@ -120,7 +120,7 @@ def test_fingerprints_odd_tables(spark, docs_schema):
 
 
 @pytest.mark.parametrize("block", [2048, 7])
-def test_near_pairs_match_brute_force(spark, block, monkeypatch):
+def test_near_classes_match_brute_force(spark, block, monkeypatch):
     rng = random.Random(17)
     digits = "0123456789abcdef"
     prints = [fingerprint._ZERO]
@@ -134,13 +134,22 @@ def test_near_pairs_match_brute_force(spark, block, monkeypatch):
             prints.append("".join(p))
     prints += prints[:5]
     monkeypatch.setattr(fingerprint, "BLOCK", block)
-    d = spark.createDataFrame([(i, p) for i, p in enumerate(prints)], "doc_id long, fingerprint string")
-    got = [(r.fingerprint, r.other, round(r.likeness, 9)) for r in fingerprint.near_pairs(d).collect()]
+    rows = [(500 - i, p) for i, p in enumerate(prints)] + [(None, prints[1]), (None, fingerprint._ZERO), (7, fingerprint._ZERO)]
+    d = spark.createDataFrame(rows, "doc_id long, fingerprint string")
+    got = {(r.doc_id, r.fingerprint): r.class_id for r in fingerprint.near_classes(d).collect()}
     distinct = sorted(set(prints) - {fingerprint._ZERO})
-    want = {(a, b, round(fingerprint.likeness(a, b), 9)) for a in distinct for b in distinct if a > b and fingerprint.likeness(a, b) >= 0.9}
-    want = {w for w in want if set(fingerprint.bands(w[0])) & set(fingerprint.bands(w[1]))}
-    assert len(want) > 50 and len(got) == len(set(got)) and set(got) == want
-    assert fingerprint.near_pairs(d.limit(0)).count() == 0
+    near = {p: {q for q in distinct if fingerprint.likeness(p, q) >= 0.9 and set(fingerprint.bands(p)) & set(fingerprint.bands(q))} for p in distinct}
+    assert sum(map(len, near.values())) > len(distinct) + 100
+    for i, p in rows:
+        reached, todo = {p}, [p]
+        while todo and p in near:
+            more = near[todo.pop()] - reached
+            reached |= more
+            todo += more
+        want = None if i is None else i if p == fingerprint._ZERO else min(j for j, q in rows if q in reached and j is not None)
+        assert got[i, p] == want
+    assert len(got) == len(set(rows)) and fingerprint.near_classes(d).count() == len(rows)
+    assert fingerprint.near_classes(d.limit(0)).count() == 0
 
 
 def test_walk_is_the_step_by_step_walk():
