@@ -59,6 +59,12 @@ class Model:
         # products and quotients of doubles are the same on every machine
         share = total * (((1 << SCALE - BUCKET_BITS) - BUCKETS) / total[:, -1:])
         self.cdf[:n, 1:] = share.astype(np.int32) + _STEP
+        self.cdf[:n, -1] = 1 << SCALE - BUCKET_BITS
+
+    def invert(self, n: int) -> None:
+        """The bucket at each unit of order 0 in the first ``n`` lanes, for the decoder."""
+        part = np.diff(self.cdf[:n], axis=1).ravel()
+        self.bucket_of = np.repeat(np.tile(np.arange(BUCKETS, dtype=np.int16), n), part)
 
     def predict(self, n: int) -> None:
         """Predictions (id + 1) and interval sizes of the first ``n`` lanes."""
@@ -176,11 +182,11 @@ def decode(codes: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     used = np.full(lanes, 3, np.int64)
     ids = np.zeros((most, lanes), np.uint16)
     alive = np.searchsorted(-length[:lanes], -np.arange(1, most + 1), "right")
-    bits = range(BUCKETS.bit_length() - 1, -1, -1)
     for t in range(most):
         n = int(alive[t])
         if t % REFRESH == 0:
             m.refresh(n)
+            m.invert(n)
         m.predict(n)
         f1, f2 = m.f1, m.f2
         unit = size[:n] >> _16
@@ -199,11 +205,7 @@ def decode(codes: list[bytes], lengths: list[int]) -> list[np.ndarray]:
         goal = np.minimum((code[free] - lo[free]) // unit, np.uint64((1 << SCALE) - 1)).astype(np.int32)
         whole = goal >> BUCKET_BITS
         base = m.off_c[free]
-        k = np.zeros(len(free), np.int64)
-        for b in bits:
-            up = np.minimum(k + (1 << b), BUCKETS)
-            k = np.where(m.flat_cdf.take(base + up) <= whole, up, k)
-        k = np.minimum(k, BUCKETS - 1)
+        k = m.bucket_of.take((free << SCALE - BUCKET_BITS) + whole).astype(np.int64)
         start = m.flat_cdf.take(base + k)
         part = m.flat_cdf.take(base + k + 1) - start
         inside = np.minimum((goal - (start << BUCKET_BITS)) // part, _INSIDE)
