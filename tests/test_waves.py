@@ -60,6 +60,13 @@ def test_parquet_round_trip_keeps_no_more_than_the_last_waves(spark, sf_dir, bas
     assert 0 < landed(base / "stream") < f.count()
 
 
+def test_csv_round_trip_keeps_no_more_than_the_last_waves(spark, sf_dir, base):
+    f = facts(spark, sf_dir)
+    assert rows(stream_job.csv_snapshot_roundtrip(spark, sf_dir)) == rows(marts.avg_payment_by_type(f))
+    assert glob.glob(str(base / "snapshot/snapshot/part-*")) == glob.glob(str(base / "snapshot/snapshot/part-*.csv.gz"))
+    assert 0 < landed(base / "snapshot") < f.count()
+
+
 def test_waves_grow_with_the_tables(spark, sf_dir, monkeypatch):
     assert stream_job.waves_of(spark, sf_dir) == 1
     monkeypatch.setattr(stream_job, "WAVE_BYTES", 4096)
