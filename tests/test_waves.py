@@ -12,6 +12,7 @@ from orderlens.operators import marts
 from orderlens.plans import stream_job
 from orderlens.plans.facts import facts
 from orderlens.session import shuffles_dropped
+from orderlens.streaming.batches import read_state, revenue_from_state
 
 ORDERS = 60
 
@@ -67,6 +68,18 @@ def test_csv_round_trip_keeps_no_more_than_the_last_waves(spark, sf_dir, base):
     assert 0 < landed(base / "snapshot") < f.count()
 
 
+def test_state_of_waves_through_a_repeated_batch(spark, sf_dir, base):
+    f = facts(spark, sf_dir)
+    state = stream_job.streamed_state(spark, sf_dir)
+    assert rows(revenue_from_state(state)) == rows(marts.revenue_by_state(f))
+    batches = spark.read.parquet(str(base / "state/state/batches"))
+    assert {r.batch_id for r in batches.select("batch_id").distinct().collect()} == set(range(5))
+    # the broken-off batch was compacted, then repeated
+    assert [r.version for r in spark.read.parquet(str(base / "state/state/complete")).collect()] == [2]
+    assert 0 < landed(base / "state") < f.count()
+    assert read_state(spark, str(base / "state/state")).count() == batches.count()  # an order is in one batch
+
+
 def test_waves_grow_with_the_tables(spark, sf_dir, monkeypatch):
     assert stream_job.waves_of(spark, sf_dir) == 1
     monkeypatch.setattr(stream_job, "WAVE_BYTES", 4096)
