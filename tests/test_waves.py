@@ -12,7 +12,7 @@ from orderlens.operators import marts
 from orderlens.plans import stream_job
 from orderlens.plans.facts import facts
 from orderlens.session import shuffles_dropped
-from orderlens.streaming.batches import read_state, revenue_from_state
+from orderlens.streaming.batches import kpi_from_state, read_state, revenue_from_state
 
 ORDERS = 60
 
@@ -80,6 +80,13 @@ def test_state_of_waves_through_a_repeated_batch(spark, sf_dir, base):
     assert read_state(spark, str(base / "state/state")).count() == batches.count()  # an order is in one batch
 
 
+def test_kpi_of_waves(spark, sf_dir, base):
+    """An order without an id, a repeated one and the broken-off batch count as in one pass."""
+    state = stream_job.streamed_state(spark, sf_dir)
+    assert rows(kpi_from_state(state)) == rows(marts.kpi_summary(facts(spark, sf_dir)))
+    assert 0 < landed(base / "state") < facts(spark, sf_dir).count()
+
+
 def test_waves_grow_with_the_tables(spark, sf_dir, monkeypatch):
     assert stream_job.waves_of(spark, sf_dir) == 1
     monkeypatch.setattr(stream_job, "WAVE_BYTES", 4096)
