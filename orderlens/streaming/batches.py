@@ -89,7 +89,8 @@ def partial_state(facts: DataFrame) -> DataFrame:
 
 
 def _merged(parts: DataFrame) -> DataFrame:
-    return parts.groupBy(*_KEYS).agg(*[F.sum(n).cast(t).alias(n) for n, t in _SUMS.items()])
+    # one shuffle, by the order: what is grouped by the order afterwards (A1) needs no second one, and batches hold a key once
+    return parts.repartition("order_id").groupBy(*_KEYS).agg(*[F.sum(n).cast(t).alias(n) for n, t in _SUMS.items()])
 
 
 def run_state(
@@ -103,7 +104,8 @@ def run_state(
     """Add each micro-batch's partial state under its id; a repeated batch replaces its own."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        partial_state(facts_from_raw(decode(batch))).write.mode("overwrite").parquet(_folder(f"{state_path}/batches", batch_id))
+        state = partial_state(facts_from_raw(decode(batch)))
+        state.write.mode("overwrite").option("compression", "zstd").parquet(_folder(f"{state_path}/batches", batch_id))
         if on_written:
             on_written("state", batch_id)
 
@@ -144,7 +146,7 @@ def compact(spark: SparkSession, state_path: str) -> int:
     parts = spark.read.parquet(f"{state_path}/batches").where((F.col("batch_id") > version) & (F.col("batch_id") <= last)).select(*names)
     if version >= 0:
         parts = parts.unionByName(spark.read.parquet(f"{state_path}/versions/version={version}").select(*names))
-    _merged(parts).write.mode("overwrite").parquet(f"{state_path}/versions/version={last}")
+    _merged(parts).write.mode("overwrite").option("compression", "zstd").parquet(f"{state_path}/versions/version={last}")
     # the marker comes last
     spark.createDataFrame([(int(last),)], "version long").write.mode("append").parquet(f"{state_path}/complete")
     return int(last)

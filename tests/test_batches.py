@@ -63,3 +63,26 @@ def test_an_order_in_two_batches_counts_once(spark):
     state = parts[0].unionByName(parts[1]).unionByName(parts[2])
     kpi = kpi_from_state(state).first()
     assert (kpi.total_orders, kpi.total_revenue) == (1, 4.5)
+
+
+def test_kpi_of_the_state_shuffles_once_and_the_state_is_zstd(spark, tmp_path):
+    """The merge and the orders share one shuffle by the order; rows of an order in several batches, states and versions add up."""
+    landing, path, chk = (str(tmp_path / n) for n in ("in", "state", "chk"))
+    rows = [("o1", "SP", 1.5), ("o1", "SP", 1.5), ("o1", "RJ", 1.5), (None, "SP", 1.0), (None, "RJ", 1.0), ("o2", None, 0.5)]
+    (tmp_path / "in").mkdir()
+    for k, (order, state, price) in enumerate(rows):
+        message = {"order_id": order, "customer_state": state, "price": price}
+        (tmp_path / "in" / f"{k}.txt").write_text(json.dumps({n: v for n, v in message.items() if v is not None}) + "\n")
+    run_state(read_stream(spark, fmt="text", path=landing, max_per_trigger=2), path, chk).awaitTermination()
+    for compacted in (False, True):
+        if compacted:
+            compact(spark, path)
+            (tmp_path / "in" / "6.txt").write_text(json.dumps({"order_id": "o2", "price": 2.0}) + "\n")
+            run_state(read_stream(spark, fmt="text", path=landing), path, chk).awaitTermination()
+        kpi = kpi_from_state(read_state(spark, path))
+        assert (kpi.first().total_orders, kpi.first().total_revenue) == (2, 9.0 if compacted else 7.0)
+        plan = kpi._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1
+    assert read_state(spark, path).count() == 5
+    files = [p for p in (tmp_path / "state").rglob("part-*.parquet") if "complete" not in str(p)]
+    assert files and all(".zstd." in p.name for p in files)
