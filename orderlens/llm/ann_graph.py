@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from orderlens.llm.components import connected_components
 from orderlens.llm.scratch import table
@@ -102,54 +103,109 @@ def nearest(vectors: np.ndarray, c: np.ndarray, wider: int = 1) -> list[list[int
     return out
 
 
+def _top(sim: np.ndarray, pool: int) -> np.ndarray:
+    """The columns of the ``pool`` largest values of each row, largest first.
+
+    Every row is cut at a bar drawn from some of its columns; rows with fewer
+    than ``pool`` values above theirs are partitioned whole.
+    """
+    n = sim.shape[1]
+    near = np.empty((len(sim), pool), np.int64)
+    rest = np.arange(len(sim))
+    if n > 8 * pool:
+        some = sim[:, :: max(1, n // 512)]
+        rank = math.ceil(2.5 * pool * some.shape[1] / n)
+        above = sim >= np.partition(some, some.shape[1] - rank, axis=1)[:, some.shape[1] - rank, None]
+        count = above.sum(axis=1)
+        above &= (count >= pool)[:, None] & (count <= 8 * pool)[:, None]
+        cell = np.flatnonzero(above)
+        r = cell // n
+        count = np.bincount(r, minlength=len(sim))
+        fine = np.flatnonzero(count)
+        if len(fine):
+            at = np.repeat(np.arange(len(fine)), count[fine])
+            place = np.arange(len(r)) - np.repeat(np.cumsum(count) - count, count)
+            value = np.full((len(fine), count.max()), -np.inf, sim.dtype)
+            column = np.zeros(value.shape, np.int64)
+            value[at, place] = sim.ravel()[cell]
+            column[at, place] = cell - r * n
+            near[fine] = np.take_along_axis(column, np.argsort(-value, axis=1)[:, :pool], axis=1)
+            rest = np.setdiff1d(rest, fine)
+    if len(rest):
+        part = np.argpartition(-sim[rest], pool - 1, axis=1)[:, :pool]
+        order = np.argsort(-np.take_along_axis(sim[rest], part, axis=1), axis=1, kind="stable")
+        near[rest] = np.take_along_axis(part, order, axis=1)
+    return near
+
+
+def _pruned(vectors: np.ndarray, cand: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Which candidates (nearest first, at distances ``own``) robust pruning keeps in each row."""
+    x = vectors[cand]
+    among = 1 - x @ x.transpose(0, 2, 1)
+    kept, count = np.ones(cand.shape, bool), np.zeros(len(cand), np.int64)
+    for k in range(cand.shape[1]):
+        kept[:, k] &= count < DEGREE
+        here = kept[:, k]
+        count += here
+        kept[:, k + 1 :] &= ~here[:, None] | (ALPHA * among[:, k, k + 1 :] > own[:, k + 1 :])
+    return kept
+
+
 def build(vectors: np.ndarray) -> list[np.ndarray]:
-    """Adjacency lists of a shard: nearest neighbours, robustly pruned."""
+    """Adjacency lists of a shard: nearest neighbours, robustly pruned; the nearest one comes first."""
     n = len(vectors)
     pool = min(n - 1, 3 * DEGREE)
     if pool <= 0:
         return [np.zeros(0, np.int64) for _ in range(n)]
-    out = []
-    for lo in range(0, n, 1024):
-        sim = vectors[lo : lo + 1024] @ vectors.T
-        sim[np.arange(len(sim)), np.arange(lo, lo + len(sim))] = -np.inf
-        near = np.argpartition(-sim, pool - 1, axis=1)[:, :pool]
-        for row, cand in enumerate(near):
-            cand = cand[np.argsort(-sim[row, cand], kind="stable")]
-            own = 1 - sim[row, cand]
-            among = 1 - vectors[cand] @ vectors[cand].T
-            open_ = np.ones(len(cand), bool)
-            kept: list[int] = []
-            for k in range(len(cand)):
-                if not open_[k]:
-                    continue
-                kept.append(k)
-                if len(kept) == DEGREE:
-                    break
-                open_ &= ALPHA * among[k] > own
-            out.append(cand[kept])
+    # the lists propose edges only, single precision does: links are found in double precision
+    v = vectors.astype(np.float32)
+    few, out = min(pool, DEGREE + DEGREE // 3), []
+    for lo in range(0, n, 512):
+        sim = v[lo : lo + 512] @ v.T
+        rows = np.arange(len(sim))
+        sim[rows, lo + rows] = -np.inf
+        near = _top(sim, pool)
+        own = 1 - np.take_along_axis(sim, near, axis=1)
+        kept = np.zeros(near.shape, bool)
+        kept[:, :few] = _pruned(v, near[:, :few], own[:, :few])
+        # the later candidates count where the first ones leave room
+        open_ = np.flatnonzero(kept.sum(axis=1) < DEGREE)
+        if few < pool and len(open_):
+            kept[open_] = _pruned(v, near[open_], own[open_])
+        out += np.split(near[kept], np.cumsum(kept.sum(axis=1))[:-1])
     return out
 
 
-def completed(vectors: np.ndarray, near: list[np.ndarray], least: float) -> list[np.ndarray]:
-    """``near`` made symmetric, with the edges that a search within ``least`` needs to miss nothing.
+def _distinct(numbers: np.ndarray) -> np.ndarray:
+    numbers = np.sort(numbers)
+    return numbers[np.diff(numbers, prepend=-1) != 0]
 
-    Afterwards each vector has, for every other one within the radius, an edge
-    to it or to a vector that is nearer to it. Vectors that are the same but for
-    rounding hang on the first one of them.
-    """
+
+def _edges(vectors: np.ndarray, near: list[np.ndarray], least: float) -> np.ndarray:
+    """The edges i * n + j, sorted, of ``near`` made symmetric and ``completed``."""
     n = len(vectors)
-    both: list[set[int]] = [set(x.tolist()) for x in near]
-    for i, x in enumerate(near):
-        for j in x.tolist():
-            both[j].add(i)
-    star = np.arange(n)
-    for lo in range(0, n, 1024):
-        star[lo : lo + 1024] = np.minimum(star[lo : lo + 1024], (vectors[lo : lo + 1024] @ vectors.T >= SAME).argmax(axis=1))
-    for i in np.flatnonzero(star != np.arange(n)).tolist():
+    i, j = np.repeat(np.arange(n), [len(x) for x in near]), np.concatenate([np.zeros(0, np.int64), *near])
+    edges = _distinct(np.concatenate([i * n + j, j * n + i]))
+    # only vectors whose nearest one is within the radius can miss an edge; single precision chose it
+    some = np.flatnonzero([len(x) > 0 for x in near])
+    best = np.array([near[k][0] for k in some], np.int64)
+    some = some[np.einsum("ij,ij->i", vectors[some], vectors[best]) >= min(least, SAME) - 1e-5]
+    if not len(some):
+        return edges
+    v, m = vectors[some], len(some)
+    place = np.full(n, -1)
+    place[some] = np.arange(m)
+    a, b = place[edges // n], place[edges % n]
+    a, b = a[(a >= 0) & (b >= 0)], b[(a >= 0) & (b >= 0)]
+    both = [set(x.tolist()) for x in np.split(b, np.searchsorted(a, np.arange(1, m)))]
+    star = np.arange(m)
+    for lo in range(0, m, 1024):
+        star[lo : lo + 1024] = np.minimum(star[lo : lo + 1024], (v[lo : lo + 1024] @ v.T >= SAME).argmax(axis=1))
+    for i in np.flatnonzero(star != np.arange(m)).tolist():
         both[i].add(int(star[i]))
         both[star[i]].add(i)
-    for lo in range(0, n, 1024):
-        sims = vectors[lo : lo + 1024] @ vectors.T
+    for lo in range(0, m, 1024):
+        sims = v[lo : lo + 1024] @ v.T
         for i, sim in enumerate(sims, lo):
             known = np.fromiter(both[i], np.int64, len(both[i]))
             wanted = (sim >= least - 1e-9) & (star != star[i])
@@ -160,17 +216,31 @@ def completed(vectors: np.ndarray, near: list[np.ndarray], least: float) -> list
             bar = sim[ball] + NEARER
             missed = np.ones(len(ball), bool)
             for k in range(0, len(known), 64):
-                some = np.flatnonzero(missed)
-                missed[some] = (vectors[known[k : k + 64]] @ vectors[ball[some]].T).max(axis=0) <= bar[some]
+                left = np.flatnonzero(missed)
+                missed[left] = (v[known[k : k + 64]] @ v[ball[left]].T).max(axis=0) <= bar[left]
             while missed.any():
-                some = np.flatnonzero(missed)
-                k = some[sim[ball[some]].argmax()]
+                left = np.flatnonzero(missed)
+                k = left[sim[ball[left]].argmax()]
                 j = int(ball[k])
                 both[i].add(j)
                 both[j].add(i)
-                missed[some] = vectors[ball[some]] @ vectors[j] <= bar[some]
+                missed[left] = v[ball[left]] @ v[j] <= bar[left]
                 missed[k] = False
-    return [np.array(sorted(x), np.int64) for x in both]
+    a = np.repeat(np.arange(m), [len(x) for x in both])
+    b = np.fromiter((y for x in both for y in x), np.int64, len(a))
+    return _distinct(np.concatenate([edges, some[a] * n + some[b]]))
+
+
+def completed(vectors: np.ndarray, near: list[np.ndarray], least: float) -> list[np.ndarray]:
+    """``near`` (from ``build``) made symmetric, with the edges that a search within ``least`` needs to miss nothing.
+
+    Afterwards each vector has, for every other one within the radius, an edge
+    to it or to a vector that is nearer to it. Vectors that are the same but for
+    rounding hang on the first one of them.
+    """
+    n = len(vectors)
+    edges = _edges(vectors, near, least)
+    return np.split(edges % n, np.searchsorted(edges, np.arange(1, n) * n))
 
 
 def search(vectors: np.ndarray, links: np.ndarray, least: float) -> list[np.ndarray]:
@@ -192,10 +262,10 @@ def search(vectors: np.ndarray, links: np.ndarray, least: float) -> list[np.ndar
             more = []
             for at in range(0, len(x), EXPANDED_AT_ONCE):
                 near = links[y[at : at + EXPANDED_AT_ONCE]]
-                r, c = np.nonzero(near >= 0)
-                a, b = x[at + r], near[r, c]
+                cell = np.flatnonzero(near >= 0)
+                a, b = x[at + cell // near.shape[1]], near.ravel()[cell]
                 new = ~seen[a, b]
-                pair = np.unique(a[new] * n + b[new])
+                pair = _distinct(a[new] * n + b[new])
                 a, b = pair // n, pair % n
                 seen[a, b] = True
                 for k in range(0, len(a), EXPANDED_AT_ONCE):
@@ -204,7 +274,8 @@ def search(vectors: np.ndarray, links: np.ndarray, least: float) -> list[np.ndar
             pair = np.concatenate(more) if more else np.zeros(0, np.int64)
             x, y = pair // n, pair % n
             good[x, y] = True
-        found += [np.flatnonzero(g) for g in good]
+        cell = np.flatnonzero(good)
+        found += np.split(cell % n, np.searchsorted(cell, rows[1:] * n))
     return found
 
 
@@ -213,6 +284,20 @@ def _vectors(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1).astype(np.float64)
 
 
+def _lists(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The row of each element, the elements."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy())), column.flatten().to_numpy(zero_copy_only=False)
+
+
+def _padded(row: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
+    """The values of each of ``n`` rows (``row`` ascends), padded with -1."""
+    count = np.bincount(row, minlength=n)
+    out = np.full((n, max(1, count.max())), -1, np.int64)
+    out[row, np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)] = value
+    return out
+
+
 def _shards(distinct: DataFrame, sample: np.ndarray, size: int, wider: int) -> DataFrame:
     """(_v, _unit, _shards) of every distinct vector, by centroids of the sample."""
     k = min(MOST_CENTROIDS, max(1, math.ceil(size / SHARD)), max(1, len(sample)))
@@ -229,18 +314,37 @@ def _shards(distinct: DataFrame, sample: np.ndarray, size: int, wider: int) -> D
     return distinct.mapInArrow(deal, "_v long, _unit array<double>, _shards array<long>")
 
 
+def _scaled(column: pa.Array) -> pa.Array:
+    """The unit vectors of lists of doubles; null: a list that is null, empty, zero or holds null or non-finite components."""
+    at = column.offsets.to_numpy().astype(np.int64)
+    x = column.values.to_numpy(zero_copy_only=False)  # null: NaN
+    out, none = np.zeros(len(x)), np.ones(len(column), bool)
+    size = np.where(column.is_valid().to_numpy(zero_copy_only=False), np.diff(at), 0)
+    for d in np.unique(size[size > 0]).tolist():
+        rows = np.flatnonzero(size == d)
+        e = x[at[rows, None] + np.arange(d)]
+        # vectors whose square under- or overflows still have a direction: they are scaled first
+        most = np.abs(e).max(axis=1)  # NaN where a component is
+        fine = np.isfinite(most) & (most > 0)
+        rows, e = rows[fine], e[fine] / most[fine, None]
+        square = np.zeros(len(e))
+        for k in range(d):
+            square += e[:, k] * e[:, k]
+        out[at[rows, None] + np.arange(d)] = e / np.sqrt(square)[:, None]
+        none[rows] = False
+    return pa.ListArray.from_arrays(pa.array(at - at[0], pa.int32()), pa.array(out[at[0] : at[-1]]), mask=pa.array(none))
+
+
 def units(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(_id, _unit, _v): each row's unit vector and its key, null where the vector links with nothing."""
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), _scaled(batch.column(1))], names=["_id", "_unit"])
+
     v = rows.select(F.col(id_col).alias("_id"), F.col(vector_col).cast("array<double>").alias("_e"))
-    fine = F.col("_e").isNotNull() & (F.size("_e") > 0) & F.forall("_e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    norm = F.sqrt(F.aggregate("_e", F.lit(0.0), lambda a, x: a + x * x))
-    v = v.withColumn("_fine", F.coalesce(fine, F.lit(False)))
-    v = v.withColumn("_norm", F.when(F.col("_fine"), norm))
-    # vectors whose square under- or overflows still have a direction: they are scaled first
-    most = F.array_max(F.transform("_e", F.abs))
-    v = v.withColumn("_e", F.when(F.col("_fine") & (most > 0), F.transform("_e", lambda x: x / most)))
-    norm = F.sqrt(F.aggregate("_e", F.lit(0.0), lambda a, x: a + x * x))
-    v = v.withColumn("_unit", F.when(F.col("_e").isNotNull(), F.transform("_e", lambda x: x / norm))).select("_id", "_unit")
+    # in Python: as an expression the norm is worked out again for every component
+    v = v.mapInArrow(run, StructType([v.schema["_id"], StructField("_unit", ArrayType(DoubleType()))]))
     return v.withColumn("_v", F.when(F.col("_unit").isNotNull(), F.xxhash64("_unit")))
 
 
@@ -262,7 +366,8 @@ def near_vectors(
     if size:
         share = min(1.0, SAMPLE / size)
         drawn = usable.where(F.pmod(F.col("_v"), F.lit(1 << 20)) < share * (1 << 20)).select("_v", "_unit").limit(2 * SAMPLE)
-        sample = np.array([r["_unit"] for r in sorted(drawn.collect(), key=lambda r: r["_v"])]).reshape(-1, dim)
+        drawn = drawn.toArrow().sort_by("_v")
+        sample = _vectors(drawn["_unit"].combine_chunks()).reshape(-1, dim)
         if len(sample) == 0:
             sample = np.array([usable.first()["_unit"]])
     else:
@@ -279,10 +384,11 @@ def near_vectors(
         def link(part: pa.Table) -> pa.Table:
             return _build_shard(part, least)
 
-        graph = table(dealt.groupBy("_shard").applyInArrow(link, "_v long, _near array<long>"), "graph")
-        united = graph.groupBy("_v").agg(F.array_distinct(F.flatten(F.collect_list("_near"))).alias("_near"))
-        homes = dealt.groupBy("_v").agg(F.sort_array(F.collect_set("_shard")).alias("_homes"))
-        full = dealt.join(united, "_v").join(homes, "_v").join(usable.select("_v", "_n"), "_v")
+        graph = table(dealt.groupBy("_shard").applyInArrow(link, "_v long, _near array<long>, _home long"), "graph")
+        united = graph.groupBy("_v").agg(
+            F.array_distinct(F.flatten(F.collect_list("_near"))).alias("_near"), F.sort_array(F.collect_set("_home")).alias("_homes")
+        )
+        full = dealt.join(united, "_v").join(usable.select("_v", "_n"), "_v")
 
         def find(part: pa.Table) -> pa.Table:
             return _search_shard(part, least)
@@ -374,12 +480,14 @@ def _divided(dealt: DataFrame, wider: int = 1) -> DataFrame:
 
 
 def _build_shard(part: pa.Table, least: float) -> pa.Table:
+    shard = part["_shard"][0]
     part = part.sort_by("_v").combine_chunks()
-    key = part["_v"].to_numpy()
+    key, n = part["_v"].to_numpy(), part.num_rows
     v = _vectors(part["_unit"].chunk(0))
     # symmetric: who is near knows it too
-    both = completed(v, build(v), least)
-    return pa.table({"_v": key, "_near": pa.array([key[x] for x in both], pa.list_(pa.int64()))})
+    edges = _edges(v, build(v), least)
+    near = pa.ListArray.from_arrays(pa.array(np.searchsorted(edges, np.arange(n + 1) * n), pa.int32()), pa.array(key[edges % n]))
+    return pa.table({"_v": key, "_near": near, "_home": pa.repeat(shard, n)})
 
 
 def _search_shard(part: pa.Table, least: float) -> pa.Table:
@@ -388,17 +496,15 @@ def _search_shard(part: pa.Table, least: float) -> pa.Table:
     key, n_rows = part["_v"].to_numpy(), part["_n"].to_numpy()
     shard = part["_shard"][0].as_py()
     v = _vectors(part["_unit"].chunk(0))
-    near = [x.values.to_numpy() for x in part["_near"]]
-    near = [np.searchsorted(key, x)[np.isin(x, key)] for x in near]
-    wide = max(1, max(map(len, near)))
-    links = np.full((len(v), wide), -1, np.int64)
-    for i, x in enumerate(near):
-        links[i, : len(x)] = x
+    row, near = _lists(part["_near"])
+    at = np.minimum(np.searchsorted(key, near), len(key) - 1)
+    here = key[at] == near
+    links = _padded(row[here], at[here], len(v))
     found = search(v, links, least)
     i = np.repeat(np.arange(len(v)), [len(x) for x in found])
     j = np.concatenate(found)
     # what one end finds the other has found
-    pair = np.unique(np.minimum(i, j)[i != j] * len(v) + np.maximum(i, j)[i != j])
+    pair = _distinct(np.minimum(i, j)[i != j] * len(v) + np.maximum(i, j)[i != j])
     i, j = pair // len(v), pair % len(v)
     root = np.arange(len(v))
     while True:  # smallest neighbour, then pointer jumping, until nothing moves
@@ -411,13 +517,9 @@ def _search_shard(part: pa.Table, least: float) -> pa.Table:
             break
         root = new
     # a pair is counted in the smallest shard both ends are in
-    most = max(len(h) for h in part["_homes"])
-    homes = np.full((len(v), most), -1, np.int64)
-    for k, h in enumerate(part["_homes"]):
-        x = h.values.to_numpy()
-        homes[k, : len(x)] = x
+    homes = _padded(*_lists(part["_homes"]), len(v))
     mine = np.ones(len(i), bool)
-    for a in range(most):
+    for a in range(homes.shape[1]):
         x = homes[i, a]
         smaller = np.flatnonzero((x >= 0) & (x < shard) & mine)
         if len(smaller):
