@@ -22,8 +22,8 @@ shard and number.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -44,7 +44,6 @@ END_ID = 1
 BLOCK = 8192
 LANES = 512
 _REMEMBERED = 1 << 19
-_PART = re.compile(r"[^ \n\r\t]+")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -54,27 +53,56 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 
 class Encoder:
-    """Ids of texts, word by word: blanks end a token, so what lies between them is encoded by itself."""
+    """Ids of texts, word by word: blanks end a token, so what lies between them is encoded by itself.
+
+    Many words are encoded in one call, a special token of the vocabulary between
+    them: the library splits a text at special tokens before all else. Words that
+    hold that token's text, and all where no token will do, are encoded singly.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {"": b""}
+        plain = [
+            (token.content, k)
+            for k, token in self.tokenizer.get_added_tokens_decoder().items()
+            if token.content and token.special and not (token.normalized or token.lstrip or token.rstrip or token.single_word)
+        ]
+        self.between = max(plain, key=lambda x: x[1], default=None)
+
+    def _learn(self, words: list[str]) -> None:
+        mark, number = self.between or ("", 0)
+        joint = [w for w in words if mark not in w]
+        for at in range(0, len(joint), 256):
+            some = joint[at : at + 256]
+            ids = np.array(self.tokenizer.encode_batch_fast([mark.join(some)], add_special_tokens=False)[0].ids, "<u2")
+            ends = np.flatnonzero(ids == number)
+            if len(ends) != len(some) - 1:
+                self._learn_singly(some)
+                continue
+            raw, ends = ids.tobytes(), (2 * ends).tolist()
+            self.words.update(zip(some, [raw[a:b] for a, b in zip([0, *[x + 2 for x in ends]], [*ends, len(raw)], strict=True)], strict=True))
+        self._learn_singly([w for w in words if mark in w])
+
+    def _learn_singly(self, words: list[str]) -> None:
+        for at in range(0, len(words), 4096):
+            some = words[at : at + 4096]
+            for w, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
+                self.words[w] = struct.pack(f"<{len(e.ids)}H", *e.ids)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [_PART.findall(t) for t in texts]
+        # two blanks in a row have an empty word between them, which has no ids
+        parts = [t.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") for t in texts]
         known = self.words
         if len(known) >= _REMEMBERED:
             known.clear()
-        new = list({w for p in parts for w in p if w not in known})
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for w, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                known[w] = struct.pack(f"<{len(e.ids)}H", *e.ids)
+            known[""] = b""
+        self._learn(list(set(itertools.chain.from_iterable(parts)).difference(known)))
         end = struct.pack("<H", END_ID)
-        return [np.frombuffer(b"".join([*[known[w] for w in p], end]), "<u2") for p in parts]
+        return [np.frombuffer(b"".join(map(known.__getitem__, p)) + end, "<u2") for p in parts]
 
 
 @functools.lru_cache(maxsize=2)

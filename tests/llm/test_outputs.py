@@ -175,6 +175,30 @@ def test_pages(spark):
     assert html_extract.extract(d.limit(0)).count() == 0
 
 
+def test_words_are_encoded_together_and_as_by_themselves():
+    e = token_output.Encoder(token_output.vocabulary_path())
+    real, given = e.tokenizer, []
+
+    class Counting:
+        def __getattr__(self, name):
+            def call(texts, **options):
+                given.extend(texts)
+                return getattr(real, name)(texts, **options)
+
+            return call
+
+    e.tokenizer = Counting()
+    words = [f"word{i} {i:x}'ll" for i in range(2000)]
+    odd = ["<|endoftext|>", "a<|endoftext|>b <|endoftext| |>", "<|ENDOFTEXT|> <|startoftext|>", "", " \t\r\n ", "\u0301 e\u0301 \u0301e", "a\x0bb\u2003c\u3000d \x00", "I'LL don't 's"]
+    texts = [" ".join(words), "\t\t".join(words[:9]) + "\n", *odd]
+    got = e.encode(texts)
+    assert len(given) < 50  # not one a word
+    assert e.between is not None and [x.tolist() for x in got] == [[*real.encode(t, add_special_tokens=False).ids, token_output.END_ID] for t in texts]
+    e.between = None
+    e.words = {"": b""}
+    assert all(np.array_equal(a, b) for a, b in zip(got, e.encode(texts), strict=True))
+
+
 def test_range_coder_round_trip():
     rng = np.random.default_rng(0)
     blocks = [rng.integers(0, range_coder.ALPHABET, n).astype(np.uint16) for n in (0, 1, 2, 700, 3000)]
