@@ -34,10 +34,12 @@ not UTF-8 can't arise from encoding; decoding replaces it.
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 import re
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -139,14 +141,43 @@ class Vocabulary:
                     best[j], back[j] = b + w, j - i
         return best, back
 
+    @functools.cached_property
+    def matcher(self) -> tuple:
+        """An automaton that finds (characters, score, ids) of every piece in a text, and what makes it find every character.
+
+        A character without a piece is one of the automaton with the score ``worst``; those in no
+        piece at all are read as one stand-in, whose ids are looked up by the character itself.
+        """
+        out, known = ahocorasick.Automaton(), {c for p in self.score for c in p}
+        for p, (w, i) in self.score.items():
+            out.add_word(p, (len(p), w, (i,)))
+        for c in known.difference(self.score):
+            out.add_word(c, (1, self.worst, self.ids_of(c)))
+        other = next(c for c in map(chr, range(0xE000, 0x110000)) if c not in known)
+        out.add_word(other, (1, self.worst, None))
+        out.make_automaton()
+        rest = re.compile(f"[^{re.escape(''.join(sorted(known)))}]")
+        return out.iter, frozenset(known).issuperset, functools.partial(rest.sub, other)
+
     def cut(self, text: str) -> tuple[float, tuple[int, ...]]:
-        """(score, ids) of the best cut of a text of its own."""
-        best, back = self.forward(text, (0.0,))
-        ends, at = [], len(text)
+        """(score, ids) of the best cut of a text of its own; ``forward`` from its start, with the pieces found by the automaton."""
+        pieces, covers, covered = self.matcher
+        at = len(text)
+        best, last = [_NONE] * (at + 1), [None] * (at + 1)
+        best[0] = 0.0
+        # by end, the longest first: at a tie the longer last piece stays
+        for end, piece in pieces(text if covers(text) else covered(text)):
+            end += 1
+            score = best[end - piece[0]] + piece[1]
+            if score > best[end]:
+                best[end], last[end] = score, piece
+        found = []
         while at > 0:
-            ends.append((at - back[at], at))
-            at -= back[at]
-        return best[-1], tuple(i for a, b in reversed(ends) for i in self.ids_of(text[a:b]))
+            n, _, ids = last[at]
+            at -= n
+            found.append(self.ids_of(text[at]) if ids is None else ids)
+        found.reverse()
+        return best[-1], tuple(itertools.chain.from_iterable(found))
 
     def word(self, w: str) -> tuple[float, tuple[int, ...]]:
         got = self.words.get(w)
@@ -366,7 +397,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
 def _lists(lists: list[list[int]]) -> pa.Array:
     offsets = np.zeros(len(lists) + 1, np.int32)
     np.cumsum([len(x) for x in lists], out=offsets[1:])
-    flat = np.fromiter((i for x in lists for i in x), np.int32, int(offsets[-1]))
+    flat = np.fromiter(itertools.chain.from_iterable(lists), np.int32, int(offsets[-1]))
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 

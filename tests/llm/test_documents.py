@@ -360,3 +360,31 @@ def test_remembered_words_stay_right_over_generations(monkeypatch):
         parts = [fresh.cut(w) for w in sp_encode.words(text)]
         assert v.encode(text) == (sum(p[0] for p in parts), [i for p in parts for i in p[1]])
         assert len(v.words) <= 7 and len(v.older) <= 7
+
+
+def test_cut_of_a_word_is_the_best_of_all_cuts_and_walks_no_trie():
+    from orderlens.llm import sp_encode
+
+    def best(v, text):  # by all substrings, the longest last piece first
+        at = [(0.0, ())]
+        for j in range(1, len(text) + 1):
+            options = []
+            for i in range(max(0, j - v.longest), j):
+                known = v.score.get(text[i:j])
+                if known or i == j - 1:
+                    options.append((at[i][0] + (known[0] if known else v.worst), -i, at[i][1] + v.ids_of(text[i:j])))
+            score, _, ids = max(options, key=lambda x: x[:2])
+            at.append((score, ids))
+        return at[-1]
+
+    given = sp_encode.Vocabulary(sp_encode.model_path())
+    # scores with ties, a character ("c") that has no piece of its own, no bytes
+    tied = sp_encode.Vocabulary.__new__(sp_encode.Vocabulary)
+    tied.score = {p: (float(w), i) for i, (p, w) in enumerate({"a": -1, "b": -1, "ab": -2, "ba": -2, "abc": -4, "cb": -3, "aab": -3, "bb": -3}.items(), 1)}
+    tied.byte, tied.unknown, tied.longest, tied.worst, tied.words, tied.older = {}, 0, 3, -9.0, {}, {}
+    rng = random.Random(11)
+    for v, letters in ((given, ["▁", "the", "ing", "é", "日本", "\n", "a", "😀", "\ue000", "\x00", "&&&", "47"]), (tied, ["a", "b", "c", "é", "\ue000", "\ue001"])):
+        for _ in range(300):
+            text = "".join(rng.choice(letters) for _ in range(rng.randrange(0, 14)))
+            assert v.cut(text) == best(v, text)
+        assert "trie" not in v.__dict__
